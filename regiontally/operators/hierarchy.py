@@ -18,6 +18,8 @@ DISTRICT → CITY → REGION; ``regionId`` may name a CITY (one hop) or a REGION
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,9 +147,10 @@ def region_lookup(regions: DataFrame) -> DataFrame:
     return via_district.unionByName(via_city).unionByName(direct)
 
 
-def anchored_users(users: DataFrame) -> DataFrame:
-    """Project users to the columns resolution needs, with their lookup key."""
+def anchored_users(users: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Project users to the columns resolution needs (plus ``carry``), with their lookup key."""
     return users.select(
+        *carry,
         "user_doc_id",
         "active",
         anchor_kind().alias("anchor_kind"),
@@ -155,15 +158,24 @@ def anchored_users(users: DataFrame) -> DataFrame:
     )
 
 
-def resolve_users(users: DataFrame, lookup: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
+def resolve_users(
+    users: DataFrame,
+    lookup: DataFrame,
+    max_broadcast_bytes: int | None = None,
+    carry: Sequence[str] = (),
+    broadcast: bool | None = None,
+) -> DataFrame:
     """Every user row that resolves, with its REGION (bag: copies are kept).
 
-    Output: ``user_doc_id, active, effective_region_id, effective_region_name,
-    parent_country_id``. Users with neither a district nor a region id carry a
-    NULL key and are dropped by the inner join.
+    Output: ``carry.., user_doc_id, active, effective_region_id,
+    effective_region_name, parent_country_id``. Users with neither a district
+    nor a region id carry a NULL key and are dropped by the inner join.
     """
-    joined = dimension_join(anchored_users(users), lookup, LOOKUP_KEYS, max_broadcast_bytes)
+    joined = dimension_join(
+        anchored_users(users, carry), lookup, LOOKUP_KEYS, max_broadcast_bytes, broadcast
+    )
     return joined.select(
+        *carry,
         "user_doc_id",
         "active",
         F.col("region_id").alias("effective_region_id"),

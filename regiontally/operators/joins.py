@@ -105,8 +105,15 @@ def dimension_join(
     small: DataFrame,
     keys: Sequence[str],
     max_bytes: int | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
-    """Inner join with a dimension: broadcast if its measured size allows, else skew-split."""
-    if fits_broadcast(small, max_bytes):
+    """Inner join with a dimension: broadcast if its measured size allows, else skew-split.
+
+    ``broadcast`` passes a decision already taken on a measurement (for example
+    once per stream for a cached snapshot); ``None`` measures now.
+    """
+    if broadcast is None:
+        broadcast = fits_broadcast(small, max_bytes)
+    if broadcast:
         return big.join(F.broadcast(small), list(keys), "inner")
     return skew_split_join(big, small, keys)
