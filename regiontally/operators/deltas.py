@@ -56,11 +56,17 @@ def region_names(report_base: DataFrame) -> DataFrame:
     )
 
 
-def deltas(resolved: DataFrame, report_base: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def deltas(
+    resolved: DataFrame,
+    report_base: DataFrame,
+    keys: Sequence[str] = (),
+    bounded: bool = False,
+) -> DataFrame:
     """Delta rows of resolved change rows, per ``keys`` (e.g. ``batch_id``) and REGION.
 
     The counts are computed on ids only; name and parent are joined back on the
     aggregated rows (one per REGION per key), so they never ride the shuffle.
+    With ``bounded`` (the tree is proven small) the REGION names are broadcast.
     """
     keys = list(keys)
     counts = population_counts(
@@ -69,7 +75,8 @@ def deltas(resolved: DataFrame, report_base: DataFrame, keys: Sequence[str] = ()
         total_name="total_population_change",
         dead_name="dead_population_change",
     )
-    return counts.join(region_names(report_base), "effective_region_id", "inner").select(
+    names = region_names(report_base)
+    return counts.join(F.broadcast(names) if bounded else names, "effective_region_id", "inner").select(
         *keys, *DELTA_COLUMNS
     )
 

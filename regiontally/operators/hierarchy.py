@@ -29,7 +29,7 @@ from regiontally.functions.expressions import (
     anchor_id,
     anchor_kind,
 )
-from regiontally.operators.joins import dimension_join
+from regiontally.operators.joins import ROW_OVERHEAD_BYTES, RelationSize, broadcast_limit, dimension_join
 from regiontally.schemas import CITY, DISTRICT, REGION
 
 MAPPED_COLUMNS = ["user_doc_id", "active", "effective_region_id", "effective_region_name"]
@@ -147,6 +147,34 @@ def region_lookup(regions: DataFrame) -> DataFrame:
     return via_district.unionByName(via_city).unionByName(direct)
 
 
+def lookup_size_bound(regions: DataFrame) -> RelationSize:
+    """Upper bound on the size of :func:`region_lookup`, from one aggregate over ``regions``.
+
+    With unique document keys every REGION, CITY and DISTRICT node yields at
+    most one lookup row, whose strings are at most two node ids plus the name
+    and parent of a REGION. The bound needs no join and no lookup build.
+    """
+    node = F.col("region_type").isin(REGION, CITY, DISTRICT)
+    region = F.col("region_type") == F.lit(REGION)
+
+    def longest(cond, column):
+        return F.coalesce(F.max(F.when(cond, F.octet_length(column))), F.lit(0))
+
+    row = regions.agg(
+        F.count(F.when(node, F.lit(1))).alias("rows"),
+        longest(node, F.col("region_doc_id")).alias("id_len"),
+        longest(region, F.col("region_name")).alias("name_len"),
+        longest(region, F.col("parentRegionId")).alias("parent_len"),
+    ).first()
+    width = 1 + 2 * row["id_len"] + row["name_len"] + row["parent_len"] + ROW_OVERHEAD_BYTES
+    return RelationSize(int(row["rows"]), int(row["rows"]) * int(width))
+
+
+def lookup_broadcastable(regions: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether the lookup of ``regions`` is proven small enough to broadcast."""
+    return lookup_size_bound(regions).bytes <= broadcast_limit(regions, max_bytes)
+
+
 def anchored_users(users: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Project users to the columns resolution needs (plus ``carry``), with their lookup key."""
     return users.select(
@@ -184,10 +212,25 @@ def resolve_users(
     )
 
 
+def resolve_with_regions(
+    users: DataFrame,
+    regions: DataFrame,
+    max_broadcast_bytes: int | None = None,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`resolve_users` through the lookup of ``regions``, the broadcast decided on its bound."""
+    return resolve_users(
+        users,
+        region_lookup(regions),
+        carry=carry,
+        broadcast=lookup_broadcastable(regions, max_broadcast_bytes),
+    )
+
+
 def users_mapped(users: DataFrame, regions: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Distinct ``(user_doc_id, active, effective_region_id, effective_region_name)``.
 
     Identical copies collapse; copies that disagree on ``active`` both stay.
     """
-    resolved = resolve_users(users, region_lookup(regions), max_broadcast_bytes)
+    resolved = resolve_with_regions(users, regions, max_broadcast_bytes)
     return resolved.select(*MAPPED_COLUMNS).distinct()

@@ -11,25 +11,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from regiontally.operators import deltas as delta_ops
-from regiontally.operators.hierarchy import region_lookup, resolve_users
+from regiontally.operators.hierarchy import lookup_broadcastable, region_lookup, resolve_users
 from regiontally.operators.report import mortality_report, report_base
-from regiontally.schemas import USER_SCHEMA
+from regiontally.schemas import CHANGE_SCHEMA
 from regiontally.sources.readers import stream_users
 from regiontally.streaming.delta_log import read_log
 from regiontally.streaming.runner import start_report_stream
 from regiontally.streaming.staging import stage_batches
 
 BATCH_KEY = "batch_id"
-CHANGE_SCHEMA = StructType([*USER_SCHEMA.fields, StructField(BATCH_KEY, LongType(), True)])
 
 
 def batch_deltas(changes: DataFrame, regions: DataFrame, with_parent: bool = False) -> DataFrame:
     """Delta rows per ``(batch_id, REGION)`` of a bounded table of change rows."""
-    resolved = resolve_users(changes, region_lookup(regions), carry=[BATCH_KEY])
-    rows = delta_ops.deltas(resolved, report_base(regions), keys=[BATCH_KEY])
+    small_tree = lookup_broadcastable(regions)
+    resolved = resolve_users(changes, region_lookup(regions), carry=[BATCH_KEY], broadcast=small_tree)
+    rows = delta_ops.deltas(resolved, report_base(regions), keys=[BATCH_KEY], bounded=small_tree)
     return rows if with_parent else rows.drop("parent_country_id_source")
 
 

@@ -14,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiontally.operators.hierarchy import region_lookup, resolve_users
+from regiontally.operators.deltas import fold
+from regiontally.operators.hierarchy import resolve_with_regions
 from regiontally.plans import batch, incremental
 from regiontally.schemas import REPORT_COLUMNS
 from regiontally.session import shared_dir
@@ -46,7 +47,7 @@ def emptiness_probes(spark: SparkSession, d: str) -> DataFrame:
         batch.is_empty("regions", regions),
         batch.is_empty("users_mapped", batch.users_mapped(users, regions)),
         batch.is_empty("change_batch_0", changes.where(F.col("batch_id") == 0)),
-        batch.is_empty("country_only_users_mapped", resolve_users(country_only, region_lookup(regions))),
+        batch.is_empty("country_only_users_mapped", resolve_with_regions(country_only, regions)),
         batch.is_empty("batch_0_deltas", incremental.batch_deltas(changes.where(F.col("batch_id") == 0), regions)),
     ]
     out = probes[0]
@@ -83,9 +84,7 @@ def sink_create_if_absent(spark: SparkSession, d: str) -> DataFrame:
 def stream_users_to_report(spark: SparkSession, d: str) -> DataFrame:
     """A real streaming run: events staged one file per day, 30 micro-batches, folded."""
     work = shared_dir(spark, "stream")
-    log = incremental.run_stream(spark, td.raw_user_events(spark, d), _regions(spark, d), work)
-    from regiontally.operators.deltas import fold
-
+    log = incremental.run_stream(spark, td.raw_changes(spark, d), _regions(spark, d), work)
     return fold(log)
 
 

@@ -75,6 +75,9 @@ REGION_SCHEMA = StructType(
     ]
 )
 
+# A user document in a bounded change table: the micro-batch it belongs to is a column.
+CHANGE_SCHEMA = StructType([*USER_SCHEMA.fields, _nullable("batch_id", LongType())])
+
 REPORT_SCHEMA = StructType(
     [
         _nullable("region_id", StringType()),

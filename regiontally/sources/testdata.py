@@ -17,6 +17,13 @@ Mapping (all derived from ``region``, ``nation``, ``customer`` and ``events``):
   they never select a subset.
 * Change events: ``events`` joined to the user base on ``user_id``, ``active``
   is ``event_type <> 'error'``, ``batch_id`` is whole days since 2024-01-01.
+
+The three derived relations play the part of the stored collections (users,
+regions, user changes): :func:`users`, :func:`regions` and :func:`user_events`
+derive each once per application from the whole driver tables, write it as a
+parquet table under the shared checkpoint folder, and scan that table, so
+every query reads a collection as it would in production (with column pruning
+and filter pushdown at the scan).
 """
 
 from __future__ import annotations
@@ -25,7 +32,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from regiontally.schemas import CITY, COUNTRY, DISTRICT, REGION, REGION_SCHEMA, USER_SCHEMA
+from regiontally.schemas import (
+    CHANGE_SCHEMA,
+    CITY,
+    COUNTRY,
+    DISTRICT,
+    REGION,
+    REGION_SCHEMA,
+    USER_SCHEMA,
+)
+from regiontally.session import shared_dir
 from regiontally.sources.readers import prepare_regions, prepare_users
 
 # Fixed values of the adapter.
@@ -180,16 +196,39 @@ def raw_user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(changed, USER_SCHEMA, "batch_id")
 
 
+_TABLES: dict[tuple[str, str, str], str] = {}
+
+
+def collection_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of collection ``name`` derived from ``sf_dir``, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _TABLES.get(key)
+    if path is None:
+        path = shared_dir(spark, "testdata", name)
+        build(spark, sf_dir).write.parquet(path)
+        _TABLES[key] = path
+    return path
+
+
+def _collection(spark: SparkSession, sf_dir: str, name: str, build, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(collection_path(spark, sf_dir, name, build))
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared users (``user_doc_id`` renamed) from the test tables."""
-    return prepare_users(raw_users(spark, sf_dir))
+    """Prepared users (``user_doc_id`` renamed): a scan of the derived user collection."""
+    return prepare_users(_collection(spark, sf_dir, "users", raw_users, USER_SCHEMA))
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared regions (renamed key, name, type) from the test tables."""
-    return prepare_regions(raw_regions(spark, sf_dir))
+    """Prepared regions (renamed key, name, type): a scan of the derived region collection."""
+    return prepare_regions(_collection(spark, sf_dir, "regions", raw_regions, REGION_SCHEMA))
+
+
+def raw_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw change documents with ``batch_id``: a scan of the derived change collection."""
+    return _collection(spark, sf_dir, "user_changes", raw_user_events, CHANGE_SCHEMA)
 
 
 def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared change events with ``batch_id`` from the test tables."""
-    return prepare_users(raw_user_events(spark, sf_dir))
+    """Prepared change events with ``batch_id``: a scan of the derived change collection."""
+    return prepare_users(raw_changes(spark, sf_dir))

@@ -3,9 +3,9 @@
 ``start_report_stream`` wires a streaming DataFrame of user documents to a
 ``foreachBatch`` callback. The region snapshot is read once, flattened into the
 lookup and cached for the life of the stream (a stream-static join, as a
-snapshot of a slowly changing dimension); pass ``refresh_regions`` to rebuild
-it per batch instead. The broadcast decision is taken once, on the measured
-size of the cached lookup.
+snapshot of a slowly changing dimension); pass a function as ``regions`` to
+re-read it per batch instead. The broadcast decision is taken once, on a
+proven bound of the lookup size computed from the snapshot.
 
 Per micro-batch: resolve (one join), ``distinct`` + one conditional aggregate,
 name join on the aggregated rows, and an idempotent write of the delta rows to
@@ -23,8 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from regiontally.operators.deltas import deltas
-from regiontally.operators.hierarchy import region_lookup, resolve_users
-from regiontally.operators.joins import fits_broadcast
+from regiontally.operators.hierarchy import lookup_broadcastable, region_lookup, resolve_users
 from regiontally.operators.report import report_base
 from regiontally.streaming.delta_log import write_batch
 
@@ -72,7 +71,7 @@ def batch_callback(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         resolved = resolve_users(batch, lookup, broadcast=broadcast)
-        write_batch(deltas(resolved, base), log_root, epoch, batch_id)
+        write_batch(deltas(resolved, base, bounded=broadcast), log_root, epoch, batch_id)
 
     return process
 
@@ -96,7 +95,7 @@ def start_report_stream(
             current = refresh()
             lookup = region_lookup(current)
             callback = batch_callback(
-                lookup, report_base(current), log_root, epoch, fits_broadcast(lookup, max_broadcast_bytes)
+                lookup, report_base(current), log_root, epoch, lookup_broadcastable(current, max_broadcast_bytes)
             )
             callback(batch, batch_id)
 
@@ -104,8 +103,8 @@ def start_report_stream(
         lookup = region_lookup(regions).persist()
         base = report_base(regions).persist()
         cached.extend([lookup, base])
-        # Measuring the lookup also fills its cache.
-        process = batch_callback(lookup, base, log_root, epoch, fits_broadcast(lookup, max_broadcast_bytes))
+        broadcast = lookup_broadcastable(regions, max_broadcast_bytes)
+        process = batch_callback(lookup, base, log_root, epoch, broadcast)
 
     writer = (
         users_stream.writeStream.foreachBatch(process)
