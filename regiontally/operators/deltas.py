@@ -93,7 +93,9 @@ def fold(
     or before that position are already contained in the baseline and skipped.
     """
     if after is not None:
-        log = log.where(F.struct(*ORDER_COLUMNS) > F.struct(*[F.lit(v) for v in after]))
+        # Lexicographic (epoch, batch_id) > after; on a partitioned log this prunes folders.
+        epoch, batch = (F.lit(int(v)).cast("bigint") for v in after)
+        log = log.where((F.col("epoch") > epoch) | ((F.col("epoch") == epoch) & (F.col("batch_id") > batch)))
     first = F.min_by(
         F.struct(
             F.col("total_population_change").alias("total"),

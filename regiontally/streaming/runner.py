@@ -66,12 +66,20 @@ def batch_callback(
     log_root: str,
     epoch: int,
     broadcast: bool,
+    after_batch: Callable[[int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: one micro-batch → its delta rows in the log."""
+    """The ``foreachBatch`` function: one micro-batch → its delta rows in the log.
+
+    ``after_batch(batch_id)`` runs after the log entry is written and before
+    Spark commits the batch (for metrics or readbacks); if it raises, the batch
+    is not committed and is replayed on restart.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         resolved = resolve_users(batch, lookup, broadcast=broadcast)
         write_batch(deltas(resolved, base, bounded=broadcast), log_root, epoch, batch_id)
+        if after_batch is not None:
+            after_batch(batch_id)
 
     return process
 
@@ -85,6 +93,7 @@ def start_report_stream(
     trigger: dict | None = None,
     max_broadcast_bytes: int | None = None,
     query_name: str | None = None,
+    after_batch: Callable[[int], None] | None = None,
 ) -> ReportStream:
     """Start the stream. ``regions`` is a snapshot, or a function re-read for every batch."""
     cached: list[DataFrame] = []
@@ -95,7 +104,12 @@ def start_report_stream(
             current = refresh()
             lookup = region_lookup(current)
             callback = batch_callback(
-                lookup, report_base(current), log_root, epoch, lookup_broadcastable(current, max_broadcast_bytes)
+                lookup,
+                report_base(current),
+                log_root,
+                epoch,
+                lookup_broadcastable(current, max_broadcast_bytes),
+                after_batch,
             )
             callback(batch, batch_id)
 
@@ -104,7 +118,7 @@ def start_report_stream(
         base = report_base(regions).persist()
         cached.extend([lookup, base])
         broadcast = lookup_broadcastable(regions, max_broadcast_bytes)
-        process = batch_callback(lookup, base, log_root, epoch, broadcast)
+        process = batch_callback(lookup, base, log_root, epoch, broadcast, after_batch)
 
     writer = (
         users_stream.writeStream.foreachBatch(process)

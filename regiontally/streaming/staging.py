@@ -19,10 +19,15 @@ from regiontally.streaming.delta_log import _hadoop_path
 BASE_MTIME_MS = 1_700_000_000_000
 
 
-def stage_batches(df: DataFrame, root: str, batch_col: str = "batch_id") -> int:
-    """Write ``df`` under ``root`` as ``batch_col=N`` folders, ordered in time; returns the file count."""
+def stage_batches(df: DataFrame, root: str, batch_col: str = "batch_id", append: bool = False) -> int:
+    """Write ``df`` under ``root`` as ``batch_col=N`` folders, ordered in time; returns the file count.
+
+    With ``append`` the batches are added next to those already staged (later
+    batch numbers arrive later), as new files reaching a running stream.
+    """
     spark = df.sparkSession
-    df.repartition(batch_col).write.mode("overwrite").partitionBy(batch_col).parquet(root)
+    mode = "append" if append else "overwrite"
+    df.repartition(batch_col).write.mode(mode).partitionBy(batch_col).parquet(root)
     return order_files(spark, root, batch_col)
 
 
