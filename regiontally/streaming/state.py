@@ -1,0 +1,101 @@
+"""Report state in shared storage: versioned baselines plus the delta log.
+
+Layout under ``root``::
+
+    baseline/upto_epoch=E/upto_batch=B/   report rows covering the log up to (E, B)
+    log/epoch=E/batch_id=N/               delta rows of one micro-batch
+
+A baseline version becomes visible only once its write has committed (Spark
+writes ``_SUCCESS`` last), so publishing a new version is atomic for readers:
+they take the newest committed version and fold the log entries after it.
+A batch run publishes a baseline covering everything logged before it
+started; :func:`compact` folds the log into a new baseline so that the log a
+reader has to fold stays short. Nothing is modified in place.
+"""
+
+from __future__ import annotations
+
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from regiontally.operators.deltas import fold
+from regiontally.schemas import REPORT_COLUMNS, REPORT_SCHEMA
+from regiontally.streaming.delta_log import _hadoop_path, read_log
+
+NO_POSITION = (-1, -1)
+_VERSION = re.compile(r"upto_epoch=(-?\d+)/upto_batch=(-?\d+)$")
+
+
+@dataclass(frozen=True)
+class ReportState:
+    root: str
+
+    @property
+    def log_root(self) -> str:
+        return f"{self.root.rstrip('/')}/log"
+
+    @property
+    def baseline_root(self) -> str:
+        return f"{self.root.rstrip('/')}/baseline"
+
+    def baseline_path(self, position: tuple[int, int]) -> str:
+        return f"{self.baseline_root}/upto_epoch={int(position[0])}/upto_batch={int(position[1])}"
+
+    def versions(self, spark: SparkSession) -> list[tuple[int, int]]:
+        """Committed baseline versions, oldest first (directory metadata only)."""
+        root, fs = _hadoop_path(spark, self.baseline_root)
+        if not fs.exists(root):
+            return []
+        found = []
+        for epoch_dir in fs.listStatus(root):
+            if not epoch_dir.isDirectory():
+                continue
+            for batch_dir in fs.listStatus(epoch_dir.getPath()):
+                path = batch_dir.getPath()
+                match = _VERSION.search(path.toString())
+                if match and fs.exists(path.suffix("/_SUCCESS")):
+                    found.append((int(match.group(1)), int(match.group(2))))
+        return sorted(found)
+
+    def log_position(self, spark: SparkSession) -> tuple[int, int]:
+        """The newest ``(epoch, batch_id)`` in the log, or ``(-1, -1)`` when it is empty."""
+        row = read_log(spark, self.log_root).agg(F.max(F.struct("epoch", "batch_id")).alias("p")).first()
+        return (row.p.epoch, row.p.batch_id) if row and row.p is not None else NO_POSITION
+
+    def baseline(self, spark: SparkSession) -> tuple[DataFrame | None, tuple[int, int]]:
+        versions = self.versions(spark)
+        if not versions:
+            return None, NO_POSITION
+        newest = versions[-1]
+        return spark.read.schema(REPORT_SCHEMA).parquet(self.baseline_path(newest)), newest
+
+    def current(self, spark: SparkSession) -> DataFrame:
+        """The report now: newest baseline with every later log entry folded in."""
+        base, covered = self.baseline(spark)
+        log = read_log(spark, self.log_root)
+        if base is None:
+            return fold(log)
+        return fold(log, base, after=covered)
+
+    def publish(self, report: DataFrame, covered: tuple[int, int]) -> str:
+        """Write ``report`` as the baseline covering the log up to ``covered``."""
+        path = self.baseline_path(covered)
+        report.select(*REPORT_COLUMNS).write.mode("overwrite").parquet(path)
+        return path
+
+
+def compact(spark: SparkSession, state: ReportState) -> tuple[int, int]:
+    """Fold the log into a new baseline version; returns the position it covers."""
+    position = state.log_position(spark)
+    base, covered = state.baseline(spark)
+    if position <= covered:
+        return covered
+    log = read_log(spark, state.log_root).where(
+        (F.col("epoch") < position[0]) | ((F.col("epoch") == position[0]) & (F.col("batch_id") <= position[1]))
+    )
+    report = fold(log) if base is None else fold(log, base, after=covered)
+    state.publish(report, position)
+    return position
