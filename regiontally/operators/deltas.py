@@ -126,7 +126,8 @@ def fold(
     dead = F.when(matched, F.col("b.dead_population") + F.coalesce(F.col("a.dead_sum"), F.lit(0))).otherwise(
         F.col("a.dead_sum")
     )
-    joined = b.join(a, F.col("b.region_id") == F.col("a.effective_region_id"), "full_outer")
+    # Both sides have one row per REGION; a hash join needs no sort of either side.
+    joined = b.join(a.hint("shuffle_hash"), F.col("b.region_id") == F.col("a.effective_region_id"), "full_outer")
     return joined.select(
         F.coalesce(F.col("b.region_id"), F.col("a.effective_region_id")).alias("region_id"),
         F.when(matched, F.col("b.region_name")).otherwise(F.col("a.first.name")).alias("region_name"),
