@@ -1,6 +1,8 @@
 """Column expressions shared by the batch and streaming plans.
 
 All are built-in Catalyst expressions, so they stay inside whole-stage codegen.
+They are written as SQL expression strings (``F.expr``): one parse on the JVM
+side instead of one driver round trip per sub-expression.
 """
 
 from __future__ import annotations
@@ -14,32 +16,50 @@ ANCHOR_DISTRICT = "D"
 ANCHOR_REGION_OR_CITY = "R"
 
 
+def anchor_kind_sql(district_id: str = "districtId", region_id: str = "regionId") -> str:
+    return (
+        f"CASE WHEN {district_id} IS NOT NULL THEN '{ANCHOR_DISTRICT}' "
+        f"WHEN {region_id} IS NOT NULL THEN '{ANCHOR_REGION_OR_CITY}' END"
+    )
+
+
+def anchor_id_sql(district_id: str = "districtId", region_id: str = "regionId") -> str:
+    return f"coalesce({district_id}, {region_id})"
+
+
 def anchor_kind(district_id: str = "districtId", region_id: str = "regionId") -> Column:
     """Which lookup a user goes through: ``districtId`` wins whenever it is not null.
 
     A non-null ``districtId`` that does not resolve drops the user; there is no
     fallback to ``regionId``. An empty string is not null.
     """
-    return F.when(F.col(district_id).isNotNull(), F.lit(ANCHOR_DISTRICT)).when(
-        F.col(region_id).isNotNull(), F.lit(ANCHOR_REGION_OR_CITY)
-    )
+    return F.expr(anchor_kind_sql(district_id, region_id))
 
 
 def anchor_id(district_id: str = "districtId", region_id: str = "regionId") -> Column:
     """The node id the user points at, consistent with :func:`anchor_kind`."""
-    return F.coalesce(F.col(district_id), F.col(region_id))
+    return F.expr(anchor_id_sql(district_id, region_id))
+
+
+def is_dead_sql(active: str = "active") -> str:
+    return f"{active} = false"
 
 
 def is_dead(active: str = "active") -> Column:
     """``active = false``; a NULL ``active`` is not dead (the comparison is NULL)."""
-    return F.col(active) == F.lit(False)
+    return F.expr(is_dead_sql(active))
 
 
 def count_dead(user_id: str = "user_doc_id", active: str = "active") -> Column:
     """Conditional count: non-null user ids whose ``active`` is false."""
-    return F.count(F.when(is_dead(active), F.col(user_id)))
+    return F.expr(f"count(CASE WHEN {is_dead_sql(active)} THEN {user_id} END)")
+
+
+def mortality_rate_sql(dead: str = "dead_population", total: str = "total_population") -> str:
+    # 100.0D and 0.0D are double literals: the rate is computed in double arithmetic.
+    return f"CASE WHEN {total} > 0 THEN {dead} * 100.0D / {total} ELSE 0.0D END"
 
 
 def mortality_rate(dead: str = "dead_population", total: str = "total_population") -> Column:
     """``dead * 100.0 / total`` in double arithmetic, ``0.0`` when the total is not positive."""
-    return F.when(F.col(total) > 0, F.col(dead) * F.lit(100.0) / F.col(total)).otherwise(F.lit(0.0))
+    return F.expr(mortality_rate_sql(dead, total))

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiontally.functions.expressions import count_dead, is_dead
+from regiontally.functions.expressions import count_dead, is_dead_sql
 
 REGION_KEYS = ["effective_region_id", "effective_region_name"]
 
@@ -34,22 +34,22 @@ def population_counts(
     """Distinct ``(keys, user, active)`` then ``count(user)`` and ``count(user where dead)``."""
     keys = list(keys)
     return (
-        resolved.select(*keys, "user_doc_id", "active")
+        resolved.selectExpr(*keys, "user_doc_id", "active")
         .distinct()
         .groupBy(*keys)
-        .agg(F.count("user_doc_id").alias(total_name), count_dead().alias(dead_name))
+        .agg(F.expr(f"count(user_doc_id) AS {total_name}"), count_dead().alias(dead_name))
     )
 
 
 def total_population(mapped: DataFrame) -> DataFrame:
     """Mapped users per REGION: ``count(user_doc_id)`` (NULL ids are not counted)."""
-    return mapped.groupBy(*REGION_KEYS).agg(F.count("user_doc_id").alias("total_population"))
+    return mapped.groupBy(*REGION_KEYS).agg(F.expr("count(user_doc_id) AS total_population"))
 
 
 def dead_population(mapped: DataFrame) -> DataFrame:
     """Inactive mapped users per REGION; REGIONs without an inactive row are absent."""
     return (
-        mapped.where(is_dead())
+        mapped.where(is_dead_sql())
         .groupBy(*REGION_KEYS)
-        .agg(F.count("user_doc_id").alias("dead_population"))
+        .agg(F.expr("count(user_doc_id) AS dead_population"))
     )

@@ -33,7 +33,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiontally.functions.expressions import mortality_rate
+from regiontally.functions.expressions import mortality_rate_sql
 from regiontally.operators.aggregate import population_counts
 from regiontally.schemas import REGION, REPORT_COLUMNS
 
@@ -49,10 +49,10 @@ ORDER_COLUMNS = ["epoch", "batch_id"]
 
 def region_names(report_base: DataFrame) -> DataFrame:
     """REGION id → name and parent, in the column names of a delta row."""
-    return report_base.select(
-        F.col("region_id").alias("effective_region_id"),
-        F.col("region_name").alias("effective_region_name"),
-        F.col("parent_country_id").alias("parent_country_id_source"),
+    return report_base.selectExpr(
+        "region_id AS effective_region_id",
+        "region_name AS effective_region_name",
+        "parent_country_id AS parent_country_id_source",
     )
 
 
@@ -76,7 +76,7 @@ def deltas(
         dead_name="dead_population_change",
     )
     names = region_names(report_base)
-    return counts.join(F.broadcast(names) if bounded else names, "effective_region_id", "inner").select(
+    return counts.join(F.broadcast(names) if bounded else names, "effective_region_id", "inner").selectExpr(
         *keys, *DELTA_COLUMNS
     )
 
@@ -94,54 +94,44 @@ def fold(
     """
     if after is not None:
         # Lexicographic (epoch, batch_id) > after; on a partitioned log this prunes folders.
-        epoch, batch = (F.lit(int(v)).cast("bigint") for v in after)
-        log = log.where((F.col("epoch") > epoch) | ((F.col("epoch") == epoch) & (F.col("batch_id") > batch)))
-    first = F.min_by(
-        F.struct(
-            F.col("total_population_change").alias("total"),
-            F.col("effective_region_name").alias("name"),
-            F.col("parent_country_id_source").alias("parent"),
-        ),
-        F.struct(*ORDER_COLUMNS),
-    )
+        epoch, batch = (int(v) for v in after)
+        log = log.where(f"epoch > {epoch} OR (epoch = {epoch} AND batch_id > {batch})")
     applied = log.groupBy("effective_region_id").agg(
-        F.sum("dead_population_change").alias("dead_sum"), first.alias("first")
+        F.expr("sum(dead_population_change) AS dead_sum"),
+        F.expr(
+            "min_by(named_struct('total', total_population_change, 'name', effective_region_name, "
+            "'parent', parent_country_id_source), named_struct('epoch', epoch, 'batch_id', batch_id)) AS first"
+        ),
     )
     if baseline is None:
-        inserted = applied.select(
-            F.col("effective_region_id").alias("region_id"),
-            F.col("first.name").alias("region_name"),
-            F.lit(REGION).alias("region_type"),
-            F.col("first.parent").alias("parent_country_id"),
-            F.col("first.total").alias("total_population"),
-            F.col("dead_sum").alias("dead_population"),
+        inserted = applied.selectExpr(
+            "effective_region_id AS region_id",
+            "first.name AS region_name",
+            f"'{REGION}' AS region_type",
+            "first.parent AS parent_country_id",
+            "first.total AS total_population",
+            "dead_sum AS dead_population",
         )
-        return inserted.withColumn("mortality_rate_percent", mortality_rate())
+        return inserted.selectExpr(*REPORT_COLUMNS[:-1], f"{mortality_rate_sql()} AS mortality_rate_percent")
 
     b = baseline.select(*REPORT_COLUMNS).alias("b")
-    a = applied.alias("a")
-    matched = F.col("b.region_id").isNotNull()
-    touched = F.col("a.effective_region_id").isNotNull()
-    total = F.when(matched, F.col("b.total_population")).otherwise(F.col("a.first.total"))
-    dead = F.when(matched, F.col("b.dead_population") + F.coalesce(F.col("a.dead_sum"), F.lit(0))).otherwise(
-        F.col("a.dead_sum")
-    )
     # Both sides have one row per REGION; a hash join needs no sort of either side.
-    joined = b.join(a.hint("shuffle_hash"), F.col("b.region_id") == F.col("a.effective_region_id"), "full_outer")
-    return joined.select(
-        F.coalesce(F.col("b.region_id"), F.col("a.effective_region_id")).alias("region_id"),
-        F.when(matched, F.col("b.region_name")).otherwise(F.col("a.first.name")).alias("region_name"),
-        F.when(matched, F.col("b.region_type")).otherwise(F.lit(REGION)).alias("region_type"),
-        F.when(matched, F.col("b.parent_country_id"))
-        .otherwise(F.col("a.first.parent"))
-        .alias("parent_country_id"),
-        total.alias("total_population"),
-        dead.alias("dead_population"),
-        touched.alias("_touched"),
-        F.col("b.mortality_rate_percent").alias("_stored_rate"),
-    ).select(
+    a = applied.hint("shuffle_hash").alias("a")
+    joined = b.join(a, F.expr("b.region_id = a.effective_region_id"), "full_outer")
+    matched = "b.region_id IS NOT NULL"
+    merged = joined.selectExpr(
+        "coalesce(b.region_id, a.effective_region_id) AS region_id",
+        f"CASE WHEN {matched} THEN b.region_name ELSE a.first.name END AS region_name",
+        f"CASE WHEN {matched} THEN b.region_type ELSE '{REGION}' END AS region_type",
+        f"CASE WHEN {matched} THEN b.parent_country_id ELSE a.first.parent END AS parent_country_id",
+        f"CASE WHEN {matched} THEN b.total_population ELSE a.first.total END AS total_population",
+        f"CASE WHEN {matched} THEN b.dead_population + coalesce(a.dead_sum, 0L) ELSE a.dead_sum END"
+        " AS dead_population",
+        "a.effective_region_id IS NOT NULL AS touched",
+        "b.mortality_rate_percent AS stored_rate",
+    )
+    # Untouched rows keep their stored rate; touched rows recompute it from the stored total.
+    return merged.selectExpr(
         *REPORT_COLUMNS[:-1],
-        F.when(F.col("_touched"), mortality_rate())
-        .otherwise(F.col("_stored_rate"))
-        .alias("mortality_rate_percent"),
+        f"CASE WHEN touched THEN {mortality_rate_sql()} ELSE stored_rate END AS mortality_rate_percent",
     )

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from regiontally.functions.expressions import (
     ANCHOR_DISTRICT,
     ANCHOR_REGION_OR_CITY,
-    anchor_id,
-    anchor_kind,
+    anchor_id_sql,
+    anchor_kind_sql,
 )
 from regiontally.operators.joins import ROW_OVERHEAD_BYTES, RelationSize, broadcast_limit, dimension_join
 from regiontally.schemas import CITY, DISTRICT, REGION
@@ -36,14 +36,19 @@ MAPPED_COLUMNS = ["user_doc_id", "active", "effective_region_id", "effective_reg
 LOOKUP_KEYS = ["anchor_kind", "anchor_id"]
 
 
+LEVELS = (REGION, CITY, DISTRICT)
+
+
 def regions_by_level(regions: DataFrame, level: str) -> DataFrame:
     """Nodes of one level (exact, case-sensitive type match; a NULL type matches nothing)."""
-    return regions.where(F.col("region_type") == F.lit(level))
+    if level not in LEVELS:
+        raise ValueError(f"unknown level {level!r}")
+    return regions.where(f"region_type = '{level}'")
 
 
 def levels(regions: DataFrame) -> DataFrame:
     """REGION, CITY and DISTRICT nodes with their type (COUNTRY and unknown types excluded)."""
-    return regions.where(F.col("region_type").isin(REGION, CITY, DISTRICT)).select(
+    return regions.where(f"region_type IN ('{REGION}', '{CITY}', '{DISTRICT}')").selectExpr(
         "region_type", "region_doc_id", "region_name", "parentRegionId"
     )
 
@@ -121,51 +126,49 @@ def region_lookup(regions: DataFrame) -> DataFrame:
     for every REGION. Unique on the key when document keys are unique. Its size
     grows with the tree, not with the users.
     """
-    actual = regions_by_level(regions, REGION).select(
-        F.col("region_doc_id").alias("region_id"),
-        "region_name",
-        F.col("parentRegionId").alias("parent_country_id"),
+    actual = regions_by_level(regions, REGION).selectExpr(
+        "region_doc_id AS region_id", "region_name", "parentRegionId AS parent_country_id"
     )
-    cities = regions_by_level(regions, CITY).select(
-        F.col("region_doc_id").alias("city_id"), F.col("parentRegionId").alias("city_parent")
+    cities = regions_by_level(regions, CITY).selectExpr(
+        "region_doc_id AS city_id", "parentRegionId AS city_parent"
     )
-    districts = regions_by_level(regions, DISTRICT).select(
-        F.col("region_doc_id").alias("district_id"),
-        F.col("parentRegionId").alias("district_parent"),
+    districts = regions_by_level(regions, DISTRICT).selectExpr(
+        "region_doc_id AS district_id", "parentRegionId AS district_parent"
     )
     region_cols = ["region_id", "region_name", "parent_country_id"]
-    city_to_region = cities.join(actual, F.col("city_parent") == F.col("region_id"), "inner")
-    via_district = districts.join(
-        city_to_region, F.col("district_parent") == F.col("city_id"), "inner"
-    ).select(F.lit(ANCHOR_DISTRICT).alias("anchor_kind"), F.col("district_id").alias("anchor_id"), *region_cols)
-    via_city = city_to_region.select(
-        F.lit(ANCHOR_REGION_OR_CITY).alias("anchor_kind"), F.col("city_id").alias("anchor_id"), *region_cols
+    city_to_region = cities.join(actual, F.expr("city_parent = region_id"), "inner")
+    via_district = districts.join(city_to_region, F.expr("district_parent = city_id"), "inner").selectExpr(
+        f"'{ANCHOR_DISTRICT}' AS anchor_kind", "district_id AS anchor_id", *region_cols
     )
-    direct = actual.select(
-        F.lit(ANCHOR_REGION_OR_CITY).alias("anchor_kind"), F.col("region_id").alias("anchor_id"), *region_cols
+    via_city = city_to_region.selectExpr(
+        f"'{ANCHOR_REGION_OR_CITY}' AS anchor_kind", "city_id AS anchor_id", *region_cols
     )
+    direct = actual.selectExpr(f"'{ANCHOR_REGION_OR_CITY}' AS anchor_kind", "region_id AS anchor_id", *region_cols)
     return via_district.unionByName(via_city).unionByName(direct)
 
 
 def lookup_size_bound(regions: DataFrame) -> RelationSize:
     """Upper bound on the size of :func:`region_lookup`, from one aggregate over ``regions``.
 
-    With unique document keys every REGION, CITY and DISTRICT node yields at
-    most one lookup row, whose strings are at most two node ids plus the name
-    and parent of a REGION. The bound needs no join and no lookup build.
+    Every REGION, CITY and DISTRICT node yields at most one lookup row, whose
+    strings are at most two node ids plus the name and parent of a REGION. That
+    holds because document keys are unique, which the same aggregate verifies
+    (a duplicated key would make the joins fan out): it raises if they are not.
     """
-    node = F.col("region_type").isin(REGION, CITY, DISTRICT)
-    region = F.col("region_type") == F.lit(REGION)
-
-    def longest(cond, column):
-        return F.coalesce(F.max(F.when(cond, F.octet_length(column))), F.lit(0))
-
+    node = f"region_type IN ('{REGION}', '{CITY}', '{DISTRICT}')"
+    region = f"region_type = '{REGION}'"
     row = regions.agg(
-        F.count(F.when(node, F.lit(1))).alias("rows"),
-        longest(node, F.col("region_doc_id")).alias("id_len"),
-        longest(region, F.col("region_name")).alias("name_len"),
-        longest(region, F.col("parentRegionId")).alias("parent_len"),
+        F.expr(f"count(CASE WHEN {node} THEN 1 END) AS rows"),
+        F.expr("count(region_doc_id) AS ids"),
+        F.expr("count(DISTINCT region_doc_id) AS distinct_ids"),
+        F.expr(f"coalesce(max(CASE WHEN {node} THEN octet_length(region_doc_id) END), 0) AS id_len"),
+        F.expr(f"coalesce(max(CASE WHEN {region} THEN octet_length(region_name) END), 0) AS name_len"),
+        F.expr(f"coalesce(max(CASE WHEN {region} THEN octet_length(parentRegionId) END), 0) AS parent_len"),
     ).first()
+    if row["ids"] != row["distinct_ids"]:
+        raise ValueError(
+            f"region document keys are not unique: {row['ids'] - row['distinct_ids']} duplicated ids"
+        )
     width = 1 + 2 * row["id_len"] + row["name_len"] + row["parent_len"] + ROW_OVERHEAD_BYTES
     return RelationSize(int(row["rows"]), int(row["rows"]) * int(width))
 
@@ -177,12 +180,12 @@ def lookup_broadcastable(regions: DataFrame, max_bytes: int | None = None) -> bo
 
 def anchored_users(users: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Project users to the columns resolution needs (plus ``carry``), with their lookup key."""
-    return users.select(
+    return users.selectExpr(
         *carry,
         "user_doc_id",
         "active",
-        anchor_kind().alias("anchor_kind"),
-        anchor_id().alias("anchor_id"),
+        f"{anchor_kind_sql()} AS anchor_kind",
+        f"{anchor_id_sql()} AS anchor_id",
     )
 
 
@@ -202,12 +205,12 @@ def resolve_users(
     joined = dimension_join(
         anchored_users(users, carry), lookup, LOOKUP_KEYS, max_broadcast_bytes, broadcast
     )
-    return joined.select(
+    return joined.selectExpr(
         *carry,
         "user_doc_id",
         "active",
-        F.col("region_id").alias("effective_region_id"),
-        F.col("region_name").alias("effective_region_name"),
+        "region_id AS effective_region_id",
+        "region_name AS effective_region_name",
         "parent_country_id",
     )
 

@@ -114,10 +114,13 @@ def start_report_stream(
             callback(batch, batch_id)
 
     else:
-        lookup = region_lookup(regions).persist()
-        base = report_base(regions).persist()
-        cached.extend([lookup, base])
         broadcast = lookup_broadcastable(regions, max_broadcast_bytes)
+        lookup, base = region_lookup(regions), report_base(regions)
+        if broadcast:
+            # Proven small: one partition each, so building a broadcast from the cache is one task.
+            lookup, base = lookup.coalesce(1), base.coalesce(1)
+        lookup, base = lookup.persist(), base.persist()
+        cached.extend([lookup, base])
         process = batch_callback(lookup, base, log_root, epoch, broadcast, after_batch)
 
     writer = (
