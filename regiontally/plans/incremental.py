@@ -24,9 +24,14 @@ from regiontally.streaming.staging import stage_batches
 BATCH_KEY = "batch_id"
 
 
-def batch_deltas(changes: DataFrame, regions: DataFrame, with_parent: bool = False) -> DataFrame:
+def batch_deltas(
+    changes: DataFrame,
+    regions: DataFrame,
+    with_parent: bool = False,
+    broadcast: bool | None = None,
+) -> DataFrame:
     """Delta rows per ``(batch_id, REGION)`` of a bounded table of change rows."""
-    small_tree = lookup_broadcastable(regions)
+    small_tree = lookup_broadcastable(regions) if broadcast is None else broadcast
     resolved = resolve_users(changes, region_lookup(regions), carry=[BATCH_KEY], broadcast=small_tree)
     rows = delta_ops.deltas(resolved, report_base(regions), keys=[BATCH_KEY], bounded=small_tree)
     return rows if with_parent else rows.drop("parent_country_id_source")
@@ -34,19 +39,26 @@ def batch_deltas(changes: DataFrame, regions: DataFrame, with_parent: bool = Fal
 
 def as_log(delta_rows: DataFrame, epoch: int = 0) -> DataFrame:
     """Delta rows with a ``batch_id`` as a log of one epoch."""
-    return delta_rows.withColumn("epoch", F.lit(epoch).cast("bigint"))
+    return delta_rows.withColumn("epoch", F.expr(f"CAST({int(epoch)} AS BIGINT)"))
 
 
 def merge_one_batch(users: DataFrame, regions: DataFrame, changes: DataFrame, batch_id: int = 0) -> DataFrame:
     """The batch report after upserting the deltas of micro-batch ``batch_id``."""
-    one = changes.where(F.col(BATCH_KEY) == F.lit(batch_id))
-    log = as_log(batch_deltas(one, regions, with_parent=True))
-    return delta_ops.fold(log, mortality_report(users, regions))
+    small_tree = lookup_broadcastable(regions)
+    one = changes.where(f"{BATCH_KEY} = {int(batch_id)}")
+    log = as_log(batch_deltas(one, regions, with_parent=True, broadcast=small_tree))
+    return delta_ops.fold(log, mortality_report(users, regions, broadcast=small_tree))
 
 
-def report_after_stream(changes: DataFrame, regions: DataFrame, baseline: DataFrame | None = None) -> DataFrame:
-    """The report after every micro-batch of ``changes``, over ``baseline`` (``None``: empty table)."""
-    return delta_ops.fold(as_log(batch_deltas(changes, regions, with_parent=True)), baseline)
+def report_after_stream(
+    changes: DataFrame,
+    regions: DataFrame,
+    baseline: DataFrame | None = None,
+    broadcast: bool | None = None,
+) -> DataFrame:
+    """The report after every micro-batch of ``changes``, over ``baseline`` (``None``: an empty table)."""
+    log = as_log(batch_deltas(changes, regions, with_parent=True, broadcast=broadcast))
+    return delta_ops.fold(log, baseline)
 
 
 def run_stream(
