@@ -16,10 +16,9 @@ from regiontally.operators import deltas as delta_ops
 from regiontally.operators.hierarchy import lookup_broadcastable, region_lookup, resolve_users
 from regiontally.operators.report import mortality_report, report_base
 from regiontally.schemas import CHANGE_SCHEMA
-from regiontally.sources.readers import stream_users
 from regiontally.streaming.delta_log import read_log
 from regiontally.streaming.runner import start_report_stream
-from regiontally.streaming.staging import stage_batches
+from regiontally.streaming.staging import ChangeFeed
 
 BATCH_KEY = "batch_id"
 
@@ -67,15 +66,22 @@ def run_stream(
     regions: DataFrame,
     work_dir: str,
     epoch: int = 0,
-    timeout_s: float | None = None,
 ) -> DataFrame:
-    """Stage ``raw_changes`` (user documents + ``batch_id``) one file per batch, run the
-    stream to completion with ``availableNow`` and one file per trigger, and return
-    the logged delta rows. ``work_dir`` must be shared storage (checkpoint, stage, log).
+    """Replay ``raw_changes`` (user documents + ``batch_id``) through the real stream and
+    return the logged delta rows.
+
+    The rows are staged once in parallel; each batch is then released into the
+    watched folder and processed as exactly one micro-batch, in batch order, by
+    one running query. ``work_dir`` must be shared storage (feed, checkpoint, log).
     """
-    stage, checkpoint, log = f"{work_dir}/stage", f"{work_dir}/checkpoint", f"{work_dir}/log"
-    stage_batches(raw_changes.select(*CHANGE_SCHEMA.names), stage, BATCH_KEY)
-    changes = stream_users(spark, "parquet", stage, {"maxFilesPerTrigger": "1"}, schema=CHANGE_SCHEMA)
-    handle = start_report_stream(changes, regions, log, checkpoint, epoch, trigger={"availableNow": True})
-    handle.await_done(timeout_s)
+    feed = ChangeFeed(spark, f"{work_dir}/feed", BATCH_KEY)
+    batches = feed.stage(raw_changes.select(*CHANGE_SCHEMA.names))
+    checkpoint, log = f"{work_dir}/checkpoint", f"{work_dir}/log"
+    handle = start_report_stream(feed.stream(), regions, log, checkpoint, epoch, trigger={"processingTime": "0 seconds"})
+    try:
+        for batch in batches:
+            feed.release(batch)
+            handle.process_all_available()
+    finally:
+        handle.stop()
     return read_log(spark, log)

@@ -93,7 +93,8 @@ def report_after_stream_with_baseline(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_users_to_report(spark: SparkSession, d: str) -> DataFrame:
-    """A real streaming run: events staged one file per day, 30 micro-batches, folded."""
+    """A real streaming run: events staged once, released one day at a time into the watched
+    folder of one running query (30 micro-batches, one per day), logged and folded."""
     work = shared_dir(spark, "stream")
     log = incremental.run_stream(spark, td.raw_changes(spark, d), _regions(spark, d), work)
     return fold(log)

@@ -50,6 +50,10 @@ class ReportStream:
             df.unpersist()
         self.cached.clear()
 
+    def process_all_available(self) -> None:
+        """Block until everything the source has now is processed and committed (raises its error)."""
+        self.query.processAllAvailable()
+
     def await_done(self, timeout: float | None = None) -> bool:
         """Wait for a bounded trigger (``availableNow``) to finish; raise the query's error."""
         try:

@@ -1,47 +1,67 @@
-"""Stage a table of change rows as a file stream with one file per batch.
-
-Used to replay the driver's ``events`` table as a change stream: rows are
-written once, partitioned by their batch column, one file per batch (a hash
-repartition on the batch column puts each batch in one task). The file source
-picks files oldest first, so each file's modification time is set in batch
-order; with ``maxFilesPerTrigger = 1`` Spark's ``batch_id`` then equals the
-staged batch number. Only file metadata passes through the driver.
+"""Replay a table of change rows as a file stream, one micro-batch per batch value.
+
+Used to replay the driver's ``events`` table as a change stream with exact
+batch boundaries. The rows are written once, in parallel, partitioned by their
+batch column (any number of files per batch: a batch holding a third of the
+rows is still written by many tasks). A batch then *arrives* by an atomic
+rename of its folder into the watched directory, the usual landing-directory
+pattern for file sources; after each arrival ``processAllAvailable`` makes the
+running query take exactly that folder as one micro-batch. Only folder
+metadata passes through the driver.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiontally.streaming.delta_log import _hadoop_path
-
-BASE_MTIME_MS = 1_700_000_000_000
-
-
-def stage_batches(df: DataFrame, root: str, batch_col: str = "batch_id", append: bool = False) -> int:
-    """Write ``df`` under ``root`` as ``batch_col=N`` folders, ordered in time; returns the file count.
-
-    With ``append`` the batches are added next to those already staged (later
-    batch numbers arrive later), as new files reaching a running stream.
-    """
-    spark = df.sparkSession
-    mode = "append" if append else "overwrite"
-    df.repartition(batch_col).write.mode(mode).partitionBy(batch_col).parquet(root)
-    return order_files(spark, root, batch_col)
-
-
-def order_files(spark: SparkSession, root: str, batch_col: str = "batch_id") -> int:
-    pattern = re.compile(rf"/{re.escape(batch_col)}=(-?\d+)/")
-    p, fs = _hadoop_path(spark, root)
-    files = fs.listFiles(p, True)
-    staged = 0
-    while files.hasNext():
-        status = files.next()
-        path = status.getPath()
-        match = pattern.search(path.toString())
-        if match is None or path.getName().startswith(("_", ".")):
-            continue
-        fs.setTimes(path, BASE_MTIME_MS + int(match.group(1)) * 1000, -1)
-        staged += 1
-    return staged
+from regiontally.schemas import USER_SCHEMA
+from regiontally.sources.readers import stream_users
+from regiontally.streaming.delta_log import _hadoop_path, ensure_dir
+
+
+@dataclass(frozen=True)
+class ChangeFeed:
+    spark: SparkSession
+    root: str
+    batch_col: str = "batch_id"
+
+    @property
+    def pending(self) -> str:
+        return f"{self.root.rstrip('/')}/pending"
+
+    @property
+    def incoming(self) -> str:
+        return f"{self.root.rstrip('/')}/incoming"
+
+    def stage(self, changes: DataFrame) -> list[int]:
+        """Write ``changes`` (documents + batch column) as pending batches; returns them in order."""
+        changes.write.mode("append").partitionBy(self.batch_col).parquet(self.pending)
+        return self.pending_batches()
+
+    def pending_batches(self) -> list[int]:
+        pattern = re.compile(rf"{re.escape(self.batch_col)}=(-?\d+)$")
+        root, fs = _hadoop_path(self.spark, self.pending)
+        if not fs.exists(root):
+            return []
+        found = []
+        for status in fs.listStatus(root):
+            match = pattern.search(status.getPath().getName())
+            if status.isDirectory() and match:
+                found.append(int(match.group(1)))
+        return sorted(found)
+
+    def release(self, batch: int) -> None:
+        """Move one pending batch into the watched directory (one atomic folder rename)."""
+        ensure_dir(self.spark, self.incoming)
+        src, fs = _hadoop_path(self.spark, f"{self.pending}/{self.batch_col}={int(batch)}")
+        dst, _ = _hadoop_path(self.spark, f"{self.incoming}/batch-{int(batch):09d}")
+        if not fs.rename(src, dst):
+            raise OSError(f"could not release batch {batch} from {self.pending}")
+
+    def stream(self, fmt: str = "parquet", schema=USER_SCHEMA, options: dict | None = None) -> DataFrame:
+        """The watched directory as a streaming DataFrame of prepared user documents."""
+        ensure_dir(self.spark, self.incoming)
+        return stream_users(self.spark, fmt, f"{self.incoming}/*", options, schema=schema)

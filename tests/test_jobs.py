@@ -6,11 +6,9 @@ from pyspark.sql import functions as F
 
 from regiontally.__main__ import main as cli
 from regiontally.jobs import report_stats, run_batch_job, run_stream_job
-from regiontally.schemas import CHANGE_SCHEMA
 from regiontally.session import shared_dir
-from regiontally.sources.readers import stream_users
 from regiontally.streaming.state import ReportState, compact
-from regiontally.streaming.staging import stage_batches
+from regiontally.streaming.staging import ChangeFeed
 from tests import fixtures as fx
 from tests.test_streaming import _raw_changes
 
@@ -28,19 +26,24 @@ def test_batch_then_stream_then_compact(spark):
     assert _state_of(published) == golden
     assert _state_of(state.current(spark)) == golden
 
-    stage_batches(_raw_changes(spark, [1, 2, 3, 4]), f"{work}/stage")
-    changes = stream_users(spark, "parquet", f"{work}/stage", {"maxFilesPerTrigger": "1"}, schema=CHANGE_SCHEMA)
+    feed = ChangeFeed(spark, f"{work}/feed")
+    feed.stage(_raw_changes(spark, [1, 2, 3, 4]))
     seen = []
     handle = run_stream_job(
         spark,
-        changes,
+        feed.stream(),
         fx.regions(spark),
         state,
         f"{work}/checkpoint",
-        trigger={"availableNow": True},
+        trigger={"processingTime": "0 seconds"},
         on_stats=lambda batch_id, top: seen.append((batch_id, top.count())),
     )
-    handle.await_done()
+    try:
+        for b in [1, 2, 3, 4]:
+            feed.release(b)
+            handle.process_all_available()
+    finally:
+        handle.stop()
     assert [b for b, _ in seen] == [0, 1, 2, 3]
     assert _state_of(state.current(spark)) == fx.EXPECTED_AFTER_BASELINE
 

@@ -1,6 +1,6 @@
 """The real stream: file source → foreachBatch → delta log → fold.
 
-Covers one run to completion, a restart that picks up new files from the
+Covers one run, a restart that picks up newly arrived batches from the
 checkpoint, a crash after the log write (batch replayed, counted once) and the
 idempotent overwrite of one log entry.
 """
@@ -11,14 +11,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from regiontally.operators.deltas import fold
-from regiontally.schemas import CHANGE_SCHEMA
 from regiontally.session import shared_dir
-from regiontally.sources.readers import stream_users
 from regiontally.streaming.delta_log import read_log, write_batch
 from regiontally.streaming.runner import start_report_stream
-from regiontally.streaming.staging import stage_batches
+from regiontally.streaming.staging import ChangeFeed
 from tests import fixtures as fx
 
+CONTINUOUS = {"processingTime": "0 seconds"}
+
 
 def _raw_changes(spark, batches):
     out = None
@@ -33,56 +33,88 @@ def _state(df):
     return {r.region_id: (r.total_population, r.dead_population, r.mortality_rate_percent) for r in df.collect()}
 
 
-def _start(spark, work, after_batch=None):
-    changes = stream_users(spark, "parquet", f"{work}/stage", {"maxFilesPerTrigger": "1"}, schema=CHANGE_SCHEMA)
+def _start(spark, work, feed, after_batch=None):
     return start_report_stream(
-        changes,
+        feed.stream(),
         fx.regions(spark),
         f"{work}/log",
         f"{work}/checkpoint",
-        trigger={"availableNow": True},
+        trigger=CONTINUOUS,
         after_batch=after_batch,
     )
 
 
+def _feed(spark, work, batches):
+    feed = ChangeFeed(spark, f"{work}/feed")
+    assert feed.stage(_raw_changes(spark, batches)) == batches
+    return feed
+
+
+def _deliver(handle, feed, batches):
+    for b in batches:
+        feed.release(b)
+        handle.process_all_available()
+
+
+def _logged_batches(spark, work):
+    return sorted(r.batch_id for r in read_log(spark, f"{work}/log").select("batch_id").distinct().collect())
+
+
 def test_stream_run_matches_fold_of_expected(spark):
     work = shared_dir(spark, "test-stream")
-    assert stage_batches(_raw_changes(spark, [1, 2, 3, 4]), f"{work}/stage") == 4
-    _start(spark, work).await_done()
-    log = read_log(spark, f"{work}/log")
-    assert sorted({r.batch_id for r in log.collect()}) == [0, 1, 2, 3]
-    assert _state(fold(log)) == fx.EXPECTED_AFTER_EMPTY
+    feed = _feed(spark, work, [1, 2, 3, 4])
+    handle = _start(spark, work, feed)
+    try:
+        _deliver(handle, feed, [1, 2, 3, 4])
+    finally:
+        handle.stop()
+    assert _logged_batches(spark, work) == [0, 1, 2, 3]
+    assert _state(fold(read_log(spark, f"{work}/log"))) == fx.EXPECTED_AFTER_EMPTY
 
 
-def test_restart_picks_up_new_files_only(spark):
+def test_restart_picks_up_new_batches_only(spark):
     work = shared_dir(spark, "test-stream")
-    stage_batches(_raw_changes(spark, [1, 2]), f"{work}/stage")
-    _start(spark, work).await_done()
-    assert sorted({r.batch_id for r in read_log(spark, f"{work}/log").collect()}) == [0, 1]
-    stage_batches(_raw_changes(spark, [3, 4]), f"{work}/stage", append=True)
-    _start(spark, work).await_done()
-    log = read_log(spark, f"{work}/log")
-    assert sorted({r.batch_id for r in log.collect()}) == [0, 1, 2, 3]
-    assert _state(fold(log)) == fx.EXPECTED_AFTER_EMPTY
+    feed = _feed(spark, work, [1, 2, 3, 4])
+    handle = _start(spark, work, feed)
+    try:
+        _deliver(handle, feed, [1, 2])
+    finally:
+        handle.stop()
+    assert _logged_batches(spark, work) == [0, 1]
+    handle = _start(spark, work, feed)  # same checkpoint: nothing is re-read
+    try:
+        _deliver(handle, feed, [3, 4])
+    finally:
+        handle.stop()
+    assert _logged_batches(spark, work) == [0, 1, 2, 3]
+    assert _state(fold(read_log(spark, f"{work}/log"))) == fx.EXPECTED_AFTER_EMPTY
 
 
 def test_crash_after_log_write_replays_batch_once(spark):
     work = shared_dir(spark, "test-stream")
-    stage_batches(_raw_changes(spark, [1, 2, 3, 4]), f"{work}/stage")
+    feed = _feed(spark, work, [1, 2, 3, 4])
     crashed = []
 
     def crash_once(batch_id):
         if batch_id == 1 and not crashed:
             crashed.append(batch_id)
-            raise RuntimeError("simulated executor loss after the log write")
-
-    with pytest.raises(Exception):
-        _start(spark, work, after_batch=crash_once).await_done()
+            raise RuntimeError("simulated failure after the log write, before the commit")
+
+    handle = _start(spark, work, feed, after_batch=crash_once)
+    try:
+        with pytest.raises(Exception):
+            _deliver(handle, feed, [1, 2])
+    finally:
+        handle.stop()
     assert crashed == [1]
-    _start(spark, work).await_done()  # restart from the checkpoint: batch 1 runs again
+    handle = _start(spark, work, feed)  # restart: the uncommitted batch 1 runs again
+    try:
+        handle.process_all_available()
+        _deliver(handle, feed, [3, 4])
+    finally:
+        handle.stop()
     log = read_log(spark, f"{work}/log")
-    per_batch = log.groupBy("batch_id").count().collect()
-    assert sorted(r.batch_id for r in per_batch) == [0, 1, 2, 3]
+    assert _logged_batches(spark, work) == [0, 1, 2, 3]
     assert _state(fold(log)) == fx.EXPECTED_AFTER_EMPTY
 
 
