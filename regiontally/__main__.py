@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from regiontally.jobs import report_stats, run_batch_job, run_stream_job
 from regiontally.sources.readers import read_regions, read_users, stream_users
-from regiontally.streaming.state import ReportState, compact
+from regiontally.streaming.state import ReportState, compact, expire
 
 
 def _options(pairs):
@@ -37,7 +37,7 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--provider", default="parquet")
     stream = sub.choices["stream"]
     stream.add_argument("--checkpoint", required=True)
-    stream.add_argument("--epoch", type=int, default=0)
+    stream.add_argument("--epoch", type=int, default=None, help="default: the checkpoint's own epoch")
     stream.add_argument("--trigger-seconds", type=int, default=30)
     stream.add_argument("--available-now", action="store_true")
     stream.add_argument("--stats", action="store_true", help="print the top 20 after each batch")
@@ -45,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
         p = sub.add_parser(name)
         p.add_argument("--state", required=True)
         p.add_argument("--top", type=int, default=20)
+        p.add_argument("--keep-versions", type=int, default=0, help="compact: then expire older versions")
     return ap
 
 
@@ -69,7 +70,10 @@ def main(argv=None) -> int:
     elif args.cmd == "report":
         report_stats(spark, ReportState(args.state), args.top).show(args.top, truncate=False)
     elif args.cmd == "compact":
-        print(compact(spark, ReportState(args.state)))
+        state = ReportState(args.state)
+        print(compact(spark, state))
+        if args.keep_versions:
+            print(len(expire(spark, state, args.keep_versions)), "folders expired")
     return 0
 
 

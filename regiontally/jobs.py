@@ -57,7 +57,7 @@ def run_stream_job(
     regions: DataFrame | Callable[[], DataFrame],
     state: ReportState,
     checkpoint_location: str,
-    epoch: int = 0,
+    epoch: int | None = None,
     trigger: dict | None = None,
     table: str | None = None,
     provider: str = "parquet",
@@ -68,8 +68,11 @@ def run_stream_job(
 
     ``table`` is created empty if absent (fixed seven-column schema). After each
     batch is logged, ``on_stats(batch_id, top20)`` receives the current top-20
-    (for a console or a metrics sink), if given.
+    (for a console or a metrics sink), if given. ``epoch`` defaults to the one of
+    the checkpoint (see :meth:`ReportState.epoch_for`).
     """
+    if epoch is None:
+        epoch = state.epoch_for(spark, checkpoint_location)
     if table is not None:
         create_report_if_absent(spark, table, provider=provider)
     after_batch = None

@@ -26,7 +26,9 @@ from regiontally.schemas import REPORT_COLUMNS, REPORT_SCHEMA
 from regiontally.streaming.delta_log import _hadoop_path, read_log
 
 NO_POSITION = (-1, -1)
+EPOCH_MARKER = "regiontally-epoch"
 _VERSION = re.compile(r"upto_epoch=(-?\d+)/upto_batch=(-?\d+)$")
+_EPOCH = re.compile(r"epoch=(-?\d+)")
 
 
 @dataclass(frozen=True)
@@ -86,6 +88,72 @@ class ReportState:
         report.select(*REPORT_COLUMNS).write.mode("overwrite").parquet(path)
         return path
 
+    def log_epochs(self, spark: SparkSession) -> list[int]:
+        """Epochs present in the log (folder metadata only)."""
+        root, fs = _hadoop_path(spark, self.log_root)
+        if not fs.exists(root):
+            return []
+        found = []
+        for status in fs.listStatus(root):
+            match = _EPOCH.fullmatch(status.getPath().getName())
+            if status.isDirectory() and match:
+                found.append(int(match.group(1)))
+        return sorted(found)
+
+    def epoch_for(self, spark: SparkSession, checkpoint_location: str) -> int:
+        """The log epoch of a stream checkpoint.
+
+        Spark numbers batches from 0 in every new checkpoint, so each checkpoint
+        gets its own epoch: the one recorded in the checkpoint folder when it was
+        first started (a restart keeps writing, and replaying, the same entries),
+        else one past the newest epoch in the log (a new checkpoint never
+        overwrites an older run's entries). Both the baseline versions and the
+        log are considered, so an epoch is never reused after expiry.
+        """
+        marker, fs = _hadoop_path(spark, f"{checkpoint_location.rstrip('/')}/{EPOCH_MARKER}")
+        if fs.exists(marker):
+            stream = fs.open(marker)
+            try:
+                return int(stream.readUTF())
+            finally:
+                stream.close()
+        known = [e for e, _ in self.versions(spark)] + self.log_epochs(spark)
+        epoch = max(known, default=-1) + 1
+        out = fs.create(marker, False)
+        try:
+            out.writeUTF(str(epoch))
+        finally:
+            out.close()
+        return epoch
+
+
+def expire(spark: SparkSession, state: ReportState, keep_versions: int = 2) -> list[str]:
+    """Delete baseline versions older than the newest ``keep_versions`` and the log
+    entries every kept version already covers; returns the deleted folders.
+
+    Readers that started before an expiry may still be reading an expired
+    version, so keep enough versions to cover the longest reader (as with any
+    table-format retention).
+    """
+    versions = state.versions(spark)
+    if keep_versions < 1 or len(versions) <= keep_versions:
+        return []
+    kept = versions[-keep_versions:]
+    oldest_kept = kept[0]
+    deleted = []
+    for version in versions[:-keep_versions]:
+        path, fs = _hadoop_path(spark, state.baseline_path(version))
+        fs.delete(path, True)
+        deleted.append(path.toString())
+    for epoch in state.log_epochs(spark):
+        epoch_dir, fs = _hadoop_path(spark, f"{state.log_root}/epoch={epoch}")
+        for status in fs.listStatus(epoch_dir):
+            match = re.fullmatch(r"batch_id=(-?\d+)", status.getPath().getName())
+            if match and (epoch, int(match.group(1))) <= oldest_kept:
+                fs.delete(status.getPath(), True)
+                deleted.append(status.getPath().toString())
+    return deleted
+
 
 def compact(spark: SparkSession, state: ReportState) -> tuple[int, int]:
     """Fold the log into a new baseline version; returns the position it covers."""

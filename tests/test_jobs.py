@@ -65,3 +65,39 @@ def test_cli_batch_and_report(spark, capsys):
     assert "R4" in out and "North" in out
     state = ReportState(f"{work}/state")
     assert state.current(spark).where(F.col("region_id") == "R2").first().total_population == 5
+
+
+def _run_feed(spark, state, work, checkpoint, batches, feed):
+    handle = run_stream_job(
+        spark, feed.stream(), fx.regions(spark), state, checkpoint, trigger={"processingTime": "0 seconds"}
+    )
+    try:
+        for b in batches:
+            feed.release(b)
+            handle.process_all_available()
+    finally:
+        handle.stop()
+
+
+def test_new_checkpoint_gets_new_epoch_and_expiry_keeps_the_report(spark):
+    from regiontally.streaming.state import expire
+
+    work = shared_dir(spark, "test-epochs")
+    state = ReportState(f"{work}/state")
+    run_batch_job(spark, fx.users(spark), fx.regions(spark), state)
+    first = ChangeFeed(spark, f"{work}/feed-a")
+    first.stage(_raw_changes(spark, [1, 2]))
+    _run_feed(spark, state, work, f"{work}/ckpt-a", [1, 2], first)
+    assert state.epoch_for(spark, f"{work}/ckpt-a") == 0  # a restart keeps its epoch
+    second = ChangeFeed(spark, f"{work}/feed-b")
+    second.stage(_raw_changes(spark, [3, 4]))
+    _run_feed(spark, state, work, f"{work}/ckpt-b", [3, 4], second)  # batch ids restart at 0
+    assert state.log_epochs(spark) == [0, 1]
+    assert state.log_position(spark) == (1, 1)
+    assert _state_of(state.current(spark)) == fx.EXPECTED_AFTER_BASELINE
+
+    assert compact(spark, state) == (1, 1)
+    deleted = expire(spark, state, keep_versions=1)
+    assert len(deleted) == 1 + 4  # the old baseline and the four covered log entries
+    assert state.versions(spark) == [(1, 1)]
+    assert _state_of(state.current(spark)) == fx.EXPECTED_AFTER_BASELINE
