@@ -1,8 +1,8 @@
 """Command line: ``python -m regiontally {batch,stream,report,compact} ...``.
 
-Sources are read with a format name and options (``--users-format mongodb
---users-option database=ZOV ...`` where that connector is installed; parquet
-or json paths otherwise). State, checkpoints and logs must be on shared storage.
+Sources are read with a format name and options (``--users-format <connector>
+--users-option key=value ...`` for a document-store connector where it is
+installed; parquet or json paths otherwise). State, checkpoints and logs must be on shared storage.
 """
 
 from __future__ import annotations

@@ -43,10 +43,10 @@ def test_duplicate_region_keys_are_rejected(spark):
 
 
 def test_qualified_names():
-    assert qualified_name("analytics.mortality_report_streaming") == (
+    assert qualified_name("analytics.population_report") == (
         "spark_catalog",
         "analytics",
-        "mortality_report_streaming",
+        "population_report",
     )
     assert full_name("report") == "spark_catalog.default.report"
     assert full_name("a.b.c") == "spark_catalog.a.b.c"
