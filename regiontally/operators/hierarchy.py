@@ -179,8 +179,12 @@ def lookup_broadcastable(regions: DataFrame, max_bytes: int | None = None) -> bo
 
 
 def anchored_users(users: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Project users to the columns resolution needs (plus ``carry``), with their lookup key."""
-    return users.selectExpr(
+    """Project users to the columns resolution needs (plus ``carry``), with their lookup key.
+
+    Users with neither id can never resolve; filtering them with a plain
+    predicate lets the scan push it down (``Or(IsNotNull, IsNotNull)``).
+    """
+    return users.where("districtId IS NOT NULL OR regionId IS NOT NULL").selectExpr(
         *carry,
         "user_doc_id",
         "active",

@@ -35,7 +35,7 @@ def physical_plan(df: DataFrame) -> str:
     initial plan that the adaptive node also prints is cut off), else the initial one."""
     text = df._jdf.queryExecution().executedPlan().toString()
     if "== Final Plan ==" in text:
-        text = text.split("== Initial Plan ==", 1)[0]
+        text = text.split("== Initial Plan ==", 1)[0].rstrip().removesuffix("+-").rstrip() + "\n"
     return text
 
 

@@ -88,3 +88,11 @@ def test_report_with_fallback_join_matches(spark):
     a = report.mortality_report(users, regions)
     b = report.mortality_report(users, regions, max_broadcast_bytes=0)
     assert _rows(a, cols) == _rows(b, cols)
+
+
+def test_anchor_predicate_reaches_the_users_scan(spark):
+    users, regions = td.users(spark, SF001), td.regions(spark, SF001)
+    df = hierarchy.users_mapped(users, regions)
+    df.collect()
+    scan = scans_of(df, "testdata/users")[0]
+    assert "Or(IsNotNull(districtId),IsNotNull(regionId))" in scan
