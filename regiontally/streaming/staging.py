@@ -2,8 +2,9 @@
 
 Used to replay the driver's ``events`` table as a change stream with exact
 batch boundaries. The rows are written once, in parallel, partitioned by their
-batch column (any number of files per batch: a batch holding a third of the
-rows is still written by many tasks). A batch then *arrives* by an atomic
+batch column and rebalanced by adaptive execution (a batch holding a third of
+the rows is written by several tasks, small batches do not scatter into many
+small files). A batch then *arrives* by an atomic
 rename of its folder into the watched directory, the usual landing-directory
 pattern for file sources; after each arrival ``processAllAvailable`` makes the
 running query take exactly that folder as one micro-batch. Only folder
@@ -37,8 +38,15 @@ class ChangeFeed:
         return f"{self.root.rstrip('/')}/incoming"
 
     def stage(self, changes: DataFrame) -> list[int]:
-        """Write ``changes`` (documents + batch column) as pending batches; returns them in order."""
-        changes.write.mode("append").partitionBy(self.batch_col).parquet(self.pending)
+        """Write ``changes`` (documents + batch column) as pending batches; returns them in order.
+
+        The rebalance hint lets adaptive execution size the write tasks by the
+        advisory partition size: small batches share a task (few files), and a
+        batch holding a large share of the rows is split over several tasks.
+        """
+        changes.hint("rebalance", self.batch_col).write.mode("append").partitionBy(self.batch_col).parquet(
+            self.pending
+        )
         return self.pending_batches()
 
     def pending_batches(self) -> list[int]:
