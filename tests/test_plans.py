@@ -96,3 +96,21 @@ def test_anchor_predicate_reaches_the_users_scan(spark):
     df.collect()
     scan = scans_of(df, "testdata/users")[0]
     assert "Or(IsNotNull(districtId),IsNotNull(regionId))" in scan
+
+
+def test_skew_split_hot_keys_are_bounded_and_nulls_dropped(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(f"h{i}", "D1", None, None, True) for i in range(400)]  # one anchor holds most rows
+    rows += [(f"n{i}", None, None, None, True) for i in range(50)]  # NULL anchor: never joins
+    rows += fx.USER_ROWS
+    users, regions = fx.users(spark, rows), fx.regions(spark)
+    anchored = hierarchy.anchored_users(users)
+    counts = anchored.groupBy(*hierarchy.LOOKUP_KEYS).count()
+    total = counts.agg(F.sum("count")).first()[0]
+    partitions = 4
+    hot = counts.where(F.col("count") > total // partitions).collect()
+    assert len(hot) <= partitions and [(r.anchor_kind, r.anchor_id) for r in hot] == [("D", "D1")]
+    joined = skew_split_join(anchored, hierarchy.region_lookup(regions), hierarchy.LOOKUP_KEYS, partitions=partitions)
+    assert joined.where("user_doc_id LIKE 'n%'").count() == 0
+    assert joined.where("anchor_id = 'D1'").count() == 402
