@@ -1,0 +1,8 @@
+"""regiontally: per-REGION population and inactivity reports on Spark.
+
+Batch: :func:`regiontally.operators.report.mortality_report`; streaming:
+:func:`regiontally.jobs.run_stream_job` with state in
+:class:`regiontally.streaming.state.ReportState`. See README.md.
+"""
+
+__version__ = "0.1.0"
