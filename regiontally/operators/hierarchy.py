@@ -7,8 +7,9 @@ Two equivalent forms are provided:
   branch, then a union and ``distinct``. They scan users three times.
 * the *flattened lookup* (``region_lookup`` + ``resolve_users``): the tree is
   flattened once into ``(anchor_kind, anchor_id) → region`` and every user
-  goes through a single equi-join. Users are scanned once, and the lookup is
-  broadcast only after its size has been measured.
+  goes through a single equi-join. Users are scanned once; the lookup is
+  broadcast only when an upper bound computed from the region table proves
+  it small, and otherwise joined by a skew-split shuffle join.
 
 Rules both forms implement: a non-null ``districtId`` decides alone (no
 fallback to ``regionId``); the district chain must be exactly
@@ -34,8 +35,6 @@ from regiontally.schemas import CITY, DISTRICT, REGION
 
 MAPPED_COLUMNS = ["user_doc_id", "active", "effective_region_id", "effective_region_name"]
 LOOKUP_KEYS = ["anchor_kind", "anchor_id"]
-
-
 LEVELS = (REGION, CITY, DISTRICT)
 
 

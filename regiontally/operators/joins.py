@@ -1,7 +1,9 @@
 """Join strategies with a checked size and a skew-safe fallback.
 
 ``broadcast`` is applied only to a relation whose size has been measured
-against a threshold. When the dimension side is too large to broadcast, the
+(:func:`measure`) or bounded from its source (the region lookup, see
+``hierarchy.lookup_size_bound``) against a threshold. When the dimension side
+is too large to broadcast, the
 join is a shuffle join, but keys that hold more than one partition's fair
 share of the large side ("hot" keys) are split off and joined through a
 broadcast of just their dimension rows. At most ``partitions`` keys can be hot,
