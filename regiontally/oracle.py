@@ -197,6 +197,8 @@ def oracle_sql() -> dict[str, str]:
         "users_via_city": _with(*MAPPED_CTES) + "SELECT * FROM mapped_city",
         "users_via_region": _with(*MAPPED_CTES) + "SELECT * FROM mapped_region",
         "users_mapped": _with(*MAPPED_CTES) + f"SELECT {MAPPED_COLS} FROM mapped",
+        "users_mapped_large_tree": _with(*MAPPED_CTES) + f"SELECT {MAPPED_COLS} FROM mapped",
+        "users_mapped_by_branches": _with(*MAPPED_CTES) + f"SELECT {MAPPED_COLS} FROM mapped",
         "preview_mapped": _with(*MAPPED_CTES)
         + f"SELECT {MAPPED_COLS} FROM mapped ORDER BY user_doc_id ASC NULLS LAST, active ASC NULLS LAST, "
         "effective_region_id ASC NULLS LAST, effective_region_name ASC NULLS LAST LIMIT 10",
@@ -205,6 +207,7 @@ def oracle_sql() -> dict[str, str]:
         "report_base": _with(CN, REGIONS)
         + "SELECT region_doc_id AS region_id, region_name, parentRegionId AS parent_country_id FROM lvl_r",
         "mortality_report": REPORT_SQL,
+        "mortality_report_large_tree": REPORT_SQL,
         "top20_regions": _with(*REPORT_CTES)
         + "SELECT region_id, region_name, total_population, dead_population, mortality_rate_percent "
         "FROM report ORDER BY mortality_rate_percent DESC, total_population DESC, region_id ASC LIMIT 20",

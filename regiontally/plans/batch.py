@@ -42,8 +42,13 @@ def users_via_region(users: DataFrame, regions: DataFrame) -> DataFrame:
     return hierarchy.users_via_region(users, regions)
 
 
-def users_mapped(users: DataFrame, regions: DataFrame) -> DataFrame:
-    return hierarchy.users_mapped(users, regions)
+def users_mapped(users: DataFrame, regions: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
+    return hierarchy.users_mapped(users, regions, max_broadcast_bytes)
+
+
+def users_mapped_by_branches(users: DataFrame, regions: DataFrame) -> DataFrame:
+    """The original shape: three branches, union by name, distinct."""
+    return hierarchy.users_mapped_by_branches(users, regions)
 
 
 def preview_mapped(users: DataFrame, regions: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
@@ -68,8 +73,10 @@ def region_parents(regions: DataFrame) -> DataFrame:
     return report.region_parents(regions)
 
 
-def mortality_report(users: DataFrame, regions: DataFrame, ordered: bool = True) -> DataFrame:
-    return report.mortality_report(users, regions, ordered=ordered)
+def mortality_report(
+    users: DataFrame, regions: DataFrame, ordered: bool = True, max_broadcast_bytes: int | None = None
+) -> DataFrame:
+    return report.mortality_report(users, regions, ordered=ordered, max_broadcast_bytes=max_broadcast_bytes)
 
 
 def top20_regions(users: DataFrame, regions: DataFrame) -> DataFrame:

@@ -109,11 +109,15 @@ def queries() -> dict[str, Query]:
         "users_via_city": lambda s, d: batch.users_via_city(_users(s, d), _regions(s, d)),
         "users_via_region": lambda s, d: batch.users_via_region(_users(s, d), _regions(s, d)),
         "users_mapped": lambda s, d: batch.users_mapped(_users(s, d), _regions(s, d)),
+        # The path taken when the tree is too large to broadcast: skew-split shuffle join.
+        "users_mapped_large_tree": lambda s, d: batch.users_mapped(_users(s, d), _regions(s, d), 0),
+        "users_mapped_by_branches": lambda s, d: batch.users_mapped_by_branches(_users(s, d), _regions(s, d)),
         "preview_mapped": lambda s, d: batch.preview_mapped(_users(s, d), _regions(s, d)),
         "total_population": lambda s, d: batch.total_population(_users(s, d), _regions(s, d)),
         "dead_population": lambda s, d: batch.dead_population(_users(s, d), _regions(s, d)),
         "report_base": lambda s, d: batch.report_base(_regions(s, d)),
         "mortality_report": lambda s, d: batch.mortality_report(_users(s, d), _regions(s, d)),
+        "mortality_report_large_tree": lambda s, d: batch.mortality_report(_users(s, d), _regions(s, d), True, 0),
         "top20_regions": lambda s, d: batch.top20_regions(_users(s, d), _regions(s, d)),
         "region_parents": lambda s, d: batch.region_parents(_regions(s, d)),
         "batch_deltas": lambda s, d: incremental.batch_deltas(_changes(s, d), _regions(s, d)),
