@@ -237,6 +237,16 @@ def users_mapped(users: DataFrame, regions: DataFrame, max_broadcast_bytes: int
     """Distinct ``(user_doc_id, active, effective_region_id, effective_region_name)``.
 
     Identical copies collapse; copies that disagree on ``active`` both stay.
+    The name depends on the region id alone, so when the tree is proven small
+    the distinct shuffles ids only and the names are attached afterwards by a
+    broadcast join (map-side); otherwise the name rides the shuffle.
     """
-    resolved = resolve_with_regions(users, regions, max_broadcast_bytes)
-    return resolved.select(*MAPPED_COLUMNS).distinct()
+    small_tree = lookup_broadcastable(regions, max_broadcast_bytes)
+    resolved = resolve_users(users, region_lookup(regions), broadcast=small_tree)
+    if not small_tree:
+        return resolved.select(*MAPPED_COLUMNS).distinct()
+    names = regions_by_level(regions, REGION).selectExpr(
+        "region_doc_id AS effective_region_id", "region_name AS effective_region_name"
+    )
+    ids = resolved.selectExpr("user_doc_id", "active", "effective_region_id").distinct()
+    return ids.join(F.broadcast(names), "effective_region_id", "inner").selectExpr(*MAPPED_COLUMNS)
