@@ -23,7 +23,10 @@ from regiontally.session import checkpoint_root
 
 # Bytes assumed per row on top of the payload (UnsafeRow header, null bits, hash entry).
 ROW_OVERHEAD_BYTES = 48
-DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# A region tree of a million districts bounds at ~150 MB: broadcasting it to every
+# executor is far cheaper than shuffling billions of users, and fits executor and
+# driver memory comfortably. Set spark.regiontally.broadcastMaxBytes to change it.
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 BROADCAST_MAX_BYTES_CONF = "spark.regiontally.broadcastMaxBytes"
 
 
