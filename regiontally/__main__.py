@@ -63,7 +63,7 @@ def main(argv=None) -> int:
         trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
         on_stats = (lambda batch_id, top: top.show(truncate=False)) if args.stats else None
         handle = run_stream_job(
-            spark, changes, regions.persist(), state, args.checkpoint, args.epoch, trigger,
+            spark, changes, regions, state, args.checkpoint, args.epoch, trigger,
             args.table, args.provider, on_stats,
         )
         handle.await_done()
