@@ -225,6 +225,10 @@ def oracle_sql() -> dict[str, str]:
         "report_after_stream_with_baseline": _with(*CHANGE_CTES, _stream_state("deltas_parent", "state"))
         + _over_baseline("state"),
         "report_after_stream_empty": AFTER_EMPTY_SQL,
+        "top20_after_stream": _with(*CHANGE_CTES, _stream_state("deltas_parent", "state"))
+        + "SELECT region_id, region_name, total_population, dead_population, mortality_rate_percent FROM ("
+        + _over_baseline("state")
+        + ") ORDER BY mortality_rate_percent DESC, total_population DESC, region_id ASC LIMIT 20",
         "stream_users_to_report": AFTER_EMPTY_SQL,
         "emptiness_probes": _with(*CHANGE_CTES)
         + """SELECT 'users' AS relation, NOT EXISTS (SELECT 1 FROM users) AS is_empty

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regiontally.operators.deltas import fold
 from regiontally.operators.hierarchy import lookup_broadcastable, region_lookup, resolve_users
-from regiontally.operators.report import mortality_report
+from regiontally.operators.report import mortality_report, top_regions
 from regiontally.plans import batch, incremental
 from regiontally.schemas import REPORT_COLUMNS
 from regiontally.session import shared_dir
@@ -92,6 +92,11 @@ def report_after_stream_with_baseline(spark: SparkSession, d: str) -> DataFrame:
     return incremental.report_after_stream(changes, regions, baseline, broadcast=small_tree)
 
 
+def top20_after_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The stats readback: top 20 of the report after every micro-batch was upserted."""
+    return top_regions(report_after_stream_with_baseline(spark, d), 20)
+
+
 def stream_users_to_report(spark: SparkSession, d: str) -> DataFrame:
     """A real streaming run: events staged once, released one day at a time into the watched
     folder of one running query (30 micro-batches, one per day), logged and folded."""
@@ -126,6 +131,7 @@ def queries() -> dict[str, Query]:
         ),
         "merge_one_batch": lambda s, d: incremental.merge_one_batch(_users(s, d), _regions(s, d), _changes(s, d)),
         "report_after_stream_with_baseline": report_after_stream_with_baseline,
+        "top20_after_stream": top20_after_stream,
         "report_after_stream_empty": lambda s, d: incremental.report_after_stream(_changes(s, d), _regions(s, d)),
         "stream_users_to_report": stream_users_to_report,
         "emptiness_probes": emptiness_probes,
