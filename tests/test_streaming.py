@@ -134,3 +134,23 @@ def test_empty_log_reads_as_empty(spark):
     work = shared_dir(spark, "test-log")
     assert read_log(spark, work).count() == 0
     assert fold(read_log(spark, work)).count() == 0
+
+
+def test_regions_reread_per_batch(spark):
+    work = shared_dir(spark, "test-stream")
+    feed = _feed(spark, work, [1, 2, 3, 4])
+    reads = []
+
+    def snapshot():
+        reads.append(1)
+        return fx.regions(spark)
+
+    handle = start_report_stream(
+        feed.stream(), snapshot, f"{work}/log", f"{work}/checkpoint", trigger=CONTINUOUS
+    )
+    try:
+        _deliver(handle, feed, [1, 2, 3, 4])
+    finally:
+        handle.stop()
+    assert len(reads) == 4  # one snapshot per micro-batch
+    assert _state(fold(read_log(spark, f"{work}/log"))) == fx.EXPECTED_AFTER_EMPTY
