@@ -99,7 +99,12 @@ def start_report_stream(
     query_name: str | None = None,
     after_batch: Callable[[int], None] | None = None,
 ) -> ReportStream:
-    """Start the stream. ``regions`` is a snapshot, or a function re-read for every batch."""
+    """Start the stream. ``regions`` is a snapshot, or a function re-read for every batch.
+
+    ``epoch`` must differ between checkpoints that share ``log_root`` (each new
+    checkpoint restarts ``batch_id`` at 0); :func:`regiontally.jobs.run_stream_job`
+    assigns it from the checkpoint automatically.
+    """
     cached: list[DataFrame] = []
     if callable(regions):
         refresh = regions
