@@ -13,6 +13,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from regiontally.jobs import report_stats, run_batch_job, run_stream_job
+from regiontally.operators.report import order_report
 from regiontally.sources.readers import read_regions, read_users, stream_users
 from regiontally.streaming.state import ReportState, compact, expire
 
@@ -57,7 +58,8 @@ def main(argv=None) -> int:
         state = ReportState(args.state) if args.state else None
     if args.cmd == "batch":
         users = read_users(spark, args.users_format, args.users, _options(args.users_option))
-        run_batch_job(spark, users, regions, state, args.table, args.provider).show(20, truncate=False)
+        published = run_batch_job(spark, users, regions, state, args.table, args.provider)
+        order_report(published).show(20, truncate=False)
     elif args.cmd == "stream":
         changes = stream_users(spark, args.users_format, args.users, _options(args.users_option))
         trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
