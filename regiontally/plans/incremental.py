@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from regiontally.operators import deltas as delta_ops
 from regiontally.operators.hierarchy import lookup_broadcastable, region_lookup, resolve_users
 from regiontally.operators.report import mortality_report, report_base
-from regiontally.schemas import CHANGE_SCHEMA
 from regiontally.streaming.delta_log import read_log
 from regiontally.streaming.runner import start_report_stream
 from regiontally.streaming.staging import ChangeFeed
 
 BATCH_KEY = "batch_id"
+STAGED_FIELDS = ["_id", "regionId", "districtId", "active"]
 
 
 def batch_deltas(
@@ -75,7 +75,10 @@ def run_stream(
     one running query. ``work_dir`` must be shared storage (feed, checkpoint, log).
     """
     feed = ChangeFeed(spark, f"{work_dir}/feed", BATCH_KEY)
-    batches = feed.stage(raw_changes.select(*CHANGE_SCHEMA.names))
+    # The report reads four fields of a change document; the stream declares the
+    # full document schema, and fields absent from the staged files read as NULL,
+    # so only those four are copied into the feed.
+    batches = feed.stage(raw_changes.select(*STAGED_FIELDS, BATCH_KEY))
     checkpoint, log = f"{work_dir}/checkpoint", f"{work_dir}/log"
     handle = start_report_stream(feed.stream(), regions, log, checkpoint, epoch, trigger={"processingTime": "0 seconds"})
     try:
