@@ -11,6 +11,8 @@ checkpoint takes a larger epoch and the log stays ordered by
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -42,8 +44,22 @@ def batch_path(root: str, epoch: int, batch_id: int) -> str:
 
 
 def write_batch(delta_rows: DataFrame, root: str, epoch: int, batch_id: int) -> None:
-    """Replace the log entry of one batch with ``delta_rows`` (the delta columns)."""
-    delta_rows.select(*DELTA_COLUMNS).write.mode("overwrite").parquet(batch_path(root, epoch, batch_id))
+    """Replace the log entry of one batch with ``delta_rows`` (the delta columns).
+
+    The rows are written to a hidden staging folder (names starting with ``_``
+    are not listed by readers) and renamed into place, so a reader folding the
+    log sees a batch entry either whole or not at all.
+    """
+    spark = delta_rows.sparkSession
+    staging = f"{root.rstrip('/')}/_staging/epoch={int(epoch)}-batch_id={int(batch_id)}-{uuid.uuid4().hex}"
+    delta_rows.select(*DELTA_COLUMNS).write.parquet(staging)
+    src, fs = _hadoop_path(spark, staging)
+    dst, _ = _hadoop_path(spark, batch_path(root, epoch, batch_id))
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst):
+        fs.delete(dst, True)  # a replayed batch replaces its own entry
+    if not fs.rename(src, dst):
+        raise OSError(f"could not publish log entry {dst.toString()}")
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
