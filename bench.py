@@ -22,6 +22,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from regiontally.plans.inspect import operator_counts  # noqa: E402
 from regiontally.queries import queries  # noqa: E402
 from regiontally.session import local_session  # noqa: E402
 from regiontally.sources import testdata  # noqa: E402
@@ -37,6 +38,7 @@ HEADLINE = [
     "report_after_stream_empty",
 ]
 STREAM_KEY = "stream_users_to_report"
+PLAN_OPS = ["file_scans", "hash_shuffles", "range_shuffles", "broadcast_joins", "sort_merge_joins"]
 
 
 def _run(df) -> None:
@@ -71,8 +73,12 @@ def main() -> int:
         )
     )
     results: dict[str, float] = {}
+    plans: dict[str, dict[str, int]] = {}
     for key in HEADLINE:
-        _run(qs[key](spark, sf_dir))  # warm-up
+        warm = qs[key](spark, sf_dir)
+        _run(warm)  # warm-up
+        counts = operator_counts(warm)  # physical plan as planned (before adaptive re-planning)
+        plans[key] = {k: counts[k] for k in PLAN_OPS}
         times = [_timed(lambda: _run(qs[key](spark, sf_dir))) for _ in range(repeats)]
         results[key] = round(statistics.median(times), 4)
         print(f"{key}: {results[key]}s", file=sys.stderr)
@@ -92,6 +98,7 @@ def main() -> int:
         "stream_sec_per_micro_batch": (
             round(results[STREAM_KEY] / stream_batches, 4) if stream_batches else None
         ),
+        "plans": plans,
         "cpus": cpus,
         "repeats": repeats,
         "spark": spark.version,
