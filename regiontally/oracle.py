@@ -208,6 +208,7 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT region_doc_id AS region_id, region_name, parentRegionId AS parent_country_id FROM lvl_r",
         "mortality_report": REPORT_SQL,
         "mortality_report_large_tree": REPORT_SQL,
+        "mortality_report_branch_shape": REPORT_SQL,
         "top20_regions": _with(*REPORT_CTES)
         + "SELECT region_id, region_name, total_population, dead_population, mortality_rate_percent "
         "FROM report ORDER BY mortality_rate_percent DESC, total_population DESC, region_id ASC LIMIT 20",

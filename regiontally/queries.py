@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regiontally.operators.deltas import fold
 from regiontally.operators.hierarchy import lookup_broadcastable, region_lookup, resolve_users
-from regiontally.operators.report import mortality_report, top_regions
+from regiontally.operators.report import mortality_report, mortality_report_branch_shape, top_regions
 from regiontally.plans import batch, incremental
 from regiontally.schemas import REPORT_COLUMNS
 from regiontally.session import shared_dir
@@ -123,6 +123,8 @@ def queries() -> dict[str, Query]:
         "report_base": lambda s, d: batch.report_base(_regions(s, d)),
         "mortality_report": lambda s, d: batch.mortality_report(_users(s, d), _regions(s, d)),
         "mortality_report_large_tree": lambda s, d: batch.mortality_report(_users(s, d), _regions(s, d), True, 0),
+        # The original job's plan shape (P-4 star expansion, J-7 + J-8 as two left joins).
+        "mortality_report_branch_shape": lambda s, d: mortality_report_branch_shape(_users(s, d), _regions(s, d)),
         "top20_regions": lambda s, d: batch.top20_regions(_users(s, d), _regions(s, d)),
         "region_parents": lambda s, d: batch.region_parents(_regions(s, d)),
         "batch_deltas": lambda s, d: incremental.batch_deltas(_changes(s, d), _regions(s, d)),

@@ -14,7 +14,7 @@ from regiontally.plans.inspect import operator_counts  # noqa: E402
 from regiontally.queries import queries  # noqa: E402
 from regiontally.session import local_session  # noqa: E402
 
-KEYS = ["mortality_report", "users_mapped", "batch_deltas_with_parent", "report_after_stream_with_baseline",
+KEYS = ["mortality_report", "mortality_report_branch_shape", "users_mapped", "batch_deltas_with_parent", "report_after_stream_with_baseline",
         "users_via_district"]
 COLS = ["file_scans", "hash_shuffles", "range_shuffles", "broadcasts", "broadcast_joins", "sort_merge_joins",
         "shuffled_hash_joins", "reused_exchanges"]
