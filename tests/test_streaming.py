@@ -154,3 +154,17 @@ def test_regions_reread_per_batch(spark):
         handle.stop()
     assert len(reads) == 4  # one snapshot per micro-batch
     assert _state(fold(read_log(spark, f"{work}/log"))) == fx.EXPECTED_AFTER_EMPTY
+
+
+def test_empty_region_snapshot_changes_nothing(spark):
+    work = shared_dir(spark, "test-stream")
+    feed = _feed(spark, work, [1, 2])
+    empty = fx.regions(spark).where("1 = 0")
+    handle = start_report_stream(feed.stream(), empty, f"{work}/log", f"{work}/checkpoint", trigger=CONTINUOUS)
+    try:
+        _deliver(handle, feed, [1, 2])
+    finally:
+        handle.stop()
+    log = read_log(spark, f"{work}/log")
+    assert log.count() == 0
+    assert fold(log).count() == 0
