@@ -76,28 +76,40 @@ def main() -> int:
     )
     results: dict[str, float] = {}
     plans: dict[str, dict[str, int]] = {}
+    errors: dict[str, str] = {}
     for key in HEADLINE:
-        warm = qs[key](spark, sf_dir)
-        _run(warm)  # warm-up
-        counts = operator_counts(warm)  # physical plan as planned (before adaptive re-planning)
-        plans[key] = {k: counts[k] for k in PLAN_OPS}
-        times = [_timed(lambda: _run(qs[key](spark, sf_dir))) for _ in range(repeats)]
+        try:
+            warm = qs[key](spark, sf_dir)
+            _run(warm)  # warm-up
+            counts = operator_counts(warm)  # physical plan as planned (before adaptive re-planning)
+            plans[key] = {k: counts[k] for k in PLAN_OPS}
+            times = [_timed(lambda: _run(qs[key](spark, sf_dir))) for _ in range(repeats)]
+        except Exception as exc:  # keep the other measurements; report the failure
+            errors[key] = f"{type(exc).__name__}: {exc}"[:500]
+            continue
         results[key] = round(statistics.median(times), 4)
         print(f"{key}: {results[key]}s", file=sys.stderr)
     comparison: dict[str, float] = {}
     for ours, theirs in COMPARISON.items():
-        warm = qs[theirs](spark, sf_dir)
-        _run(warm)
-        counts = operator_counts(warm)
-        plans[theirs] = {k: counts[k] for k in PLAN_OPS}
-        times = [_timed(lambda: _run(qs[theirs](spark, sf_dir))) for _ in range(repeats)]
+        try:
+            warm = qs[theirs](spark, sf_dir)
+            _run(warm)
+            counts = operator_counts(warm)
+            plans[theirs] = {k: counts[k] for k in PLAN_OPS}
+            times = [_timed(lambda: _run(qs[theirs](spark, sf_dir))) for _ in range(repeats)]
+        except Exception as exc:
+            errors[theirs] = f"{type(exc).__name__}: {exc}"[:500]
+            continue
         comparison[theirs] = round(statistics.median(times), 4)
-        print(f"{theirs}: {comparison[theirs]}s (ours: {results[ours]}s)", file=sys.stderr)
+        print(f"{theirs}: {comparison[theirs]}s (ours: {results.get(ours)}s)", file=sys.stderr)
     stream_batches = None
     if with_stream:
-        results[STREAM_KEY] = round(_timed(lambda: _run(qs[STREAM_KEY](spark, sf_dir))), 4)
-        stream_batches = testdata.user_events(spark, sf_dir).select("batch_id").distinct().count()
-        print(f"{STREAM_KEY}: {results[STREAM_KEY]}s over {stream_batches} micro-batches", file=sys.stderr)
+        try:
+            results[STREAM_KEY] = round(_timed(lambda: _run(qs[STREAM_KEY](spark, sf_dir))), 4)
+            stream_batches = testdata.user_events(spark, sf_dir).select("batch_id").distinct().count()
+            print(f"{STREAM_KEY}: {results[STREAM_KEY]}s over {stream_batches} micro-batches", file=sys.stderr)
+        except Exception as exc:
+            errors[STREAM_KEY] = f"{type(exc).__name__}: {exc}"[:500]
     out = {
         "metric": "sum_of_median_query_sec",
         "value": round(sum(results.values()), 4),
@@ -111,6 +123,7 @@ def main() -> int:
         ),
         "original_shape_same_engine": comparison,
         "plans": plans,
+        "errors": errors,
         "cpus": cpus,
         "repeats": repeats,
         "spark": spark.version,
