@@ -53,7 +53,7 @@ def users_mapped_by_branches(users: DataFrame, regions: DataFrame) -> DataFrame:
 
 def preview_mapped(users: DataFrame, regions: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
     """A bounded preview of the mapped users (no secret columns), in a total order; a top-k plan."""
-    ordered = hierarchy.users_mapped(users, regions).orderBy(*[F.col(c).asc_nulls_last() for c in MAPPED_COLUMNS])
+    ordered = hierarchy.users_mapped(users, regions).orderBy(*[F.asc_nulls_last(c) for c in MAPPED_COLUMNS])
     return ordered.limit(n)
 
 
