@@ -114,3 +114,25 @@ def test_skew_split_hot_keys_are_bounded_and_nulls_dropped(spark):
     joined = skew_split_join(anchored, hierarchy.region_lookup(regions), hierarchy.LOOKUP_KEYS, partitions=partitions)
     assert joined.where("user_doc_id LIKE 'n%'").count() == 0
     assert joined.where("anchor_id = 'D1'").count() == 402
+
+
+def test_hot_region_is_spread_over_the_distinct_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from regiontally.operators.aggregate import population_counts
+
+    hot = [(f"h{i}", None, "R1", None, i % 2 == 0) for i in range(3600)]  # 90 % in one REGION
+    cold = [(f"c{i}", None, "R2", None, True) for i in range(400)]
+    users, regions = fx.users(spark, hot + cold), fx.regions(spark)
+    resolved = hierarchy.resolve_with_regions(users, regions)
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the 8 hash partitions visible
+    try:
+        distinct = resolved.select("effective_region_id", "user_doc_id", "active").distinct()
+        sizes = [r["count"] for r in distinct.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        counts = {r.effective_region_id: r.total_population for r in population_counts(resolved).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
+    assert sum(sizes) == 4000 and len(sizes) == 8
+    assert max(sizes) < 0.25 * 4000  # the hot REGION does not land on one reducer
+    assert counts == {"R1": 3600, "R2": 400}
