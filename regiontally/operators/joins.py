@@ -85,6 +85,12 @@ def skew_split_join(
     an ordinary shuffle join, where no key can exceed a partition's share.
     Per-key counts are combined map-side, so finding the hot keys shuffles
     one row per key per task, not the large relation.
+
+    Cost: the large side is read three times (counts, hot branch, cold branch;
+    Spark does not share a scan between union branches). In exchange, neither
+    a hot key nor a group of identical copies can concentrate a shuffle: hot
+    keys never reach one, and every cold key holds under a partition's share.
+    Only used above the broadcast bound, i.e. for very large trees.
     """
     keys = list(keys)
     spark = big.sparkSession
