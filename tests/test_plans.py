@@ -136,3 +136,13 @@ def test_hot_region_is_spread_over_the_distinct_shuffle(spark):
     assert sum(sizes) == 4000 and len(sizes) == 8
     assert max(sizes) < 0.25 * 4000  # the hot REGION does not land on one reducer
     assert counts == {"R1": 3600, "R2": 400}
+
+
+def test_original_shape_reads_users_six_times(spark):
+    users, regions = td.users(spark, SF001), td.regions(spark, SF001)
+    theirs = report.mortality_report_branch_shape(users, regions)
+    theirs.collect()
+    ours = report.mortality_report(users, regions)
+    ours.collect()
+    assert len(scans_of(theirs, "testdata/users")) == 6
+    assert len(scans_of(ours, "testdata/users")) == 1
