@@ -101,3 +101,17 @@ def test_new_checkpoint_gets_new_epoch_and_expiry_keeps_the_report(spark):
     assert len(deleted) == 1 + 4  # the old baseline and the four covered log entries
     assert state.versions(spark) == [(1, 1)]
     assert _state_of(state.current(spark)) == fx.EXPECTED_AFTER_BASELINE
+
+
+def test_cli_stream_available_now(spark):
+    work = shared_dir(spark, "test-cli-stream")
+    fx.raw_users(spark).write.parquet(f"{work}/users")
+    fx.raw_regions(spark).write.parquet(f"{work}/regions")
+    first_batch = [(i, None, r, None, a) for b, i, r, a in fx.STREAM_ROWS if b == 1]
+    fx.raw_users(spark, first_batch).write.parquet(f"{work}/changes")
+    common = ["--regions", f"{work}/regions", "--state", f"{work}/state"]
+    assert cli(["batch", "--users", f"{work}/users", *common]) == 0
+    assert cli(["stream", "--users", f"{work}/changes", *common, "--checkpoint", f"{work}/ckpt", "--available-now"]) == 0
+    got = _state_of(ReportState(f"{work}/state").current(spark))
+    assert got["R2"] == (5, 3, 60.0)  # u03 turned inactive: one more dead, total frozen
+    assert got["R1"] == (4, 2, 50.0)  # u18 is new: the frozen total does not grow
