@@ -55,8 +55,19 @@ def count_dead(user_id: str = "user_doc_id", active: str = "active") -> Column:
     return F.expr(f"count(CASE WHEN {is_dead_sql(active)} THEN {user_id} END)")
 
 
-def mortality_rate_sql(dead: str = "dead_population", total: str = "total_population") -> str:
-    # 100.0D and 0.0D are double literals: the rate is computed in double arithmetic.
+def mortality_rate_sql(
+    dead: str = "dead_population", total: str = "total_population", arithmetic: str = "double"
+) -> str:
+    """The guarded rate as SQL.
+
+    ``double`` (default): ``100.0D`` is a double literal, as in the batch report.
+    ``decimal``: the upsert statement's arithmetic, where ``100.0`` is a
+    ``decimal(4,1)`` literal and the quotient a ``decimal(38,14)``, stored as double.
+    """
+    if arithmetic == "decimal":
+        return f"CASE WHEN {total} > 0 THEN CAST({dead} * 100.0 / {total} AS DOUBLE) ELSE 0.0D END"
+    if arithmetic != "double":
+        raise ValueError(f"unknown arithmetic {arithmetic!r}")
     return f"CASE WHEN {total} > 0 THEN {dead} * 100.0D / {total} ELSE 0.0D END"
 
 

@@ -85,13 +85,18 @@ def fold(
     log: DataFrame,
     baseline: DataFrame | None = None,
     after: tuple[int, int] | None = None,
+    rate_arithmetic: str = "double",
 ) -> DataFrame:
     """Report after applying every delta of ``log`` to ``baseline`` in ``(epoch, batch_id)`` order.
 
     ``log`` has ``epoch, batch_id`` and the delta columns; ``baseline`` has the
     seven report columns (``None``: an empty table). With ``after``, log rows at
     or before that position are already contained in the baseline and skipped.
+    ``rate_arithmetic="decimal"`` computes the rates of touched rows exactly as
+    the original upsert statement did (decimal, then stored as double; they
+    differ from the double rate by at most ~1.5e-14).
     """
+    rate_sql = mortality_rate_sql(arithmetic=rate_arithmetic)
     if after is not None:
         # Lexicographic (epoch, batch_id) > after; on a partitioned log this prunes folders.
         epoch, batch = (int(v) for v in after)
@@ -112,7 +117,7 @@ def fold(
             "first.total AS total_population",
             "dead_sum AS dead_population",
         )
-        return inserted.selectExpr(*REPORT_COLUMNS[:-1], f"{mortality_rate_sql()} AS mortality_rate_percent")
+        return inserted.selectExpr(*REPORT_COLUMNS[:-1], f"{rate_sql} AS mortality_rate_percent")
 
     b = baseline.select(*REPORT_COLUMNS).alias("b")
     # Both sides have one row per REGION; a hash join needs no sort of either side.
@@ -133,5 +138,5 @@ def fold(
     # Untouched rows keep their stored rate; touched rows recompute it from the stored total.
     return merged.selectExpr(
         *REPORT_COLUMNS[:-1],
-        f"CASE WHEN touched THEN {mortality_rate_sql()} ELSE stored_rate END AS mortality_rate_percent",
+        f"CASE WHEN touched THEN {rate_sql} ELSE stored_rate END AS mortality_rate_percent",
     )

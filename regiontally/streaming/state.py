@@ -74,13 +74,13 @@ class ReportState:
         newest = versions[-1]
         return spark.read.schema(REPORT_SCHEMA).parquet(self.baseline_path(newest)), newest
 
-    def current(self, spark: SparkSession) -> DataFrame:
+    def current(self, spark: SparkSession, rate_arithmetic: str = "double") -> DataFrame:
         """The report now: newest baseline with every later log entry folded in."""
         base, covered = self.baseline(spark)
         log = read_log(spark, self.log_root)
         if base is None:
-            return fold(log)
-        return fold(log, base, after=covered)
+            return fold(log, rate_arithmetic=rate_arithmetic)
+        return fold(log, base, after=covered, rate_arithmetic=rate_arithmetic)
 
     def publish(self, report: DataFrame, covered: tuple[int, int]) -> str:
         """Write ``report`` as the baseline covering the log up to ``covered``."""

@@ -75,3 +75,57 @@ def test_fold_equals_sequential_upserts(spark, baseline, batches):
     got = {tuple(r): None for r in fold(log, base_df).collect()}
     expected = simulate(baseline or [], batches)
     assert {r[0]: r for r in got} == expected
+
+
+def test_decimal_rate_matches_the_upsert_statement_arithmetic(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from regiontally.queries import queries
+    from regiontally.sources import testdata as td
+    from tests.conftest import SF0001
+
+    from regiontally.plans import incremental
+
+    baseline = queries()["mortality_report"](spark, SF0001)
+    log = incremental.as_log(
+        incremental.batch_deltas(td.user_events(spark, SF0001), td.regions(spark, SF0001), with_parent=True)
+    )
+    as_double = {r.region_id: r for r in fold(log, baseline).collect()}
+    as_decimal = {r.region_id: r for r in fold(log, baseline, rate_arithmetic="decimal").collect()}
+    assert as_double.keys() == as_decimal.keys()
+    touched = {r.effective_region_id for r in log.select("effective_region_id").distinct().collect()}
+    differing = 0
+    for rid, row in as_decimal.items():
+        total, dead = row.total_population, row.dead_population
+        if rid in touched and total > 0:  # untouched rows keep their stored rate
+            exact = (Decimal(dead) * Decimal("100.0") / Decimal(total)).quantize(
+                Decimal("1e-14"), rounding=ROUND_HALF_UP
+            )
+            assert row.mortality_rate_percent == float(exact)
+        assert abs(row.mortality_rate_percent - as_double[rid].mortality_rate_percent) <= 1e-12
+
+
+def test_decimal_and_double_rates_differ_only_in_the_last_bits(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from regiontally.functions.expressions import mortality_rate_sql
+
+    # Every (dead, total) with total in 1..60 and dead in 0..120, from one range.
+    pairs = spark.range(0, 60 * 121).selectExpr(
+        "CAST(id % 60 + 1 AS BIGINT) AS total_population", "CAST(id DIV 60 AS BIGINT) AS dead_population"
+    )
+    rows = pairs.selectExpr(
+        "dead_population",
+        "total_population",
+        f"{mortality_rate_sql()} AS as_double",
+        f"{mortality_rate_sql(arithmetic='decimal')} AS as_decimal",
+    ).collect()
+    differing = 0
+    for r in rows:
+        exact = (Decimal(r.dead_population) * Decimal("100.0") / Decimal(r.total_population)).quantize(
+            Decimal("1e-14"), rounding=ROUND_HALF_UP
+        )
+        assert r.as_decimal == float(exact)
+        assert abs(r.as_decimal - r.as_double) <= 1e-12
+        differing += r.as_decimal != r.as_double
+    assert 0 < differing < len(rows)
