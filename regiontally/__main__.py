@@ -42,11 +42,12 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--trigger-seconds", type=int, default=30)
     stream.add_argument("--available-now", action="store_true")
     stream.add_argument("--stats", action="store_true", help="print the top 20 after each batch")
-    for name in ("report", "compact"):
-        p = sub.add_parser(name)
-        p.add_argument("--state", required=True)
-        p.add_argument("--top", type=int, default=20)
-        p.add_argument("--keep-versions", type=int, default=0, help="compact: then expire older versions")
+    report = sub.add_parser("report")
+    report.add_argument("--state", required=True)
+    report.add_argument("--top", type=int, default=20)
+    compaction = sub.add_parser("compact")
+    compaction.add_argument("--state", required=True)
+    compaction.add_argument("--keep-versions", type=int, default=0, help="then expire older versions")
     return ap
 
 
