@@ -115,3 +115,7 @@ def test_cli_stream_available_now(spark):
     got = _state_of(ReportState(f"{work}/state").current(spark))
     assert got["R2"] == (5, 3, 60.0)  # u03 turned inactive: one more dead, total frozen
     assert got["R1"] == (4, 2, 50.0)  # u18 is new: the frozen total does not grow
+    assert cli(["compact", "--state", f"{work}/state", "--keep-versions", "1"]) == 0
+    state = ReportState(f"{work}/state")
+    assert state.versions(spark) == [(0, 0)]
+    assert _state_of(state.current(spark)) == got
