@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from regiontally.llm.chat_format import OP2_SQL, op2_chat_format
+from regiontally.llm.gam_quality import op4_gam_quality
+from regiontally.llm.mixing import OP7_SQL, op7_mix_sources
 from regiontally.llm.ngram_jaccard import op1_ngram_jaccard
+from regiontally.llm.quality_rules import op5_quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_ngram_jaccard": op1_ngram_jaccard}
+    return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
+        "op2_chat_format": op2_chat_format,
+        "op4_gam_quality": op4_gam_quality,
+        "op5_quality_rules": op5_quality_rules,
+        "op7_mix_sources": op7_mix_sources,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat_format": OP2_SQL, "op7_mix_sources": OP7_SQL}
