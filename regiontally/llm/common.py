@@ -7,6 +7,7 @@ that a task holds a chunk of text and never a whole partition.
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiontally.session import checkpoint_root
+from regiontally.session import shared_dir
 
 CHUNK_BYTES = 1 << 20
 SKETCH_BITS = 20
@@ -176,16 +177,45 @@ def gather_sketch(slices: DataFrame, bits: int = SKETCH_BITS, fan: int = 64) ->
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder and cut the lineage there."""
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
+
+    The result has no lineage, so a lost executor costs nothing that came
+    before, and the size of the table is known to the joins that follow. (A
+    ``checkpoint()`` would cut the lineage as well, but carries the constraints
+    of its plan along, which makes planning slow in loops.) ``release`` deletes
+    such a table; what is left goes when the session's process ends.
+    """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    path = shared_dir(spark, "scratch")
+    df.write.option("compression", "zstd").parquet(path)
+    if not _scratch:
+        atexit.register(_release_all)
+    _scratch[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+_scratch: dict[str, SparkSession] = {}
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete tables written by ``cut`` that no later read needs."""
+    for df in tables:
+        path = getattr(df, "_scratch_path", None)
+        if path in _scratch:
+            spark = _scratch.pop(path)
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(checkpoint_root(spark))
+def _release_all() -> None:
+    for path, spark in list(_scratch.items()):
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session is gone; its shared folder is the deployment's to clear
+            return
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiontally.llm.common import cut
+from regiontally.llm.common import cut, release
 
 
 def contract(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -21,12 +21,13 @@ def contract(labels: DataFrame, edges: DataFrame) -> DataFrame:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = both.groupBy(F.col("a").alias("comp")).agg(F.min("b").alias("low")).filter("low < comp")
         step = cut(step)
-        labels = cut(
-            labels.join(step, "comp", "left").select("node", F.coalesce("low", "comp").alias("comp"))
-        )
+        old, labels = labels, cut(labels.join(step, "comp", "left").select("node", F.coalesce("low", "comp").alias("comp")))
+        rest = edges
         for side in ("a", "b"):
-            edges = edges.join(step.withColumnRenamed("comp", side), side, "left").withColumn(
-                side, F.coalesce("low", side)
-            ).drop("low")
-        edges = cut(edges.filter("a <> b").distinct())
+            moved = step.select(F.col("comp").alias(side), "low")
+            rest = rest.join(moved, side, "left").withColumn(side, F.coalesce("low", side)).drop("low")
+        rest = cut(rest.filter("a <> b").distinct())
+        release(old, edges, step)
+        edges = rest
+    release(edges)
     return labels

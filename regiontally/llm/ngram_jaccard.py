@@ -33,8 +33,8 @@ from regiontally.llm.common import (
     chunks,
     cut,
     distinct_sorted,
-    ensure_checkpoint_dir,
     gather_sketch,
+    release,
     shingles,
     table,
 )
@@ -43,6 +43,7 @@ from regiontally.llm.components import contract
 KEY_BITS = 20  # high bits of an ordering key: the sketch count
 HEAVY = 10_000  # a bucket above this count (and twice the mean) may hold a hot shingle
 BROADCAST_BYTES = 64 << 20
+HUB_GROWTH = 32  # hubs per group: 1, then so many times more in each round
 
 
 def _summarise(n: int, bits: int):
@@ -176,7 +177,6 @@ def jaccard_components(docs: DataFrame, percent: int = 75, n: int = 5, sketch_bi
     empty table gives an empty result.
     """
     spark: SparkSession = docs.sparkSession
-    ensure_checkpoint_dir(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text"))
 
     seen = cut(docs.mapInArrow(_summarise(n, sketch_bits), "doc_id long, n long, fp binary, slice int, data binary"))
@@ -201,37 +201,41 @@ def jaccard_components(docs: DataFrame, percent: int = 75, n: int = 5, sketch_bi
 
     texts = None
     hubs_per_token = 1
-    verified = None
+    checked: list[DataFrame] = []
+    left_over = rows
     while True:
-        labelled = rows.join(labels, "node")
+        # only groups that join two components can hold a link that matters
+        labelled = left_over.select("token", "node", "n", "pos").join(labels, "node")
         open_ = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-        rows = cut(labelled.join(open_.select("token"), "token", "left_semi"))
+        old, rows = rows, cut(labelled.join(open_.select("token"), "token", "left_semi"))
+        release(old)
         if rows.isEmpty():
             break
         if texts is None:
             texts = _texts_of(docs, rows)
         group = F.pmod(F.hash("node"), F.lit(hubs_per_token))
         hubs = rows.groupBy("token", group.alias("part")).agg(F.min(F.struct("node", "n", "pos", "comp")).alias("hub"))
-        hubs = cut(hubs.select("token", "hub"))
+        hubs = hubs.select("token", "hub")
         pairs = rows.join(hubs, "token").filter("comp <> hub.comp")
         pairs = pairs.filter(_may_link(percent)).select(
             F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")
         ).distinct()
-        if verified is not None:
-            pairs = pairs.join(verified, ["a", "b"], "left_anti")
+        for before in checked:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = cut(pairs)
-        verified = pairs if verified is None else verified.unionAll(pairs)
-        left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        found = pairs.join(right, "b").join(left, "a").mapInArrow(_verify(n, percent), "a long, b long")
-        edges = found.join(labels.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").join(
-            labels.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b"
-        )
-        labels = contract(labels, edges.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        if not pairs.isEmpty():
+            checked.append(pairs)
+            left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+            right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+            found = pairs.join(right, "b").join(left, "a").mapInArrow(_verify(n, percent), "a long, b long")
+            edges = found.join(labels.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").join(
+                labels.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b"
+            )
+            labels = contract(labels, edges.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         # every pair of a hub has been checked: it leaves the group
-        done = hubs.select("token", F.col("hub.node").alias("node"))
-        rows = rows.select("token", "node", "n", "pos").join(done, ["token", "node"], "left_anti")
-        hubs_per_token *= 4
+        left_over = rows.join(hubs.select("token", F.col("hub.node").alias("node")), ["token", "node"], "left_anti")
+        hubs_per_token *= HUB_GROWTH
+    release(rows, texts, *checked)
 
     # components are named by class representatives: the smallest doc_id of a component is one of them
     out = member.join(labels, member["doc_id"] == labels["node"], "left")
