@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regiontally.llm.chat_format import OP2_SQL, op2_chat_format
+from regiontally.llm.decontaminate import op9_decontaminate
 from regiontally.llm.gam_quality import op4_gam_quality
 from regiontally.llm.mixing import OP7_SQL, op7_mix_sources
 from regiontally.llm.ngram_jaccard import op1_ngram_jaccard
 from regiontally.llm.quality_rules import op5_quality_rules
+from regiontally.llm.suffix_dedup import op3_suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +21,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_chat_format": op2_chat_format,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_gam_quality": op4_gam_quality,
         "op5_quality_rules": op5_quality_rules,
         "op7_mix_sources": op7_mix_sources,
+        "op9_decontaminate": op9_decontaminate,
     }
 
 
