@@ -26,7 +26,7 @@ def contract(labels: DataFrame, edges: DataFrame) -> DataFrame:
         for side in ("a", "b"):
             moved = step.select(F.col("comp").alias(side), "low")
             rest = rest.join(moved, side, "left").withColumn(side, F.coalesce("low", side)).drop("low")
-        rest = cut(rest.filter("a <> b").distinct())
+        rest = cut(rest.select("a", "b").filter("a <> b").distinct())
         release(old, edges, step)
         edges = rest
     release(edges)
