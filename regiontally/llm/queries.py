@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from regiontally.llm.chat_format import OP2_SQL, op2_chat_format
 from regiontally.llm.decontaminate import op9_decontaminate
 from regiontally.llm.gam_quality import op4_gam_quality
+from regiontally.llm.html_extract import op10_html_extract
+from regiontally.llm.lm_scoring import op6_lm_scoring
 from regiontally.llm.mixing import OP7_SQL, op7_mix_sources
 from regiontally.llm.ngram_jaccard import op1_ngram_jaccard
 from regiontally.llm.quality_rules import op5_quality_rules
 from regiontally.llm.suffix_dedup import op3_suffix_dedup
+from regiontally.llm.token_counts import op8_token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +27,11 @@ def queries() -> dict[str, Query]:
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_gam_quality": op4_gam_quality,
         "op5_quality_rules": op5_quality_rules,
+        "op6_lm_scoring": op6_lm_scoring,
         "op7_mix_sources": op7_mix_sources,
+        "op8_token_counts": op8_token_counts,
         "op9_decontaminate": op9_decontaminate,
+        "op10_html_extract": op10_html_extract,
     }
 
 
