@@ -224,10 +224,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE,
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose text holds no item; rows are told apart by their text, whatever their doc_id."""
     key = F.md5(F.col("text").cast("binary"))
-    leaks = cut(find_leaks(docs.select(key.alias("key"), "text"), benchmark, least).select(F.col("key").alias("_key")).distinct())
+    leaks = cut(find_leaks(docs.select(key.alias("key"), "text"), benchmark, least).select(F.col("key").alias("__key")).distinct())
     # 32 characters and the map's overhead a row; beyond the bound Spark joins by key
     small = leaks.count() * 100 <= 64 << 20
-    return docs.join(F.broadcast(leaks) if small else leaks, key == F.col("_key"), "left_anti")
+    return docs.join(F.broadcast(leaks) if small else leaks, key == F.col("__key"), "left_anti")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -294,7 +294,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOL
     sample = sample.orderBy(F.xxhash64(F.col("doc_id").cast("long")), "doc_id", "quality").limit(SAMPLE_ROWS)
     sample = cut(sample.select(F.col("doc_id").cast("long").alias("doc_id"), "quality"))
     # SAMPLE_ROWS ids at most: a bounded broadcast, so that no text is shuffled
-    chosen = docs.join(F.broadcast(sample.select(F.col("doc_id").alias("_id")).distinct()), F.col("doc_id").cast("long") == F.col("_id"), "left_semi")
+    chosen = docs.join(F.broadcast(sample.select(F.col("doc_id").alias("__id")).distinct()), F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
     model = train(text_features(chosen), sample)
     return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model), threshold), docs.schema)
 

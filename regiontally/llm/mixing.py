@@ -67,7 +67,7 @@ def mix_sources(docs: DataFrame, temperature: float = TEMPERATURE, weights: dict
     counts = docs.groupBy("source").agg(F.count("*").alias("n"))
     found = rates(counts, temperature, weights)
     parts = F.greatest(F.ceil(F.col("rate") / PART_MEAN), F.lit(1)).cast("int")
-    found = found.select(F.col("source").alias("_source"), parts.alias("_parts"), _thresholds(F.col("rate") / parts).alias("_sums"))
+    found = found.select(F.col("source").alias("__source"), parts.alias("__parts"), _thresholds(F.col("rate") / parts).alias("__sums"))
     # one row a source; broadcast behind a check, else Spark joins by source and splits the hot ones
     if counts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         found = F.broadcast(found)
@@ -75,11 +75,11 @@ def mix_sources(docs: DataFrame, temperature: float = TEMPERATURE, weights: dict
 
     def draw(part: Column) -> Column:
         u = uniform(F.lit(seed), name, part.cast("string"))
-        return F.size(F.filter("_sums", lambda s: s <= u))
+        return F.size(F.filter("__sums", lambda s: s <= u))
 
-    copies = F.aggregate(F.sequence(F.lit(0), F.col("_parts") - 1), F.lit(0), lambda acc, part: acc + draw(part))
-    drawn = docs.join(found, docs["source"].eqNullSafe(found["_source"])).withColumn("_copies", copies).filter("_copies > 0")
-    out = drawn.select(*[docs[c] for c in kept], F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("copy"))
+    copies = F.aggregate(F.sequence(F.lit(0), F.col("__parts") - 1), F.lit(0), lambda acc, part: acc + draw(part))
+    drawn = docs.join(found, docs["source"].eqNullSafe(found["__source"])).withColumn("__copies", copies).filter("__copies > 0")
+    out = drawn.select(*[docs[c] for c in kept], F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("copy"))
     out = out.withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), name, F.col("copy").cast("string"))))
     return out.repartition(F.col("mix_key")).sortWithinPartitions("mix_key")
 

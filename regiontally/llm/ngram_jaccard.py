@@ -266,13 +266,13 @@ def keep_one_per_group(docs: DataFrame, percent: int = 75, n: int = 5) -> DataFr
     Of rows that repeat a doc_id one stays; rows without doc_id all stay.
     """
     groups = jaccard_components(docs, percent, n)
-    kept = cut(groups.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows")))
-    ids = kept.select("_id")
+    kept = cut(groups.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows")))
+    ids = kept.select("__id")
     # ids of 8 bytes, 16 in the join's map: broadcast behind a check, else Spark joins by id
     if kept.count() * 16 <= BROADCAST_BYTES:
         ids = F.broadcast(ids)
-    chosen = docs.join(ids, F.col("doc_id").cast("long") == F.col("_id"), "left_semi")
-    if not kept.filter("_rows > 1").isEmpty():
+    chosen = docs.join(ids, F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
+    if not kept.filter("__rows > 1").isEmpty():
         chosen = chosen.dropDuplicates(["doc_id"])
     return chosen.unionAll(docs.filter("doc_id is null"))
 

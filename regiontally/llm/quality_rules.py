@@ -24,7 +24,7 @@ SYMBOLS = b"#*$%&|<>"
 MAX_LOST = 0.5
 BOILERPLATE = re.compile(
     rb"(?i)lorem ipsum|javascript|cookie (?:policy|settings)|privacy policy|terms of (?:use|service)|all rights reserved|"
-    rb"click here|sign in|log in|subscribe to our|page not found|skip to content|licensed under"
+    rb"click here|sign in|log in|subscribe to our|page not found|skip to content"
 )
 _MARKS = re.compile("[.!?]|…|。|！|？".encode())
 _SPACES = b" \t\n\x0b\x0c\r"

@@ -374,15 +374,16 @@ def keep_bytes(text: bytes, spans) -> bytes:
     return b"".join(parts)
 
 
-def with_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, max_group: int = MAX_GROUP) -> DataFrame:
-    """``docs`` with ``removed_spans``: start and stop of each removed run of bytes (null: none).
+def with_spans(
+    docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, max_group: int = MAX_GROUP, column: str = "removed_spans"
+) -> DataFrame:
+    """``docs`` with ``column``: start and stop of each removed run of bytes (null: none).
 
     Only ``text`` is read; a null text is empty and repeats nothing, and so does
     a text of under ``length`` bytes. Rows are told apart by their text, so
-    doc_ids may be null or repeat. An input column named removed_spans is
-    replaced. An empty table gives an empty result.
+    doc_ids may be null or repeat. An input column of that name is replaced. An empty table gives an empty result.
     """
-    kept = [c for c in docs.columns if c != "removed_spans"]
+    kept = [c for c in docs.columns if c != column]
     key = F.unhex(F.md5(F.col("text").cast("binary")))
     rows = docs.filter(F.octet_length("text") >= length).select(key.alias("key"), as_bytes("text"))
     copies = cut(rows.groupBy("key").agg(F.count("*").alias("copies")).filter("copies > 1"))
@@ -391,10 +392,10 @@ def with_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, max_
     once = marked.filter("copies is null").unionAll(marked.filter("copies > 1").dropDuplicates(["key"]))
     spans = repeated_spans(once, length, anchor, max_group)
     held = spans.agg(F.sum(64 + 16 * F.size("spans"))).first()[0] or 0
-    spans = spans.select(F.col("key").alias("_key"), F.col("spans").alias("removed_spans"))
-    out = docs.select(*kept).join(F.broadcast(spans) if held <= BROADCAST_BYTES else spans, key == F.col("_key"), "left")
+    spans = spans.select(F.col("key").alias("__key"), F.col("spans").alias(column))
+    out = docs.select(*kept).join(F.broadcast(spans) if held <= BROADCAST_BYTES else spans, key == F.col("__key"), "left")
     release(copies)
-    return out.drop("_key")
+    return out.drop("__key")
 
 
 def _small(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -416,14 +417,17 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+_SPANS = "__removed_spans"
+
+
 def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text without its spans; bytes of a character cut by a span go with it."""
     for batch in batches:
         at = batch.schema.get_field_index("text")
-        texts, lists = batch_columns(batch, "text", "removed_spans")
+        texts, lists = batch_columns(batch, "text", _SPANS)
         out = [t if not spans else keep_bytes(t.encode(), spans).decode("utf-8", "ignore") for t, spans in zip(texts, lists)]
         batch = batch.set_column(at, batch.schema.field(at), pa.array(out, batch.schema.field(at).type))
-        yield batch.drop_columns(["removed_spans"])
+        yield batch.drop_columns([_SPANS])
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -431,12 +435,12 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Texts of which no character is left are dropped.
     """
-    found = with_spans(docs, length)
+    found = with_spans(docs, length, column=_SPANS)
     # only what has a span goes through Python
-    changed = found.filter("removed_spans is not null").mapInArrow(_replace, docs.schema)
+    changed = found.filter(F.col(_SPANS).isNotNull()).mapInArrow(_replace, docs.schema)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return found.filter("removed_spans is null").select(*docs.columns).unionAll(changed.filter("text <> ''"))
+    return found.filter(F.col(_SPANS).isNull()).select(*docs.columns).unionAll(changed.filter("text <> ''"))
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
