@@ -42,6 +42,9 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--trigger-seconds", type=int, default=30)
     stream.add_argument("--available-now", action="store_true")
     stream.add_argument("--stats", action="store_true", help="print the top 20 after each batch")
+    stream.add_argument("--sink", choices=("log", "merge"), default="log", help="merge: upsert each batch into the table")
+    stream.add_argument("--refresh-every", type=int, default=1, help="batches between refreshes of the table")
+    stream.add_argument("--compact-every", type=int, default=0, help="batches between compactions (0: none)")
     report = sub.add_parser("report")
     report.add_argument("--state", required=True)
     report.add_argument("--top", type=int, default=20)
@@ -67,7 +70,8 @@ def main(argv=None) -> int:
         on_stats = (lambda batch_id, top: top.show(truncate=False)) if args.stats else None
         handle = run_stream_job(
             spark, changes, regions, state, args.checkpoint, args.epoch, trigger,
-            args.table, args.provider, on_stats,
+            args.table, args.provider, on_stats, sink=args.sink,
+            refresh_every=args.refresh_every, compact_every=args.compact_every,
         )
         handle.await_done()
     elif args.cmd == "report":

@@ -14,12 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regiontally.operators.report import mortality_report, top_regions
 from regiontally.schemas import REPORT_SCHEMA
-from regiontally.sinks.tables import create_report_if_absent, replace_report
-from regiontally.streaming.runner import DEFAULT_TRIGGER, ReportStream, start_report_stream
-from regiontally.streaming.state import ReportState
+from regiontally.sinks.tables import create_report_if_absent, full_name, merge_deltas, replace_report
+from regiontally.streaming.runner import DEFAULT_TRIGGER, TREE_COLUMNS, ReportStream, start_report_stream
+from regiontally.streaming.state import ReportState, StateChanged, compact, expire
 
 STATS_ROWS = 20
-TREE_COLUMNS = ["region_doc_id", "region_name", "region_type", "parentRegionId"]
 
 
 def run_batch_job(
@@ -45,8 +44,8 @@ def run_batch_job(
         report = mortality_report(users, tree)
         if state is not None:
             covered = state.log_position(spark)
-            path = state.publish(report, covered)
-            report = spark.read.schema(REPORT_SCHEMA).parquet(path)
+            version = state.publish(report, covered)
+            report = spark.read.schema(REPORT_SCHEMA).parquet(state.baseline_path(version))
         if table is not None:
             replace_report(report, table, provider=provider, location=location)
     finally:
@@ -54,9 +53,9 @@ def run_batch_job(
     return report
 
 
-def report_stats(spark: SparkSession, state: ReportState, n: int = STATS_ROWS) -> DataFrame:
-    """Top ``n`` REGIONs of the current report (rate, then total, then id)."""
-    return top_regions(state.current(spark), n)
+def report_stats(spark: SparkSession, state: ReportState, n: int = STATS_ROWS, table: str | None = None) -> DataFrame:
+    """Top ``n`` REGIONs (rate, then total, then id) of the current report, or of ``table`` by its name."""
+    return top_regions(spark.table(full_name(table)) if table else state.current(spark), n)
 
 
 def run_stream_job(
@@ -71,23 +70,53 @@ def run_stream_job(
     provider: str = "parquet",
     on_stats: Callable[[int, DataFrame], None] | None = None,
     max_broadcast_bytes: int | None = None,
+    sink: str = "log",
+    refresh_every: int = 1,
+    compact_every: int = 0,
+    keep_versions: int = 2,
 ) -> ReportStream:
-    """Start the incremental report.
-
-    ``table`` is created empty if absent (fixed seven-column schema). After each
-    batch is logged, ``on_stats(batch_id, top20)`` receives the current top-20
-    (for a console or a metrics sink), if given. ``epoch`` defaults to the one of
-    the checkpoint (see :meth:`ReportState.epoch_for`).
+    """Start the incremental report and keep ``table`` current.
+
+    ``table`` is created empty if absent (fixed seven-column schema). With
+    ``sink="log"`` (the default) the deltas go to the log of ``state`` and the
+    table is replaced by the current report after every ``refresh_every`` batches
+    that wrote something; with ``sink="merge"`` each batch is upserted into the
+    table, which needs a catalog with row-level operations and is the mode for
+    stores without an atomic folder rename. ``compact_every`` folds the log after
+    so many batches and keeps ``keep_versions`` baselines, so that the log stays
+    short. After each batch that wrote something ``on_stats(batch_id, top20)``
+    receives the top 20, read from ``table`` by its name if there is one.
+    ``epoch`` defaults to the one of the checkpoint (:meth:`ReportState.epoch_for`).
     """
+    if sink not in ("log", "merge"):
+        raise ValueError(f"unknown sink {sink!r}")
+    if sink == "merge" and table is None:
+        raise ValueError("sink='merge' needs a table")
     if epoch is None:
         epoch = state.epoch_for(spark, checkpoint_location)
     if table is not None:
         create_report_if_absent(spark, table, provider=provider)
-    after_batch = None
-    if on_stats is not None:
-
-        def after_batch(batch_id: int) -> None:
-            on_stats(batch_id, report_stats(spark, state))
+    merge_into = None
+    if sink == "merge":
+
+        def merge_into(rows: DataFrame) -> None:
+            merge_deltas(rows, table)
+
+    batches = 0
+
+    def after_batch(batch_id: int) -> None:
+        nonlocal batches
+        batches += 1
+        if sink == "log" and compact_every and batches % compact_every == 0:
+            try:
+                compact(spark, state)
+                expire(spark, state, keep_versions)
+            except StateChanged:
+                pass  # a batch refresh came in between; the next compaction folds over it
+        if sink == "log" and table is not None and batches % refresh_every == 0:
+            refresh_table(spark, state, table, provider)
+        if on_stats is not None:
+            on_stats(batch_id, report_stats(spark, state, table=table))
 
     return start_report_stream(
         users_stream,
@@ -98,6 +127,7 @@ def run_stream_job(
         trigger=trigger or DEFAULT_TRIGGER,
         max_broadcast_bytes=max_broadcast_bytes,
         after_batch=after_batch,
+        merge_into=merge_into,
     )
 
 

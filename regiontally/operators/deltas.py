@@ -66,7 +66,8 @@ def deltas(
 
     The counts are computed on ids only; name and parent are joined back on the
     aggregated rows (one per REGION per key), so they never ride the shuffle.
-    With ``bounded`` (the tree is proven small) the REGION names are broadcast.
+    With ``bounded`` (the tree is proven small) the REGION names are broadcast. A
+    REGION without a name row keeps its counts (name and parent are then NULL).
     """
     keys = list(keys)
     counts = population_counts(
@@ -76,7 +77,7 @@ def deltas(
         dead_name="dead_population_change",
     )
     names = region_names(report_base)
-    return counts.join(F.broadcast(names) if bounded else names, "effective_region_id", "inner").selectExpr(
+    return counts.join(F.broadcast(names) if bounded else names, "effective_region_id", "left").selectExpr(
         *keys, *DELTA_COLUMNS
     )
 

@@ -1,20 +1,17 @@
 """Resolve users to their REGION through the COUNTRY → REGION → CITY → DISTRICT tree.
 
-Two equivalent forms are provided:
-
-* the three *branch mappers* (``users_via_district``, ``users_via_city``,
-  ``users_via_region``): the tree walked with fixed-depth self-joins per
-  branch, then a union and ``distinct``. They scan users three times.
-* the *flattened lookup* (``region_lookup`` + ``resolve_users``): the tree is
-  flattened once into ``(anchor_kind, anchor_id) → region`` and every user
-  goes through a single equi-join. Users are scanned once; the lookup is
-  broadcast only when an upper bound computed from the region table proves
-  it small, and otherwise joined by a skew-split shuffle join.
-
-Rules both forms implement: a non-null ``districtId`` decides alone (no
-fallback to ``regionId``); the district chain must be exactly
-DISTRICT → CITY → REGION; ``regionId`` may name a CITY (one hop) or a REGION
-(no hop), never a DISTRICT or COUNTRY; all joins use the document key.
+The tree is flattened once into ``(anchor_kind, anchor_id) → region``
+(``region_lookup``: every node with its parent and grandparent, two self-joins)
+and every user goes through a single equi-join (``resolve_users``). Users are
+scanned once; the lookup is broadcast only when an upper bound computed from
+the region table proves it small, and otherwise joined by a skew-split shuffle
+join. ``users_via`` restricts the lookup to one level of the anchor, so the
+results per level come from the same join.
+
+Rules: a non-null ``districtId`` decides alone (no fallback to ``regionId``);
+the district chain must be exactly DISTRICT → CITY → REGION; ``regionId`` may
+name a CITY (one hop) or a REGION (no hop), never a DISTRICT or COUNTRY; all
+joins use the document key.
 """
 
 from __future__ import annotations
@@ -52,98 +49,40 @@ def levels(regions: DataFrame) -> DataFrame:
     )
 
 
-# --- the three branch mappers -------------------------------------------------
-
-
-def _mapped(users_alias: str) -> list:
-    return [
-        F.col(f"{users_alias}.user_doc_id"),
-        F.col(f"{users_alias}.active"),
-        F.col("reg.region_doc_id").alias("effective_region_id"),
-        F.col("reg.region_name").alias("effective_region_name"),
-    ]
-
-
-def users_via_district(users: DataFrame, regions: DataFrame) -> DataFrame:
-    """Users with a district, walked DISTRICT → CITY → REGION (inner joins; bag output)."""
-    districts = regions_by_level(regions, DISTRICT).alias("dist")
-    cities = regions_by_level(regions, CITY).alias("city")
-    actual = regions_by_level(regions, REGION).alias("reg")
-    u = users.where(F.col("districtId").isNotNull()).alias("u")
-    return (
-        u.join(districts, F.col("u.districtId") == F.col("dist.region_doc_id"), "inner")
-        .join(cities, F.col("dist.parentRegionId") == F.col("city.region_doc_id"), "inner")
-        .join(actual, F.col("city.parentRegionId") == F.col("reg.region_doc_id"), "inner")
-        .select(*_mapped("u"))
-    )
-
-
-def _region_only_users(users: DataFrame) -> DataFrame:
-    return users.where(F.col("regionId").isNotNull() & F.col("districtId").isNull()).alias("u")
-
-
-def users_via_city(users: DataFrame, regions: DataFrame) -> DataFrame:
-    """Users whose ``regionId`` names a CITY (and no district), walked CITY → REGION."""
-    cities = regions_by_level(regions, CITY).alias("city")
-    actual = regions_by_level(regions, REGION).alias("reg")
-    return (
-        _region_only_users(users)
-        .join(cities, F.col("u.regionId") == F.col("city.region_doc_id"), "inner")
-        .join(actual, F.col("city.parentRegionId") == F.col("reg.region_doc_id"), "inner")
-        .select(*_mapped("u"))
-    )
-
-
-def users_via_region(users: DataFrame, regions: DataFrame) -> DataFrame:
-    """Users whose ``regionId`` names a REGION directly (and no district)."""
-    actual = regions_by_level(regions, REGION).alias("reg")
-    return (
-        _region_only_users(users)
-        .join(actual, F.col("u.regionId") == F.col("reg.region_doc_id"), "inner")
-        .select(*_mapped("u"))
-    )
-
-
-def users_mapped_by_branches(users: DataFrame, regions: DataFrame) -> DataFrame:
-    """Union of the three branches by name, then ``distinct`` over the four columns."""
-    return (
-        users_via_district(users, regions)
-        .unionByName(users_via_city(users, regions))
-        .unionByName(users_via_region(users, regions))
-        .distinct()
-    )
-
-
-# --- the flattened lookup -----------------------------------------------------
-
-
 def region_lookup(regions: DataFrame) -> DataFrame:
     """Flatten the tree to ``(anchor_kind, anchor_id) → region_id, region_name, parent_country_id``.
 
-    ``('D', district)`` for every DISTRICT whose parent is a CITY whose parent
-    is a REGION; ``('R', city)`` for every CITY under a REGION; ``('R', region)``
-    for every REGION. Unique on the key when document keys are unique. Its size
-    grows with the tree, not with the users.
+    One pass up the tree: each node with its parent and grandparent, of which the
+    node's own level picks the REGION (a REGION itself, a CITY's parent, the
+    grandparent of a DISTRICT under a CITY). ``anchor_level`` is the node's level;
+    a DISTRICT is an anchor of kind ``'D'``, a CITY or REGION of kind ``'R'``.
+    Unique on the key when document keys are unique. Its size grows with the
+    tree, not with the users.
     """
-    actual = regions_by_level(regions, REGION).selectExpr(
-        "region_doc_id AS region_id", "region_name", "parentRegionId AS parent_country_id"
-    )
-    cities = regions_by_level(regions, CITY).selectExpr(
-        "region_doc_id AS city_id", "parentRegionId AS city_parent"
+    nodes = levels(regions)
+    up = nodes.where(f"region_type IN ('{REGION}', '{CITY}')").selectExpr(
+        "region_doc_id AS up_id", "struct(region_doc_id, region_type, region_name, parentRegionId) AS up"
     )
-    districts = regions_by_level(regions, DISTRICT).selectExpr(
-        "region_doc_id AS district_id", "parentRegionId AS district_parent"
+    top = regions_by_level(regions, REGION).selectExpr(
+        "region_doc_id AS top_id", "struct(region_doc_id, region_type, region_name, parentRegionId) AS top"
     )
-    region_cols = ["region_id", "region_name", "parent_country_id"]
-    city_to_region = cities.join(actual, F.expr("city_parent = region_id"), "inner")
-    via_district = districts.join(city_to_region, F.expr("district_parent = city_id"), "inner").selectExpr(
-        f"'{ANCHOR_DISTRICT}' AS anchor_kind", "district_id AS anchor_id", *region_cols
+    chain = nodes.join(up, F.expr("parentRegionId = up_id"), "left").join(top, F.expr("up.parentRegionId = top_id"), "left")
+    own = "struct(region_doc_id, region_type, region_name, parentRegionId)"
+    found = chain.selectExpr(
+        "region_type AS anchor_level",
+        "region_doc_id AS anchor_id",
+        f"CASE WHEN region_type = '{REGION}' THEN {own} "
+        f"WHEN region_type = '{CITY}' AND up.region_type = '{REGION}' THEN up "
+        f"WHEN region_type = '{DISTRICT}' AND up.region_type = '{CITY}' THEN top END AS region",
     )
-    via_city = city_to_region.selectExpr(
-        f"'{ANCHOR_REGION_OR_CITY}' AS anchor_kind", "city_id AS anchor_id", *region_cols
+    return found.where("region IS NOT NULL").selectExpr(
+        f"CASE WHEN anchor_level = '{DISTRICT}' THEN '{ANCHOR_DISTRICT}' ELSE '{ANCHOR_REGION_OR_CITY}' END AS anchor_kind",
+        "anchor_id",
+        "anchor_level",
+        "region.region_doc_id AS region_id",
+        "region.region_name AS region_name",
+        "region.parentRegionId AS parent_country_id",
     )
-    direct = actual.selectExpr(f"'{ANCHOR_REGION_OR_CITY}' AS anchor_kind", "region_id AS anchor_id", *region_cols)
-    return via_district.unionByName(via_city).unionByName(direct)
 
 
 def lookup_size_bound(regions: DataFrame) -> RelationSize:
@@ -151,15 +90,17 @@ def lookup_size_bound(regions: DataFrame) -> RelationSize:
 
     Every REGION, CITY and DISTRICT node yields at most one lookup row, whose
     strings are at most two node ids plus the name and parent of a REGION. That
-    holds because document keys are unique, which the same aggregate verifies
-    (a duplicated key would make the joins fan out): it raises if they are not.
+    holds because the document keys of these nodes are unique, which the same
+    aggregate verifies (a duplicated key would make the joins fan out): it raises
+    if they are not. Every path that resolves users takes this bound first, which
+    runs one aggregate over the tree while the plan is built.
     """
     node = f"region_type IN ('{REGION}', '{CITY}', '{DISTRICT}')"
     region = f"region_type = '{REGION}'"
     row = regions.agg(
         F.expr(f"count(CASE WHEN {node} THEN 1 END) AS rows"),
-        F.expr("count(region_doc_id) AS ids"),
-        F.expr("count(DISTINCT region_doc_id) AS distinct_ids"),
+        F.expr(f"count(CASE WHEN {node} THEN region_doc_id END) AS ids"),
+        F.expr(f"count(DISTINCT CASE WHEN {node} THEN region_doc_id END) AS distinct_ids"),
         F.expr(f"coalesce(max(CASE WHEN {node} THEN octet_length(region_doc_id) END), 0) AS id_len"),
         F.expr(f"coalesce(max(CASE WHEN {region} THEN octet_length(region_name) END), 0) AS name_len"),
         F.expr(f"coalesce(max(CASE WHEN {region} THEN octet_length(parentRegionId) END), 0) AS parent_len"),
@@ -250,3 +191,18 @@ def users_mapped(users: DataFrame, regions: DataFrame, max_broadcast_bytes: int
     )
     ids = resolved.selectExpr("user_doc_id", "active", "effective_region_id").distinct()
     return ids.join(F.broadcast(names), "effective_region_id", "inner").selectExpr(*MAPPED_COLUMNS)
+
+
+def users_via(users: DataFrame, regions: DataFrame, level: str, max_broadcast_bytes: int | None = None) -> DataFrame:
+    """Users whose anchor is a node of ``level`` (bag: copies are kept), in the mapped columns."""
+    if level not in LEVELS:
+        raise ValueError(f"unknown level {level!r}")
+    small_tree = lookup_broadcastable(regions, max_broadcast_bytes)
+    lookup = region_lookup(regions).where(f"anchor_level = '{level}'")
+    return resolve_users(users, lookup, broadcast=small_tree).select(*MAPPED_COLUMNS)
+
+
+def users_mapped_by_level(users: DataFrame, regions: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
+    """:func:`users_mapped` put together from the levels, which hold disjoint sets of anchors."""
+    parts = [users_via(users, regions, level, max_broadcast_bytes) for level in LEVELS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()

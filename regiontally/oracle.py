@@ -11,6 +11,8 @@ lookup, the single-pass aggregate and the fold against the original shapes.
 
 from __future__ import annotations
 
+import re
+
 
 def _s(expr: str) -> str:
     return f"CAST({expr} AS VARCHAR)"
@@ -57,10 +59,11 @@ USERS = """users AS (
   UNION ALL
   SELECT user_doc_id, regionId, districtId, countryId, NOT active FROM ubase WHERE c_custkey % 60 = 4)"""
 
-CHANGES = """changes AS (
+BATCH_OF_DAY = "CAST(date_diff('day', DATE '2024-01-01', CAST(e.ts AS DATE)) AS BIGINT) AS batch_id"
+CHANGES = f"""changes AS (
   SELECT b.user_doc_id, b.regionId, b.districtId, b.countryId,
          e.event_type <> 'error' AS active,
-         CAST(date_diff('day', DATE '2024-01-01', CAST(e.ts AS DATE)) AS BIGINT) AS batch_id
+         {BATCH_OF_DAY}
   FROM events e JOIN ubase b ON e.user_id = b.c_custkey)"""
 
 
@@ -172,7 +175,8 @@ FROM {state}"""
 
 
 def _with(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
+    """WITH clause; every relation is computed once, whatever number of others read it."""
+    return "WITH " + ",\n".join(re.sub(r"^(\w+) AS \(", r"\1 AS MATERIALIZED (", c, flags=re.M) for c in ctes) + "\n"
 
 
 USERS_CTES = (CN, REGIONS, UBASE, USERS)
@@ -182,6 +186,7 @@ CHANGE_CTES = (*REPORT_CTES, CHANGES, _branches("changes", "ch_mapped", "batch_i
 
 REPORT_SQL = _with(*REPORT_CTES) + "SELECT * FROM report"
 AFTER_EMPTY_SQL = _with(*CHANGE_CTES, _stream_state("deltas_parent", "state")) + _from_empty("state")
+AFTER_BASELINE_SQL = _with(*CHANGE_CTES, _stream_state("deltas_parent", "state")) + _over_baseline("state")
 MAPPED_COLS = "user_doc_id, active, effective_region_id, effective_region_name"
 
 
@@ -223,8 +228,7 @@ def oracle_sql() -> dict[str, str]:
             _stream_state("(SELECT * FROM deltas_parent WHERE batch_id = 0)", "state"),
         )
         + _over_baseline("state"),
-        "report_after_stream_with_baseline": _with(*CHANGE_CTES, _stream_state("deltas_parent", "state"))
-        + _over_baseline("state"),
+        "report_after_stream_with_baseline": AFTER_BASELINE_SQL,
         "report_after_stream_empty": AFTER_EMPTY_SQL,
         "top20_after_stream": _with(*CHANGE_CTES, _stream_state("deltas_parent", "state"))
         + "SELECT region_id, region_name, total_population, dead_population, mortality_rate_percent FROM ("
@@ -245,4 +249,7 @@ UNION ALL SELECT 'batch_0_deltas', NOT EXISTS (SELECT 1 FROM deltas WHERE batch_
 UNION ALL SELECT 'region_parents', CAST(COUNT(*) AS BIGINT) FROM lvl_r""",
         "sink_replace_report": REPORT_SQL,
         "sink_create_if_absent": REPORT_SQL,
+        "report_state_compacted": AFTER_BASELINE_SQL,
+        "report_state_refreshed": REPORT_SQL,
+        "stream_to_table": AFTER_EMPTY_SQL.replace(BATCH_OF_DAY, "CAST(0 AS BIGINT) AS batch_id"),
     }

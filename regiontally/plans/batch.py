@@ -1,8 +1,9 @@
 """Batch plans over prepared ``users`` and ``regions`` relations.
 
 Each function is one named result of the batch job; together they cover the
-scans, the level split, the three resolution branches, the mapped relation,
-the counts and the report. None of them performs an action except where noted.
+scans, the level split, the mapped relation (whole and by level), the counts and
+the report. Building a plan that resolves users runs one small aggregate over
+the region tree (the size bound of its lookup); nothing else is an action.
 """
 
 from __future__ import annotations
@@ -30,25 +31,16 @@ def regions_by_level(regions: DataFrame) -> DataFrame:
     return hierarchy.levels(regions)
 
 
-def users_via_district(users: DataFrame, regions: DataFrame) -> DataFrame:
-    return hierarchy.users_via_district(users, regions)
-
-
-def users_via_city(users: DataFrame, regions: DataFrame) -> DataFrame:
-    return hierarchy.users_via_city(users, regions)
-
-
-def users_via_region(users: DataFrame, regions: DataFrame) -> DataFrame:
-    return hierarchy.users_via_region(users, regions)
+def users_via(users: DataFrame, regions: DataFrame, level: str) -> DataFrame:
+    return hierarchy.users_via(users, regions, level)
 
 
 def users_mapped(users: DataFrame, regions: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
     return hierarchy.users_mapped(users, regions, max_broadcast_bytes)
 
 
-def users_mapped_by_branches(users: DataFrame, regions: DataFrame) -> DataFrame:
-    """The original shape: three branches, union by name, distinct."""
-    return hierarchy.users_mapped_by_branches(users, regions)
+def users_mapped_by_level(users: DataFrame, regions: DataFrame) -> DataFrame:
+    return hierarchy.users_mapped_by_level(users, regions)
 
 
 def preview_mapped(users: DataFrame, regions: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:

@@ -12,15 +12,19 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from regiontally.jobs import run_batch_job, run_stream_job
 from regiontally.operators.deltas import fold
 from regiontally.operators.hierarchy import lookup_broadcastable, region_lookup, resolve_users
-from regiontally.operators.report import mortality_report, mortality_report_branch_shape, top_regions
+from regiontally.operators.report import mortality_report, mortality_report_by_level, top_regions
 from regiontally.plans import batch, incremental
-from regiontally.schemas import REPORT_COLUMNS
+from regiontally.schemas import CITY, DISTRICT, REGION, REPORT_COLUMNS
 from regiontally.session import shared_dir
 from regiontally.sinks.tables import create_report_if_absent, ensure_namespace, full_name, replace_report
 from regiontally.sources import testdata as td
+from regiontally.streaming.staging import ChangeFeed
+from regiontally.streaming.state import ReportState, compact, expire
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,26 +109,67 @@ def stream_users_to_report(spark: SparkSession, d: str) -> DataFrame:
     return fold(log)
 
 
+def _logged_state(spark: SparkSession, d: str) -> ReportState:
+    """A state with the batch report as baseline and every micro-batch logged after it."""
+    state = ReportState(shared_dir(spark, "state"))
+    run_batch_job(spark, _users(spark, d), _regions(spark, d), state)
+    log = incremental.as_log(incremental.batch_deltas(_changes(spark, d), _regions(spark, d), with_parent=True))
+    log.withColumn("attempt", F.lit(0)).write.partitionBy("epoch", "batch_id", "attempt").mode("append").parquet(state.log_root)
+    return state
+
+
+def report_state_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """Batch, log, compact, expire everything old, read: the upserted report."""
+    state = _logged_state(spark, d)
+    compact(spark, state)
+    expire(spark, state, keep_versions=1)
+    return state.current(spark)
+
+
+def report_state_refreshed(spark: SparkSession, d: str) -> DataFrame:
+    """Batch, log, compact, expire, batch again, read: a refresh replaces the report."""
+    state = _logged_state(spark, d)
+    compact(spark, state)
+    expire(spark, state, keep_versions=1)
+    run_batch_job(spark, _users(spark, d), _regions(spark, d), state)
+    return state.current(spark)
+
+
+def stream_to_table(spark: SparkSession, d: str) -> DataFrame:
+    """All changes as one micro-batch of a stream that keeps a catalog table current; read by name."""
+    work = shared_dir(spark, "stream-table")
+    name, _ = _sink_table(spark)
+    feed = ChangeFeed(spark, f"{work}/feed", incremental.BATCH_KEY)
+    changes = td.raw_changes(spark, d).select(*incremental.STAGED_FIELDS).withColumn(incremental.BATCH_KEY, F.lit(0))
+    feed.stage(changes)
+    feed.release(0)
+    handle = run_stream_job(
+        spark, feed.stream(), _regions(spark, d), ReportState(f"{work}/state"), f"{work}/checkpoint", trigger={"availableNow": True}, table=name
+    )
+    handle.await_done()
+    return spark.table(full_name(name)).select(*REPORT_COLUMNS)
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_users": lambda s, d: batch.scan_users(_users(s, d)),
         "scan_regions": lambda s, d: batch.scan_regions(_regions(s, d)),
         "regions_by_level": lambda s, d: batch.regions_by_level(_regions(s, d)),
-        "users_via_district": lambda s, d: batch.users_via_district(_users(s, d), _regions(s, d)),
-        "users_via_city": lambda s, d: batch.users_via_city(_users(s, d), _regions(s, d)),
-        "users_via_region": lambda s, d: batch.users_via_region(_users(s, d), _regions(s, d)),
+        "users_via_district": lambda s, d: batch.users_via(_users(s, d), _regions(s, d), DISTRICT),
+        "users_via_city": lambda s, d: batch.users_via(_users(s, d), _regions(s, d), CITY),
+        "users_via_region": lambda s, d: batch.users_via(_users(s, d), _regions(s, d), REGION),
         "users_mapped": lambda s, d: batch.users_mapped(_users(s, d), _regions(s, d)),
         # The path taken when the tree is too large to broadcast: skew-split shuffle join.
         "users_mapped_large_tree": lambda s, d: batch.users_mapped(_users(s, d), _regions(s, d), 0),
-        "users_mapped_by_branches": lambda s, d: batch.users_mapped_by_branches(_users(s, d), _regions(s, d)),
+        "users_mapped_by_branches": lambda s, d: batch.users_mapped_by_level(_users(s, d), _regions(s, d)),
         "preview_mapped": lambda s, d: batch.preview_mapped(_users(s, d), _regions(s, d)),
         "total_population": lambda s, d: batch.total_population(_users(s, d), _regions(s, d)),
         "dead_population": lambda s, d: batch.dead_population(_users(s, d), _regions(s, d)),
         "report_base": lambda s, d: batch.report_base(_regions(s, d)),
         "mortality_report": lambda s, d: batch.mortality_report(_users(s, d), _regions(s, d)),
         "mortality_report_large_tree": lambda s, d: batch.mortality_report(_users(s, d), _regions(s, d), True, 0),
-        # The original job's plan shape (P-4 star expansion, J-7 + J-8 as two left joins).
-        "mortality_report_branch_shape": lambda s, d: mortality_report_branch_shape(_users(s, d), _regions(s, d)),
+        # The same report counted level by level.
+        "mortality_report_branch_shape": lambda s, d: mortality_report_by_level(_users(s, d), _regions(s, d)),
         "top20_regions": lambda s, d: batch.top20_regions(_users(s, d), _regions(s, d)),
         "region_parents": lambda s, d: batch.region_parents(_regions(s, d)),
         "batch_deltas": lambda s, d: incremental.batch_deltas(_changes(s, d), _regions(s, d)),
@@ -140,4 +185,7 @@ def queries() -> dict[str, Query]:
         "side_table_counts": lambda s, d: batch.side_table_counts(_regions(s, d)),
         "sink_replace_report": sink_replace_report,
         "sink_create_if_absent": sink_create_if_absent,
+        "report_state_compacted": report_state_compacted,
+        "report_state_refreshed": report_state_refreshed,
+        "stream_to_table": stream_to_table,
     }

@@ -39,7 +39,11 @@ def local_session(master: str = "local[8]", app_name: str = "regiontally", **con
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session, created privately only if unset."""
+    """The shared checkpoint folder of the session.
+
+    Only on a local master is a private folder created when none is set; on a
+    cluster a machine-local folder would lose data, so that is an error.
+    """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
@@ -47,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current:
             # setCheckpointDir appends a per-application subfolder; its parent is the root.
             root = current.rstrip("/").rsplit("/", 1)[0]
+    if not root and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="regiontally-ckpt-")
         sc.setCheckpointDir(root)

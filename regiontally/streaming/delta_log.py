@@ -1,19 +1,22 @@
 """An append-only log of per-batch delta rows, written idempotently.
 
-Each micro-batch writes its delta rows to ``<root>/epoch=E/batch_id=N`` with
-``overwrite`` of exactly that folder. Spark replays a batch under the same
-``batch_id`` after a failure, so a replay replaces its own entry (also when it
-now produces no rows) and nothing is counted twice. ``epoch`` names one
-checkpoint: Spark restarts ``batch_id`` at 0 for a new checkpoint, so a new
-checkpoint takes a larger epoch and the log stays ordered by
-``(epoch, batch_id)``. The log lives in shared storage, like the checkpoint.
+Each micro-batch publishes its delta rows as ``<root>/epoch=E/batch_id=N/attempt=K``,
+by one rename. Spark replays a batch under the same ``batch_id`` after a failure;
+the replay is the next attempt, and readers take the newest attempt of each
+batch only, so a replay replaces its own entry (also when it now produces no
+rows), nothing is counted twice, and a reader never finds the entry missing. A
+batch without delta rows leaves no entry. ``epoch`` names one checkpoint: Spark
+restarts ``batch_id`` at 0 for a new checkpoint, so a new checkpoint takes a
+larger epoch and the log stays ordered by ``(epoch, batch_id)``. The log lives
+in shared storage, like the checkpoint.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from regiontally.operators.deltas import DELTA_COLUMNS
@@ -24,6 +27,7 @@ LOG_SCHEMA = StructType(
         *DELTA_SCHEMA.fields,
         StructField("epoch", LongType(), True),
         StructField("batch_id", LongType(), True),
+        StructField("attempt", LongType(), True),
     ]
 )
 
@@ -43,26 +47,37 @@ def batch_path(root: str, epoch: int, batch_id: int) -> str:
     return f"{root.rstrip('/')}/epoch={int(epoch)}/batch_id={int(batch_id)}"
 
 
-def write_batch(delta_rows: DataFrame, root: str, epoch: int, batch_id: int) -> None:
-    """Replace the log entry of one batch with ``delta_rows`` (the delta columns).
+def write_batch(delta_rows: DataFrame, root: str, epoch: int, batch_id: int) -> bool:
+    """Publish the log entry of one batch (the delta columns); False if it has no rows.
 
     The rows are written to a hidden staging folder (names starting with ``_``
     are not listed by readers) and renamed into place, so a reader folding the
     log sees a batch entry either whole or not at all.
     """
     spark = delta_rows.sparkSession
+    entry, fs = _hadoop_path(spark, batch_path(root, epoch, batch_id))
     staging = f"{root.rstrip('/')}/_staging/epoch={int(epoch)}-batch_id={int(batch_id)}-{uuid.uuid4().hex}"
-    delta_rows.select(*DELTA_COLUMNS).write.parquet(staging)
-    src, fs = _hadoop_path(spark, staging)
-    dst, _ = _hadoop_path(spark, batch_path(root, epoch, batch_id))
-    fs.mkdirs(dst.getParent())
-    if fs.exists(dst):
-        fs.delete(dst, True)  # a replayed batch replaces its own entry
-    if not fs.rename(src, dst):
-        raise OSError(f"could not publish log entry {dst.toString()}")
+    src, _ = _hadoop_path(spark, staging)
+    try:
+        delta_rows.select(*DELTA_COLUMNS).write.parquet(staging)
+        if spark.read.schema(DELTA_SCHEMA).parquet(staging).isEmpty():
+            if fs.exists(entry):
+                fs.delete(entry, True)
+            return False
+        earlier = fs.listStatus(entry) if fs.exists(entry) else []
+        attempts = [int(s.getPath().getName().partition("=")[2]) for s in earlier]
+        fs.mkdirs(entry)
+        dst, _ = _hadoop_path(spark, f"{batch_path(root, epoch, batch_id)}/attempt={max(attempts, default=-1) + 1}")
+        if not fs.rename(src, dst):
+            raise OSError(f"could not publish log entry {dst.toString()}")
+        return True
+    finally:
+        fs.delete(src, True)
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
-    """All logged delta rows with their ``epoch`` and ``batch_id``; empty if nothing was logged."""
+    """The newest attempt's delta rows of every batch, with ``epoch`` and ``batch_id``; empty if nothing was logged."""
     ensure_dir(spark, root)
-    return spark.read.schema(LOG_SCHEMA).option("basePath", root).parquet(root)
+    rows = spark.read.schema(LOG_SCHEMA).option("basePath", root).parquet(root)
+    newest = F.max("attempt").over(Window.partitionBy("epoch", "batch_id"))
+    return rows.withColumn("newest", newest).where("attempt = newest").drop("attempt", "newest")

@@ -9,7 +9,9 @@ proven bound of the lookup size computed from the snapshot.
 
 Per micro-batch: resolve (one join), ``distinct`` + one conditional aggregate,
 name join on the aggregated rows, and an idempotent write of the delta rows to
-the log. Errors are not swallowed: a failing batch fails the query, and a
+the log (or, with ``merge_into``, an upsert into a table with row-level
+operations). A batch of which no user resolves writes nothing and reports
+nothing; an empty region snapshot only reports. Errors are not swallowed: a failing batch fails the query, and a
 restart from the checkpoint replays it, replacing its log entry. The current
 report is ``fold(read_log(...), baseline)`` at any time.
 """
@@ -28,6 +30,7 @@ from regiontally.operators.report import report_base
 from regiontally.streaming.delta_log import write_batch
 
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
+TREE_COLUMNS = ["region_doc_id", "region_name", "region_type", "parentRegionId"]
 
 
 @dataclass
@@ -71,18 +74,30 @@ def batch_callback(
     epoch: int,
     broadcast: bool,
     after_batch: Callable[[int], None] | None = None,
+    merge_into: Callable[[DataFrame], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one micro-batch → its delta rows in the log.
 
-    ``after_batch(batch_id)`` runs after the log entry is written and before
-    Spark commits the batch (for metrics or readbacks); if it raises, the batch
-    is not committed and is replayed on restart.
+    ``after_batch(batch_id)`` runs after the deltas are written and before Spark
+    commits the batch (for metrics or readbacks); if it raises, the batch is not
+    committed and is replayed on restart. ``merge_into(delta_rows)`` replaces the
+    log: it must be safe to repeat, or accept that a replayed batch adds twice.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         resolved = resolve_users(batch, lookup, broadcast=broadcast)
-        write_batch(deltas(resolved, base, bounded=broadcast), log_root, epoch, batch_id)
-        if after_batch is not None:
+        rows = deltas(resolved, base, bounded=broadcast)
+        if merge_into is not None:
+            rows = rows.persist()
+            try:
+                written = not rows.isEmpty()
+                if written:
+                    merge_into(rows)
+            finally:
+                rows.unpersist()
+        else:
+            written = write_batch(rows, log_root, epoch, batch_id)
+        if after_batch is not None and (written or base.isEmpty()):
             after_batch(batch_id)
 
     return process
@@ -98,6 +113,7 @@ def start_report_stream(
     max_broadcast_bytes: int | None = None,
     query_name: str | None = None,
     after_batch: Callable[[int], None] | None = None,
+    merge_into: Callable[[DataFrame], None] | None = None,
 ) -> ReportStream:
     """Start the stream. ``regions`` is a snapshot, or a function re-read for every batch.
 
@@ -110,27 +126,22 @@ def start_report_stream(
         refresh = regions
 
         def process(batch: DataFrame, batch_id: int) -> None:
-            current = refresh()
-            lookup = region_lookup(current)
-            callback = batch_callback(
-                lookup,
-                report_base(current),
-                log_root,
-                epoch,
-                lookup_broadcastable(current, max_broadcast_bytes),
-                after_batch,
-            )
-            callback(batch, batch_id)
+            # one read of the live tree per batch: the bound, the lookup and the names see the same rows
+            current = refresh().select(*TREE_COLUMNS).persist()
+            try:
+                broadcast = lookup_broadcastable(current, max_broadcast_bytes)
+                callback = batch_callback(
+                    region_lookup(current), report_base(current), log_root, epoch, broadcast, after_batch, merge_into
+                )
+                callback(batch, batch_id)
+            finally:
+                current.unpersist()
 
     else:
         broadcast = lookup_broadcastable(regions, max_broadcast_bytes)
-        lookup, base = region_lookup(regions), report_base(regions)
-        if broadcast:
-            # Proven small: one partition each, so building a broadcast from the cache is one task.
-            lookup, base = lookup.coalesce(1), base.coalesce(1)
-        lookup, base = lookup.persist(), base.persist()
+        lookup, base = region_lookup(regions).persist(), report_base(regions).persist()
         cached.extend([lookup, base])
-        process = batch_callback(lookup, base, log_root, epoch, broadcast, after_batch)
+        process = batch_callback(lookup, base, log_root, epoch, broadcast, after_batch, merge_into)
 
     writer = (
         users_stream.writeStream.foreachBatch(process)

@@ -1,23 +1,26 @@
-"""Report state in shared storage: versioned baselines plus the delta log.
+"""Report state in shared storage: published baselines plus the delta log.
 
 Layout under ``root``::
 
-    baseline/upto_epoch=E/upto_batch=B/   report rows covering the log up to (E, B)
-    log/epoch=E/batch_id=N/               delta rows of one micro-batch
+    baseline/publish=N/upto_epoch=E/upto_batch=B/   report rows covering the log up to (E, B)
+    log/epoch=E/batch_id=N/attempt=K/               delta rows of one micro-batch
+    reserved/publish-N, reserved/epoch-E            numbers that are taken
 
-A baseline version becomes visible only once its write has committed (Spark
-writes ``_SUCCESS`` last), so publishing a new version is atomic for readers:
-they take the newest committed version and fold the log entries after it.
-A batch run publishes a baseline covering everything logged before it
-started; :func:`compact` folds the log into a new baseline so that the log a
-reader has to fold stays short. Nothing is modified in place.
+Every publish writes a new folder and becomes visible by one rename to the next
+publish number, which is reserved by creating a file that must not exist; a
+write that fails leaves what was published before as it was. Readers take the
+newest publish number and fold the log entries after the position it covers,
+so a refresh is seen whatever position it covers. Nothing is modified in place.
 """
 
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +30,23 @@ from regiontally.streaming.delta_log import _hadoop_path, read_log
 
 NO_POSITION = (-1, -1)
 EPOCH_MARKER = "regiontally-epoch"
-_VERSION = re.compile(r"upto_epoch=(-?\d+)/upto_batch=(-?\d+)$")
+RESERVED_SECONDS = 60  # a reserved publish number that is not used for so long is passed over
+_VERSION = re.compile(r"publish=(\d+)/upto_epoch=(-?\d+)/upto_batch=(-?\d+)$")
 _EPOCH = re.compile(r"epoch=(-?\d+)")
 
 
+class StateChanged(RuntimeError):
+    """Another publish became visible since the state was read."""
+
+
+@dataclass(frozen=True, order=True)
+class Version:
+    """One published baseline: its number and the log position it covers."""
+
+    number: int
+    covered: tuple[int, int]
+
+
 @dataclass(frozen=True)
 class ReportState:
     root: str
@@ -43,50 +59,88 @@ class ReportState:
     def baseline_root(self) -> str:
         return f"{self.root.rstrip('/')}/baseline"
 
-    def baseline_path(self, position: tuple[int, int]) -> str:
-        return f"{self.baseline_root}/upto_epoch={int(position[0])}/upto_batch={int(position[1])}"
+    def baseline_path(self, version: Version) -> str:
+        epoch, batch = version.covered
+        return f"{self.baseline_root}/publish={version.number}/upto_epoch={int(epoch)}/upto_batch={int(batch)}"
 
-    def versions(self, spark: SparkSession) -> list[tuple[int, int]]:
-        """Committed baseline versions, oldest first (directory metadata only)."""
+    def versions(self, spark: SparkSession) -> list[Version]:
+        """Published baselines, oldest first (one recursive folder listing)."""
         root, fs = _hadoop_path(spark, self.baseline_root)
         if not fs.exists(root):
             return []
-        found = []
-        for epoch_dir in fs.listStatus(root):
-            if not epoch_dir.isDirectory():
-                continue
-            for batch_dir in fs.listStatus(epoch_dir.getPath()):
-                path = batch_dir.getPath()
-                match = _VERSION.search(path.toString())
-                if match and fs.exists(path.suffix("/_SUCCESS")):
-                    found.append((int(match.group(1)), int(match.group(2))))
-        return sorted(found)
+        found = [_VERSION.search(s.getPath().toString()) for s in fs.globStatus(root.suffix("/publish=*/upto_epoch=*/upto_batch=*"))]
+        return sorted(Version(int(m.group(1)), (int(m.group(2)), int(m.group(3)))) for m in found if m)
+
+    def newest(self, spark: SparkSession) -> Version | None:
+        versions = self.versions(spark)
+        return versions[-1] if versions else None
 
     def log_position(self, spark: SparkSession) -> tuple[int, int]:
-        """The newest ``(epoch, batch_id)`` in the log, or ``(-1, -1)`` when it is empty."""
+        """The newest ``(epoch, batch_id)`` logged so far, also when its entry has expired since."""
         row = read_log(spark, self.log_root).agg(F.max(F.struct("epoch", "batch_id")).alias("p")).first()
-        return (row.p.epoch, row.p.batch_id) if row and row.p is not None else NO_POSITION
+        logged = (row.p.epoch, row.p.batch_id) if row and row.p is not None else NO_POSITION
+        return max([logged, *(v.covered for v in self.versions(spark))])
 
-    def baseline(self, spark: SparkSession) -> tuple[DataFrame | None, tuple[int, int]]:
-        versions = self.versions(spark)
-        if not versions:
-            return None, NO_POSITION
-        newest = versions[-1]
+    def baseline(self, spark: SparkSession) -> tuple[DataFrame | None, Version | None]:
+        newest = self.newest(spark)
+        if newest is None:
+            return None, None
         return spark.read.schema(REPORT_SCHEMA).parquet(self.baseline_path(newest)), newest
 
     def current(self, spark: SparkSession, rate_arithmetic: str = "double") -> DataFrame:
         """The report now: newest baseline with every later log entry folded in."""
-        base, covered = self.baseline(spark)
+        base, version = self.baseline(spark)
         log = read_log(spark, self.log_root)
-        if base is None:
+        if version is None:
             return fold(log, rate_arithmetic=rate_arithmetic)
-        return fold(log, base, after=covered, rate_arithmetic=rate_arithmetic)
+        return fold(log, base, after=version.covered, rate_arithmetic=rate_arithmetic)
 
-    def publish(self, report: DataFrame, covered: tuple[int, int]) -> str:
-        """Write ``report`` as the baseline covering the log up to ``covered``."""
-        path = self.baseline_path(covered)
-        report.select(*REPORT_COLUMNS).write.mode("overwrite").parquet(path)
-        return path
+    def publish(self, report: DataFrame, covered: tuple[int, int], over: Version | None | str = "any") -> Version:
+        """Write ``report`` and make it the newest baseline, covering the log up to ``covered``.
+
+        With ``over`` the publish is refused (:class:`StateChanged`) unless that
+        version is still the newest one, as a fold of it must be.
+        """
+        spark = report.sparkSession
+        staged = f"{self.baseline_root}/_staging/{uuid.uuid4().hex}"
+        source, fs = _hadoop_path(spark, staged)
+        try:
+            report.select(*REPORT_COLUMNS).write.parquet(staged)
+            while True:
+                newest = self.newest(spark)
+                if over != "any" and newest != over:
+                    raise StateChanged(f"baseline {newest} was published meanwhile")
+                number = newest.number + 1 if newest else 0
+                while not self._reserve(spark, f"publish-{number}"):
+                    if self._reserved_seconds(spark, f"publish-{number}") < RESERVED_SECONDS:
+                        break  # someone switches to this number just now
+                    number += 1
+                else:
+                    break
+                time.sleep(0.2)
+            version = Version(number, tuple(covered))
+            target, _ = _hadoop_path(spark, self.baseline_path(version))
+            fs.mkdirs(target.getParent())
+            if not fs.rename(source, target):
+                raise OSError(f"could not publish {target.toString()}")
+            return version
+        finally:
+            fs.delete(source, True)
+
+    def _reserve(self, spark: SparkSession, name: str) -> bool:
+        """Create ``reserved/name``; False if it exists."""
+        path, fs = _hadoop_path(spark, f"{self.root.rstrip('/')}/reserved/{name}")
+        try:
+            fs.create(path, False).close()
+            return True
+        except Py4JJavaError as error:
+            if fs.exists(path):
+                return False
+            raise error
+
+    def _reserved_seconds(self, spark: SparkSession, name: str) -> float:
+        path, fs = _hadoop_path(spark, f"{self.root.rstrip('/')}/reserved/{name}")
+        return time.time() - fs.getFileStatus(path).getModificationTime() / 1000
 
     def log_epochs(self, spark: SparkSession) -> list[int]:
         """Epochs present in the log (folder metadata only)."""
@@ -106,9 +160,8 @@ class ReportState:
         Spark numbers batches from 0 in every new checkpoint, so each checkpoint
         gets its own epoch: the one recorded in the checkpoint folder when it was
         first started (a restart keeps writing, and replaying, the same entries),
-        else one past the newest epoch in the log (a new checkpoint never
-        overwrites an older run's entries). Both the baseline versions and the
-        log are considered, so an epoch is never reused after expiry.
+        else the next number, reserved in the state root before the stream
+        starts, so that two new checkpoints never share one, written to or not.
         """
         marker, fs = _hadoop_path(spark, f"{checkpoint_location.rstrip('/')}/{EPOCH_MARKER}")
         if fs.exists(marker):
@@ -117,8 +170,10 @@ class ReportState:
                 return int(stream.readUTF())
             finally:
                 stream.close()
-        known = [e for e, _ in self.versions(spark)] + self.log_epochs(spark)
+        known = [v.covered[0] for v in self.versions(spark)] + self.log_epochs(spark)
         epoch = max(known, default=-1) + 1
+        while not self._reserve(spark, f"epoch-{epoch}"):
+            epoch += 1
         out = fs.create(marker, False)
         try:
             out.writeUTF(str(epoch))
@@ -128,42 +183,49 @@ class ReportState:
 
 
 def expire(spark: SparkSession, state: ReportState, keep_versions: int = 2) -> list[str]:
-    """Delete baseline versions older than the newest ``keep_versions`` and the log
-    entries every kept version already covers; returns the deleted folders.
+    """Delete all but the newest ``keep_versions`` baselines and the log entries
+    every kept one covers; returns the deleted folders.
 
     Readers that started before an expiry may still be reading an expired
     version, so keep enough versions to cover the longest reader (as with any
     table-format retention).
     """
     versions = state.versions(spark)
-    if keep_versions < 1 or len(versions) <= keep_versions:
+    if keep_versions < 1 or not versions:
         return []
     kept = versions[-keep_versions:]
-    oldest_kept = kept[0]
+    covered = min(v.covered for v in kept)
     deleted = []
     for version in versions[:-keep_versions]:
-        path, fs = _hadoop_path(spark, state.baseline_path(version))
+        path, fs = _hadoop_path(spark, f"{state.baseline_root}/publish={version.number}")
         fs.delete(path, True)
         deleted.append(path.toString())
+    if len(versions) < keep_versions:
+        return deleted
     for epoch in state.log_epochs(spark):
         epoch_dir, fs = _hadoop_path(spark, f"{state.log_root}/epoch={epoch}")
         for status in fs.listStatus(epoch_dir):
             match = re.fullmatch(r"batch_id=(-?\d+)", status.getPath().getName())
-            if match and (epoch, int(match.group(1))) <= oldest_kept:
+            if match and (epoch, int(match.group(1))) <= covered:
                 fs.delete(status.getPath(), True)
                 deleted.append(status.getPath().toString())
     return deleted
 
 
 def compact(spark: SparkSession, state: ReportState) -> tuple[int, int]:
-    """Fold the log into a new baseline version; returns the position it covers."""
+    """Fold the log into a new baseline; returns the position it covers.
+
+    Refused with :class:`StateChanged` when another baseline is published
+    meanwhile (a batch refresh is never hidden by a fold over an older one).
+    """
+    base, version = state.baseline(spark)
     position = state.log_position(spark)
-    base, covered = state.baseline(spark)
+    covered = version.covered if version else NO_POSITION
     if position <= covered:
         return covered
     log = read_log(spark, state.log_root).where(
         (F.col("epoch") < position[0]) | ((F.col("epoch") == position[0]) & (F.col("batch_id") <= position[1]))
     )
     report = fold(log) if base is None else fold(log, base, after=covered)
-    state.publish(report, position)
+    state.publish(report, position, over=version)
     return position

@@ -52,7 +52,7 @@ def test_mapped_users_count_and_rules(spark):
 def test_branch_form_equals_lookup_form(spark):
     users, regions = fx.users(spark), fx.regions(spark)
     a = _rows(hierarchy.users_mapped(users, regions), MAPPED_COLUMNS)
-    b = _rows(hierarchy.users_mapped_by_branches(users, regions), MAPPED_COLUMNS)
+    b = _rows(hierarchy.users_mapped_by_level(users, regions), MAPPED_COLUMNS)
     assert a == b
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from regiontally.__main__ import main as cli
 from regiontally.jobs import report_stats, run_batch_job, run_stream_job
 from regiontally.session import shared_dir
-from regiontally.streaming.state import ReportState, compact
+from regiontally.schemas import REPORT_SCHEMA
+from regiontally.streaming.delta_log import read_log, write_batch
+from regiontally.streaming.state import ReportState, StateChanged, compact, expire
 from regiontally.streaming.staging import ChangeFeed
 from tests import fixtures as fx
 from tests.test_streaming import _raw_changes
@@ -17,11 +20,15 @@ def _state_of(df):
     return {r.region_id: (r.total_population, r.dead_population, r.mortality_rate_percent) for r in df.collect()}
 
 
+def _covered(state, spark):
+    return [v.covered for v in state.versions(spark)]
+
+
 def test_batch_then_stream_then_compact(spark):
     work = shared_dir(spark, "test-jobs")
     state = ReportState(f"{work}/state")
     published = run_batch_job(spark, fx.users(spark), fx.regions(spark), state)
-    assert state.versions(spark) == [(-1, -1)]
+    assert _covered(state, spark) == [(-1, -1)]
     golden = {r[0]: (r[3], r[4], r[5]) for r in fx.EXPECTED_REPORT}
     assert _state_of(published) == golden
     assert _state_of(state.current(spark)) == golden
@@ -48,7 +55,7 @@ def test_batch_then_stream_then_compact(spark):
     assert _state_of(state.current(spark)) == fx.EXPECTED_AFTER_BASELINE
 
     assert compact(spark, state) == (0, 3)
-    assert state.versions(spark) == [(-1, -1), (0, 3)]
+    assert _covered(state, spark) == [(-1, -1), (0, 3)]
     assert _state_of(state.current(spark)) == fx.EXPECTED_AFTER_BASELINE
     assert compact(spark, state) == (0, 3)  # nothing new: no new version
     top = report_stats(spark, state).collect()
@@ -80,8 +87,6 @@ def _run_feed(spark, state, work, checkpoint, batches, feed):
 
 
 def test_new_checkpoint_gets_new_epoch_and_expiry_keeps_the_report(spark):
-    from regiontally.streaming.state import expire
-
     work = shared_dir(spark, "test-epochs")
     state = ReportState(f"{work}/state")
     run_batch_job(spark, fx.users(spark), fx.regions(spark), state)
@@ -99,7 +104,7 @@ def test_new_checkpoint_gets_new_epoch_and_expiry_keeps_the_report(spark):
     assert compact(spark, state) == (1, 1)
     deleted = expire(spark, state, keep_versions=1)
     assert len(deleted) == 1 + 4  # the old baseline and the four covered log entries
-    assert state.versions(spark) == [(1, 1)]
+    assert _covered(state, spark) == [(1, 1)]
     assert _state_of(state.current(spark)) == fx.EXPECTED_AFTER_BASELINE
 
 
@@ -117,5 +122,130 @@ def test_cli_stream_available_now(spark):
     assert got["R1"] == (4, 2, 50.0)  # u18 is new: the frozen total does not grow
     assert cli(["compact", "--state", f"{work}/state", "--keep-versions", "1"]) == 0
     state = ReportState(f"{work}/state")
-    assert state.versions(spark) == [(0, 0)]
+    assert _covered(state, spark) == [(0, 0)]
     assert _state_of(state.current(spark)) == got
+
+
+def _one_delta(spark, region, dead, total):
+    from regiontally.schemas import DELTA_SCHEMA
+
+    return spark.createDataFrame([(region, region, total, dead, None)], DELTA_SCHEMA)
+
+
+def _report(spark, rows):
+    return spark.createDataFrame([(r, r, "REGION", None, t, d, 100.0 * d / t) for r, t, d in rows], REPORT_SCHEMA)
+
+
+def test_a_failed_refresh_leaves_the_report(spark):
+    state = ReportState(f"{shared_dir(spark, 'test-failed')}/state")
+    state.publish(_report(spark, [("R1", 4, 1)]), state.log_position(spark))
+    broken = _report(spark, [("R1", 9, 9)]).withColumn("region_name", F.raise_error(F.lit("broken")))
+    with pytest.raises(Exception, match="broken"):
+        state.publish(broken, state.log_position(spark))
+    assert len(state.versions(spark)) == 1
+    assert _state_of(state.current(spark)) == {"R1": (4, 1, 25.0)}
+
+
+@pytest.mark.parametrize("keep", [1, 2])
+def test_a_refresh_after_compaction_and_expiry_is_seen(spark, keep):
+    state = ReportState(f"{shared_dir(spark, 'test-refresh')}/state")
+    state.publish(_report(spark, [("R1", 4, 1)]), state.log_position(spark))
+    write_batch(_one_delta(spark, "R1", 1, 1), state.log_root, 0, 3)
+    assert compact(spark, state) == (0, 3)
+    expire(spark, state, keep_versions=keep)
+    assert _state_of(state.current(spark))["R1"] == (4, 2, 50.0)
+    state.publish(_report(spark, [("R1", 1000, 4)]), state.log_position(spark))
+    assert _state_of(state.current(spark))["R1"][:2] == (1000, 4)
+    write_batch(_one_delta(spark, "R1", 1, 1), state.log_root, 0, 4)
+    assert _state_of(state.current(spark))["R1"][:2] == (1000, 5)
+
+
+def test_two_new_checkpoints_never_share_an_epoch(spark):
+    work = shared_dir(spark, "test-two-epochs")
+    state = ReportState(f"{work}/state")
+    first, second = state.epoch_for(spark, f"{work}/a"), state.epoch_for(spark, f"{work}/b")
+    assert first != second and state.epoch_for(spark, f"{work}/a") == first
+    write_batch(_one_delta(spark, "R1", 1, 1), state.log_root, first, 0)
+    write_batch(_one_delta(spark, "R1", 1, 1), state.log_root, second, 0)
+    assert _state_of(state.current(spark))["R1"][:2] == (1, 2)
+
+
+def test_a_fold_never_hides_a_refresh_that_came_in_between(spark, monkeypatch):
+    state = ReportState(f"{shared_dir(spark, 'test-race')}/state")
+    state.publish(_report(spark, [("R1", 4, 1)]), state.log_position(spark))
+    write_batch(_one_delta(spark, "R1", 1, 1), state.log_root, 0, 0)
+    position = ReportState.log_position
+
+    def refresh_meanwhile(self, session):
+        found = position(self, session)
+        monkeypatch.setattr(ReportState, "log_position", position)
+        self.publish(_report(spark, [("R1", 50, 5)]), found)
+        return found
+
+    monkeypatch.setattr(ReportState, "log_position", refresh_meanwhile)
+    with pytest.raises(StateChanged):
+        compact(spark, state)
+    assert _state_of(state.current(spark))["R1"] == (50, 5, 10.0)
+
+
+def test_a_replay_counts_once_and_an_empty_batch_leaves_no_entry(spark):
+    state = ReportState(f"{shared_dir(spark, 'test-replay')}/state")
+    assert not write_batch(_one_delta(spark, "R1", 1, 1).limit(0), state.log_root, 0, 0)
+    assert state.log_epochs(spark) == []
+    for _ in range(2):
+        assert write_batch(_one_delta(spark, "R1", 1, 2), state.log_root, 0, 1)
+        assert _state_of(state.current(spark))["R1"][:2] == (2, 1)
+    assert not write_batch(_one_delta(spark, "R1", 1, 2).limit(0), state.log_root, 0, 1)
+    assert state.current(spark).isEmpty()
+
+
+def test_stream_keeps_the_table_current_and_the_log_short(spark):
+    work = shared_dir(spark, "test-table")
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS spark_catalog.kept LOCATION '{work}/tables'")
+    state = ReportState(f"{work}/state")
+    run_batch_job(spark, fx.users(spark), fx.regions(spark), state)
+    feed = ChangeFeed(spark, f"{work}/feed")
+    feed.stage(_raw_changes(spark, [1, 2, 3, 4]))
+    seen = []
+    handle = run_stream_job(
+        spark, feed.stream(), fx.regions(spark), state, f"{work}/checkpoint", trigger={"processingTime": "0 seconds"},
+        table="kept.report", on_stats=lambda batch_id, top: seen.append([r.region_id for r in top.collect()]), compact_every=2, keep_versions=1,
+    )
+    try:
+        for b in [1, 2, 3, 4]:
+            feed.release(b)
+            handle.process_all_available()
+            assert _state_of(spark.table("spark_catalog.kept.report")) == _state_of(state.current(spark))
+    finally:
+        handle.stop()
+    assert _state_of(spark.table("spark_catalog.kept.report")) == fx.EXPECTED_AFTER_BASELINE
+    assert seen[-1] == ["R4", "R2", "R1", "R3"]
+    assert len(state.versions(spark)) == 1
+    assert read_log(spark, state.log_root).select("batch_id").distinct().count() == 0
+
+
+def test_a_batch_that_resolves_nobody_writes_and_reports_nothing(spark):
+    from regiontally.operators.hierarchy import region_lookup
+    from regiontally.operators.report import report_base
+    from regiontally.streaming.runner import batch_callback
+
+    state = ReportState(f"{shared_dir(spark, 'test-skip')}/state")
+    seen = []
+    regions = fx.regions(spark)
+    nobody = fx.users(spark, [("n1", "nowhere", None, None, True)])
+    batch_callback(region_lookup(regions), report_base(regions), state.log_root, 0, True, seen.append)(nobody, 0)
+    assert seen == [] and state.log_epochs(spark) == []
+    empty = regions.where("1 = 0")
+    batch_callback(region_lookup(empty), report_base(empty), state.log_root, 0, True, seen.append)(fx.users(spark), 1)
+    assert seen == [1] and state.log_epochs(spark) == []
+
+
+def test_no_private_folder_off_a_local_master():
+    from types import SimpleNamespace
+
+    from regiontally.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="yarn")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(sparkContext=sc))

@@ -1,22 +1,26 @@
 """The MERGE statement of the sink, applied batch by batch, equals the fold.
 
 No catalog here supports row-level operations, so the statement is executed in
-DuckDB (same SQL: unqualified SET targets, double arithmetic) against the
+DuckDB (same SQL but for double literals) against the
 batch report, one micro-batch of delta rows at a time, and compared with the
 Spark fold of the same deltas.
 """
 
 from __future__ import annotations
 
+import re
+
 import duckdb
 
 from regiontally.plans import incremental
 from regiontally.queries import queries
 from regiontally.schemas import REPORT_COLUMNS
-from regiontally.sinks.tables import MERGE_TEMPLATE
+from regiontally.sinks.tables import merge_sql
 from regiontally.sources import testdata as td
 from tests.conftest import SF0001
 
+DOUBLE = re.compile(r"(\d+\.\d+)D")  # Spark's double literals
+
 DELTA_COLUMNS = [
     "effective_region_id",
     "effective_region_name",
@@ -42,7 +46,7 @@ def test_merge_statement_sequence_equals_fold(spark):
             f"CREATE OR REPLACE TABLE source_deltas AS SELECT {', '.join(DELTA_COLUMNS)} "
             f"FROM deltas_df WHERE batch_id = {int(batch_id)}"
         )
-        con.execute(MERGE_TEMPLATE.format(target="report", source="source_deltas"))
+        con.execute(DOUBLE.sub(r"CAST(\1 AS DOUBLE)", merge_sql("report", "source_deltas")))
     merged = con.execute(f"SELECT {', '.join(REPORT_COLUMNS)} FROM report").fetchall()
 
     def rows(records):

@@ -74,7 +74,7 @@ def test_lookup_branches_and_model_agree(spark, tree, user_rows):
     expected = model(tree, user_rows)
     via_lookup = {tuple(r[c] for c in MAPPED_COLUMNS) for r in hierarchy.users_mapped(people, regions).collect()}
     via_branches = {
-        tuple(r[c] for c in MAPPED_COLUMNS) for r in hierarchy.users_mapped_by_branches(people, regions).collect()
+        tuple(r[c] for c in MAPPED_COLUMNS) for r in hierarchy.users_mapped_by_level(people, regions).collect()
     }
     assert via_lookup == expected
     assert via_branches == expected

@@ -16,6 +16,8 @@ class _Conf:
 
 
 class _Context:
+    master = "local[2]"
+
     def __init__(self, conf, current=None):
         self._conf, self.current, self.installed = _Conf(conf), current, None
 
