@@ -13,6 +13,7 @@ from regiontally.llm.decontaminate import drop_leaks
 from regiontally.llm.gam_quality import keep_quality
 from regiontally.llm.mixing import mix_sources
 from regiontally.llm.ngram_jaccard import keep_one_per_group
+from regiontally.llm.queries import ship_package
 from regiontally.llm.suffix_dedup import drop_repeats
 
 
@@ -55,6 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each written as Parquet and read back for the next."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir))

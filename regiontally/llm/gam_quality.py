@@ -235,15 +235,26 @@ def fold_of(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5))
 
 
-def train(found: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> GamModel:
-    """Fit on the labelled rows outside the held-out fold, ``sample_rows`` at most.
+def labelled_sample(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, quality) of the ``sample_rows`` labelled rows of the smallest hashes, outside the held-out fold.
 
     Null labels and ids are left out; a document labelled twice counts twice.
     """
     known = labels.filter("quality is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
-    rows = found.join(known.filter(fold_of(F.col("doc_id")) != 0), "doc_id")
-    # the sample is the rows of the smallest hashes: bounded on the driver (20,000 rows, 14 numbers each)
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x", "quality").limit(sample_rows).select("x", "quality").collect()
+    known = known.filter(fold_of(F.col("doc_id")) != 0)
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    # a first cut by hash leaves about twice the sample, so that the ordering handles little
+    share = 2 * sample_rows / max(1, known.count())
+    if share < 1:
+        known = known.filter(spread < int(share * (1 << 30)))
+    return cut(known.orderBy(spread, "doc_id", "quality").limit(sample_rows))
+
+
+def train(found: DataFrame, sample: DataFrame) -> GamModel:
+    """Fit on the features ``found`` of the rows of ``sample`` (see ``labelled_sample``)."""
+    # SAMPLE_ROWS rows of 14 numbers at most come to the driver
+    rows = found.join(F.broadcast(sample), "doc_id").select("doc_id", "x", "quality").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["x"], r["quality"]))
     x = np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
     return fit(x, np.array([float(r["quality"] > 0) for r in rows]))
 
@@ -265,7 +276,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     null text scores as an empty one. Without labels every score is 0.5.
     """
     found = cut(text_features(docs))
-    model = docs.sparkSession.sparkContext.broadcast(train(found, labels))
+    model = docs.sparkSession.sparkContext.broadcast(train(found, labelled_sample(labels)))
     scored = found.mapInArrow(_apply(model), "doc_id long, score double")
     return scored.select(
         "doc_id",
@@ -289,10 +300,7 @@ def _keep(model, threshold: float):
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that score ``threshold`` or more."""
-    # features of the labelled rows only; the ids of the labels go to the texts by a semi join that Spark plans
-    sample = labels.filter("quality is not null and doc_id is not null").filter(fold_of(F.col("doc_id")) != 0)
-    sample = sample.orderBy(F.xxhash64(F.col("doc_id").cast("long")), "doc_id", "quality").limit(SAMPLE_ROWS)
-    sample = cut(sample.select(F.col("doc_id").cast("long").alias("doc_id"), "quality"))
+    sample = labelled_sample(labels)
     # SAMPLE_ROWS ids at most: a bounded broadcast, so that no text is shuffled
     chosen = docs.join(F.broadcast(sample.select(F.col("doc_id").alias("__id")).distinct()), F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
     model = train(text_features(chosen), sample)

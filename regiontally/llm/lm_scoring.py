@@ -161,6 +161,22 @@ def _score(shared, models, weight: float):
     return run
 
 
+def most_frequent(words: DataFrame, size: int) -> np.ndarray:
+    """Sorted hashes of the ``size`` most frequent words of (word, n); 8 bytes a word on the driver."""
+    # how many words each quarter of a power of two holds says below which count none is needed
+    step = F.floor(F.log2(F.col("n").cast("double")) * 4)
+    held, least = 0, 1.0
+    for row in sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect(), reverse=True):
+        held += row["words"]
+        least = 2 ** (row["step"] / 4)
+        if held >= size:
+            break
+    top = cut(words.filter(F.col("n") >= int(least)).orderBy(F.desc("n"), "word").limit(size).select("word"))
+    found = np.sort(np.array([r["word"] for r in top.collect()], dtype=np.int64).view(np.uint64))
+    release(top)
+    return found
+
+
 def score_cross_entropy(
     docs: DataFrame, targets: DataFrame, vocabulary_size: int = VOCABULARY, bits: int = BIGRAM_BITS, weight: float = BIGRAM_WEIGHT
 ) -> DataFrame:
@@ -173,10 +189,9 @@ def score_cross_entropy(
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text"))
-    words = docs.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    # the vocabulary is of fixed size: 8 bytes a word on the driver
-    top = words.orderBy(F.desc("n"), "word").limit(vocabulary_size).select("word").collect()
-    vocabulary = np.sort(np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64))
+    words = cut(docs.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    vocabulary = most_frequent(words, vocabulary_size)
+    release(words)
     shared = spark.sparkContext.broadcast(vocabulary)
 
     chosen = cut(targets.select(F.col("doc_id").cast("long").alias("_id")).filter("_id is not null").distinct())

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,8 +25,35 @@ from regiontally.llm.token_counts import op8_token_counts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, unless they find it by themselves.
+
+    They do when the repository is on PYTHONPATH or is the folder the application
+    was started in; with ``--py-files`` neither is needed.
+    """
+    root, sc = Path(__file__).resolve().parents[2], spark.sparkContext
+    found = str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or Path.cwd() == root
+    if found or not (root / "regiontally").is_dir() or getattr(sc, "_regiontally_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="regiontally-code-")) / "regiontally.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted((root / "regiontally").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    sc.addPyFile(str(archive))  # Spark serves the archive to every executor
+    sc._regiontally_shipped = True
+
+
+def shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
+    found = {
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_chat_format": op2_chat_format,
         "op3_suffix_dedup": op3_suffix_dedup,
@@ -33,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op9_decontaminate": op9_decontaminate,
         "op10_html_extract": op10_html_extract,
     }
+    return {name: shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
