@@ -17,17 +17,23 @@ def contract(labels: DataFrame, edges: DataFrame) -> DataFrame:
     Hubs cost nothing extra: the minimum is combined before the shuffle.
     """
     edges = cut(edges.select("a", "b").filter("a <> b").distinct())
+    steps = []
     while not edges.isEmpty():
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = both.groupBy(F.col("a").alias("comp")).agg(F.min("b").alias("low")).filter("low < comp")
-        step = cut(step)
-        old, labels = labels, cut(labels.join(step, "comp", "left").select("node", F.coalesce("low", "comp").alias("comp")))
+        step = cut(both.groupBy(F.col("a").alias("comp")).agg(F.min("b").alias("low")).filter("low < comp"))
+        steps.append(step)
         rest = edges
         for side in ("a", "b"):
             moved = step.select(F.col("comp").alias(side), "low")
             rest = rest.join(moved, side, "left").withColumn(side, F.coalesce("low", side)).drop("low")
-        rest = cut(rest.select("a", "b").filter("a <> b").distinct())
-        release(old, edges, step)
-        edges = rest
+        old, edges = edges, cut(rest.select("a", "b").filter("a <> b").distinct())
+        release(old)
     release(edges)
-    return labels
+    if not steps:
+        return labels
+    out = labels
+    for step in steps:
+        out = out.join(step, "comp", "left").select("node", F.coalesce("low", "comp").alias("comp"))
+    out = cut(out)
+    release(labels, *steps)
+    return out

@@ -43,7 +43,7 @@ from regiontally.llm.components import contract
 KEY_BITS = 20  # high bits of an ordering key: the sketch count
 HEAVY = 10_000  # a bucket above this count (and twice the mean) may hold a hot shingle
 BROADCAST_BYTES = 64 << 20
-HUB_GROWTH = 32  # hubs per group: 1, then so many times more in each round
+HUB_GROWTH = 64  # hubs per group: 1, then so many times more in each round
 
 
 def _summarise(n: int, bits: int):
@@ -192,13 +192,9 @@ def jaccard_components(docs: DataFrame, percent: int = 75, n: int = 5, sketch_bi
     # heavy shingles are spread by document and kept; the others need a partner
     rows = rows.withColumn("met", F.count("*").over(Window.partitionBy("token", "salt"))).filter("met > 1 or salt >= 0")
     rows = rows.join(first.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    # of a document's prefix only the shingles in ``rows`` can be shared: ``before`` counts those ahead of a
-    # shingle, ``met`` all of them (the text that others were edited from shares the most)
-    own = Window.partitionBy("node")
+    # ``met``: how many shingles of its prefix a document shares; the text that others were edited from shares the most
     rows = rows.select("token", F.col("doc_id").alias("node"), "n", "pos")
-    rows = rows.withColumns({"before": F.row_number().over(own.orderBy("pos")) - 1, "met": F.count("*").over(own)})
-    # a shingle with which not even a subset could reach the threshold leads to no link
-    rows = cut(rows.filter(F.lit(100) * (F.col("before") + F.col("n") - F.col("pos")) >= F.lit(percent) * F.col("n")))
+    rows = cut(rows.withColumn("met", F.count("*").over(Window.partitionBy("node"))))
 
     labels = has_set.join(first, "fp").select(F.col("doc_id").alias("node"), F.col("rep").alias("comp"))
     # rows that repeat a doc_id join the classes of their texts
@@ -211,7 +207,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, n: int = 5, sketch_bi
     left_over = rows
     while True:
         # only groups that join two components can hold a link that matters
-        labelled = left_over.select("token", "node", "n", "pos", "before", "met").join(labels, "node")
+        labelled = left_over.select("token", "node", "n", "pos", "met").join(labels, "node")
         open_ = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
         old, rows = rows, cut(labelled.join(open_.select("token"), "token", "left_semi"))
         release(old)
@@ -220,7 +216,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, n: int = 5, sketch_bi
         if texts is None:
             texts = _texts_of(docs, rows)
         group = F.pmod(F.hash("node"), F.lit(hubs_per_token))
-        best = F.max_by(F.struct("node", "n", "pos", "before", "comp"), F.struct("met", -F.col("node")))
+        best = F.max_by(F.struct("node", "n", "pos", "comp"), F.struct("met", -F.col("node")))
         hubs = rows.groupBy("token", group.alias("part")).agg(best.alias("hub")).select("token", "hub")
         pairs = rows.join(hubs, "token").filter("comp <> hub.comp")
         pairs = pairs.filter(_may_link(percent)).select(
@@ -249,12 +245,15 @@ def jaccard_components(docs: DataFrame, percent: int = 75, n: int = 5, sketch_bi
 
 
 def _may_link(percent: int):
-    """Length and positional filter of a row against its hub."""
+    """Length and positional filter of a row against its hub, for the first shingle that the two share.
+
+    Nothing ahead of the first shared shingle is shared, so from there on both
+    sets must still hold the whole overlap that the threshold asks for:
+    ``percent / (100 + percent)`` of the two sizes together.
+    """
     n, pos, hn, hpos = F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")
     length = (F.lit(100) * F.least(n, hn)) >= (F.lit(percent) * F.greatest(n, hn))
-    # ahead of a shared shingle only repeated ones may match as well; behind it all may
-    most = F.least("before", "hub.before") + 1 + F.least(n - pos - 1, hn - hpos - 1)
-    return length & ((F.lit(100 + percent) * most) >= (F.lit(percent) * (n + hn)))
+    return length & ((F.lit(100 + percent) * F.least(n - pos, hn - hpos)) >= (F.lit(percent) * (n + hn)))
 
 
 def _texts_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
