@@ -20,12 +20,12 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiontally.llm.common import batch_columns, cut, release, table
@@ -112,9 +112,11 @@ class Element:
 def events(page: str) -> Iterator[tuple[str, str | Element]]:
     """Balanced stream of a page: open and close of elements, and texts; missing end tags are put in."""
     stack: list[Element] = []
+    held: Counter[str] = Counter()  # open elements by name, so that stray end tags cost nothing
 
     def close_to(k: int):
         while len(stack) > k:
+            held[stack[-1].name] -= 1
             yield "close", stack.pop()
 
     for kind, name, source in tokens(page):
@@ -124,15 +126,16 @@ def events(page: str) -> Iterator[tuple[str, str | Element]]:
             if name == "br":
                 yield "br", ""
             elif name not in _INLINE:
-                yield from _auto_close(stack, name, close_to)
+                yield from _auto_close(stack, held, name, close_to)
                 element = Element(name, source)
                 yield "open", element
                 yield "close", element
         elif kind == "open":
-            yield from _auto_close(stack, name, close_to)
+            yield from _auto_close(stack, held, name, close_to)
             stack.append(Element(name, source))
+            held[name] += 1
             yield "open", stack[-1]
-        else:
+        elif held[name]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k].name == name:
                     yield from close_to(k)
@@ -140,9 +143,9 @@ def events(page: str) -> Iterator[tuple[str, str | Element]]:
     yield from close_to(0)
 
 
-def _auto_close(stack: list[Element], name: str, close_to) -> Iterator:
+def _auto_close(stack: list[Element], held: Counter, name: str, close_to) -> Iterator:
     """End tags that HTML lets an author leave out, before an element opens."""
-    if name in _PARAGRAPH_ENDS:
+    if name in _PARAGRAPH_ENDS and held["p"]:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k].name == "p":
                 yield from close_to(k)
@@ -150,7 +153,7 @@ def _auto_close(stack: list[Element], name: str, close_to) -> Iterator:
             if stack[k].name not in _INLINE:
                 break
     ends = _SAME_ENDS.get(name)
-    if ends:
+    if ends and held[name]:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k].name == name:
                 yield from close_to(k)
@@ -224,11 +227,10 @@ def expression(page: str) -> tuple[list, list[tuple[str, int]]]:
     return root, [(path, xxhash.xxh3_64_intdigest(said[0]) >> 1) for path, said in slots.items() if len(said) == 1]
 
 
-def host_of(url: str | None) -> str:
-    try:
-        return (urlsplit(url or "").hostname or "").lower()
-    except ValueError:
-        return ""
+def host_of(url: str) -> Column:
+    """Host of a URL column in lower case; empty for a null or a text without one."""
+    found = F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    return F.lower(F.coalesce(found, F.lit("")))
 
 
 def main_path(wrapper: list) -> str:
@@ -277,7 +279,7 @@ def _blocks(page: str, main: str, fixed: frozenset[str]) -> list[str] | None:
             if x.name not in _INLINE:
                 end()
                 names.append(x.key if x.name != "li" else "li")
-                inside += bool(inside) or (bool(main) and "/".join(names) == main and not dropped)
+                inside += bool(inside) or (bool(main) and len(names) <= MAX_DEPTH and "/".join(names) == main and not dropped)
                 seen = seen or bool(inside)
                 header = x.name == "header" and not inside
                 dropped += bool(dropped) or x.aside or header
@@ -299,8 +301,7 @@ def _blocks(page: str, main: str, fixed: frozenset[str]) -> list[str] | None:
             said.append(" ")
             continue
         elif not dropped and (inside or not main):
-            path = "/".join(names)
-            if not (path in fixed and not inside and x.strip()):
+            if inside or not x.strip() or len(names) > MAX_DEPTH or "/".join(names) not in fixed:
                 said.append(x)
                 total += len(x.strip())
                 linked += len(x.strip()) if links else 0
@@ -312,12 +313,12 @@ def _blocks(page: str, main: str, fixed: frozenset[str]) -> list[str] | None:
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        urls, pages = batch_columns(batch, "url", "html")
+        hosts, pages = batch_columns(batch, "host", "html")
         rows = []
-        for url, page in zip(urls, pages):
+        for host, page in zip(hosts, pages):
             if page:
                 parts, slots = expression(page)
-                rows.append((host_of(url), json.dumps(parts), [{"path": p, "said": h} for p, h in slots]))
+                rows.append((host, json.dumps(parts), [{"path": p, "said": h} for p, h in slots]))
         cols = list(zip(*rows)) if rows else [[]] * 3
         kinds = [pa.string(), pa.string(), pa.list_(pa.struct([("path", pa.string()), ("said", pa.int64())]))]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["host", "parts", "slots"])
@@ -333,7 +334,7 @@ def _fold_group(rows: pa.Table) -> pa.Table:
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """(host, parts, fixed) per host of ``pages`` (url, html): wrapper and the paths of its fixed strings."""
-    described = cut(pages.select("url", "html").mapInArrow(_describe, "host string, parts string, slots array<struct<path:string,said:long>>"))
+    described = cut(pages.select(host_of("url").alias("host"), "html").mapInArrow(_describe, "host string, parts string, slots array<struct<path:string,said:long>>"))
     wrappers = cut(described.select("host", "parts").distinct())
     while True:
         per_host = wrappers.groupBy("host").agg(F.count("*").alias("n"))
@@ -383,10 +384,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     wrappers = infer_wrappers(pages)
-    host = F.udf(host_of, "string")  # one short string a row; the same function that named the wrappers
     held = wrappers.agg(F.sum(F.length("parts") + 100 + 60 * F.greatest(F.size("fixed"), F.lit(0)))).first()[0] or 0
     sent = F.broadcast(wrappers) if held <= BROADCAST_BYTES else wrappers
-    rows = pages.withColumn("host", host("url")).join(sent, "host", "left")
+    rows = pages.withColumn("host", host_of("url")).join(sent, "host", "left")
     return rows.mapInArrow(_apply, "page_id long, url string, text string, n_chars long")
 
 
