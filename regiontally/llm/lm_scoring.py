@@ -1,12 +1,13 @@
 """Cross-entropy difference of a target and a background n-gram model.
 
-Both models are bigram models over one vocabulary, the most frequent words of
-the whole corpus, with the same smoothing: a bigram estimate mixed with an
-add-one unigram estimate. The background model counts every document, the
-target model the documents picked as target. Unigram counts are exact for the
-vocabulary; bigram counts live in ``2**BIGRAM_BITS`` buckets, so a model has
-the same size for a corpus of any size and can be sent to every task. Counts
-cover all documents: each task sums its own and the sums are added in Spark.
+Both models are bigram models over all words of the corpus, with the same
+smoothing: a bigram estimate mixed with an add-one unigram estimate. The
+background model counts every document, the target model the documents picked
+as target. Every word and every bigram has a count of its own, by a 64-bit
+hash, so the tables grow with the corpus and stay in Spark: documents are cut
+into blocks, the different words and bigrams of a block go to the groups of
+their hashes with their counts in the block, and the sums over all blocks come
+back to each block in the order of its own hashes.
 
 A document's score is the mean over its tokens of target loss less background
 loss, in nats: the lower, the more it reads like the target.
@@ -18,15 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiontally.llm.common import Sketch, as_bytes, batch_columns, chunks, cut, gather_sketch, mix, release, table, word_hashes
+from regiontally.llm.common import as_bytes, batch_columns, chunks, cut, ngram_hashes, release, table, word_hashes
 
-VOCABULARY = (1 << 16) - 1  # words; id 0 is every other word
-BIGRAM_BITS = 22
 BIGRAM_WEIGHT = 0.7
-FLUSH_WORDS = 4_000_000  # distinct words a task holds before it hands them on
+BLOCK_BYTES = 16 << 20  # text of a block of documents
+GROUP_BYTES = 64 << 20  # text of the corpus per group of hashes
+LEAST_BITS = 8
 BROADCAST_BYTES = 64 << 20
 
 
@@ -39,146 +41,181 @@ def _chunk_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return words, np.searchsorted(starts, np.concatenate(([0], ends)))
 
 
-def _merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    words = np.concatenate([w for w, _ in parts])
-    counts = np.concatenate([c for _, c in parts])
-    known, place = np.unique(words, return_inverse=True)
-    return known, np.bincount(place, counts, len(known)).astype(np.int64)
+def _inner(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Which pairs of neighbours lie in one text."""
+    same = np.ones(max(0, len(ids) - 1), dtype=bool)
+    cuts = bounds[1:-1]
+    same[cuts[(cuts > 0) & (cuts < len(ids))] - 1] = False
+    return same
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def emit(known, counts):
-        return pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(counts)], names=["word", "n"])
+class _Grams:
+    """Hashes of the words and bigrams of the texts of a block, as they come."""
 
-    parts: list = []
-    for batch in batches:
-        (texts,) = batch_columns(batch, "text")
-        for _, held in chunks(texts):
-            parts.append(np.unique(_chunk_words(held)[0], return_counts=True))
-            if sum(len(w) for w, _ in parts) > FLUSH_WORDS:
-                parts = [_merge_counts(parts)]
-                if len(parts[0][0]) > FLUSH_WORDS // 2:
-                    yield emit(*parts[0])
-                    parts = []
-    if parts:
-        yield emit(*_merge_counts(parts))
+    def __init__(self):
+        self.words, self.pairs, self.lengths, self.inner = [], [], [], []
 
+    def add(self, texts: list[bytes]) -> None:
+        words, bounds = _chunk_words(texts)
+        inner = _inner(words, bounds)
+        self.words.append(words)
+        self.pairs.append(ngram_hashes(words, 2)[inner])
+        self.lengths.append(np.diff(bounds))
+        # no pair joins the last word of a chunk to the first of the next
+        self.inner.append(np.concatenate((inner, np.zeros(min(1, len(words)), dtype=bool))))
 
-def _ids(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    if not len(vocabulary):
-        return np.zeros(len(words), dtype=np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == words, at + 1, 0)
 
+def _pack(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each; the first byte says how many."""
+    kind = np.min_scalar_type(int(counts.max()))
+    return bytes([kind.itemsize]) + counts.astype(kind).tobytes()
 
-def _bigrams(ids: np.ndarray) -> np.ndarray:
-    """Hash of each word with the one before it."""
-    return mix((ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:].astype(np.uint64))
 
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"<u{data[0]}", offset=1).astype(np.int64)
 
-def _inner(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Which pairs of neighbours lie in one text."""
-    same = np.ones(max(0, len(ids) - 1), dtype=bool)
-    cuts = bounds[1:-1]
-    same[cuts[(cuts > 0) & (cuts < len(ids))] - 1] = False
-    return same
 
+def _pack_hashes(known: np.ndarray) -> bytes:
+    """Sorted hashes by the bytes of their differences, which leaves runs of zeros to the compression of the shuffle."""
+    steps = np.diff(known, prepend=np.uint64(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
 
-#: Kinds of slices: unigrams and bigrams of the background and of the target.
-_KINDS = ("background_1", "background_2", "target_1", "target_2")
 
+def _unpack_hashes(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
 
-def _count_models(shared, size: int, bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
-        sketches = {k: Sketch(bits if k.endswith("2") else (size + 1).bit_length()) for k in _KINDS}
-        for batch in batches:
-            texts, chosen = batch_columns(batch, "text", "target")
-            for first, held in chunks(texts):
-                words, bounds = _chunk_words(held)
-                ids = _ids(words, vocabulary)
-                pairs, inner = _bigrams(ids), _inner(ids, bounds)
-                wanted = np.repeat(np.array(chosen[first : first + len(held)], dtype=bool), np.diff(bounds))
-                sketches["background_1"].add(ids.astype(np.uint64))
-                sketches["background_2"].add(pairs[inner])
-                if wanted.any():
-                    sketches["target_1"].add(ids[wanted].astype(np.uint64))
-                    sketches["target_2"].add(pairs[inner & wanted[1:]])
-        for kind, sketch in sketches.items():
-            for at, data in sketch.slices():
-                yield pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([at], pa.int32()), pa.array([data], pa.binary())], names=["kind", "slice", "data"])
 
-    return run
+#: A block of documents is one row, so it is whole in every read.
+_BLOCKS = "block long, doc_ids array<long>, target array<boolean>, sizes array<long>, text binary"
+_COUNTS = "block long, bucket int, kind int, grams binary, n binary, t binary"
 
 
-class BigramModel:
-    """Counts of one model, and the loss of each token of a text."""
+def _pack_block(block: int, keys: list, chosen: list, texts: list[bytes]) -> pa.RecordBatch:
+    data = pa.compress(b"".join(texts), codec="zstd", asbytes=True)
+    columns = [[block], [keys], [chosen], [list(map(len, texts))], [data]]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "doc_ids", "target", "sizes", "text"])
 
-    def __init__(self, unigrams: np.ndarray, bigrams: np.ndarray, size: int):
-        self.unigrams, self.bigrams, self.size = unigrams.astype(np.uint32), bigrams.astype(np.uint32), size
 
-    def losses(self, ids: np.ndarray, pairs: np.ndarray, inner: np.ndarray, weight: float) -> np.ndarray:
-        total = int(self.unigrams.sum())
-        said = self.unigrams[ids].astype(float)
-        p = (said + 1.0) / (total + self.size + 1.0)
-        if len(pairs):
-            mask = np.uint64(len(self.bigrams) - 1)
-            before = said[:-1]
-            # a bucket may hold other bigrams too: a bigram is no more frequent than either of its words
-            both = np.minimum(self.bigrams[(pairs & mask).astype(np.int64)], np.minimum(before, said[1:]))
-            known = inner & (before > 0)
-            mixed = weight * both / np.maximum(before, 1.0) + (1 - weight) * p[1:]
-            p[1:] = np.where(known, mixed, p[1:])
-        return -np.log(p)
+def _block_grams(sizes: list[int], data: bytes) -> _Grams:
+    grams, ends = _Grams(), np.cumsum([0, *sizes]).tolist()
+    text = pa.decompress(data, decompressed_size=ends[-1], codec="zstd", asbytes=True)
+    for _, held in chunks(text[a:b] for a, b in zip(ends, ends[1:])):
+        grams.add(held)
+    return grams
 
 
-def _score(shared, models, weight: float):
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block, size = TaskContext.get().partitionId() << 32, 0
+    held: tuple[list, list, list] = ([], [], [])
+    for batch in batches:
+        for row in zip(*batch_columns(batch, "doc_id", "target", "text")):
+            for column, x in zip(held, (*row[:2], row[2] or b"")):
+                column.append(x)
+            size += len(held[2][-1])
+            if size >= BLOCK_BYTES:
+                yield _pack_block(block, *held)
+                block, size, held = block + 1, 0, ([], [], [])
+    if held[0]:
+        yield _pack_block(block, *held)
+
+
+def _count_blocks(bits: int):
+    """The different words (kind 1) and bigrams (kind 2) of each block by bucket: sorted hashes, and counts in all and in targets."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, (target, background) = shared.value, models.value
         for batch in batches:
-            keys, texts = batch_columns(batch, "doc_id", "text")
-            for first, held in chunks(texts):
-                words, bounds = _chunk_words(held)
-                ids = _ids(words, vocabulary)
-                pairs, inner = _bigrams(ids), _inner(ids, bounds)
-                counts = np.diff(bounds)
-                sums = []
-                for model in (target, background):
-                    run_ = np.concatenate(([0.0], np.cumsum(model.losses(ids, pairs, inner, weight))))
-                    sums.append((run_[bounds[1:]] - run_[bounds[:-1]]) / np.maximum(counts, 1))
-                none = counts == 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys[first : first + len(held)], pa.int64()),
-                        pa.array(counts.astype(np.int64)),
-                        pa.array(sums[0], mask=none),
-                        pa.array(sums[1], mask=none),
-                        pa.array(sums[0] - sums[1], mask=none),
-                    ],
-                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
-                )
+            for block, chosen, sizes, data in zip(*batch_columns(batch, "block", "target", "sizes", "text")):
+                grams = _block_grams(sizes, data)
+                lengths, wanted = np.concatenate(grams.lengths), np.array(chosen, dtype=bool)
+                for kind, hashes, each in ((1, grams.words, lengths), (2, grams.pairs, np.maximum(lengths - 1, 0))):
+                    known, place = np.unique(np.concatenate(hashes), return_inverse=True)
+                    n = np.bincount(place, minlength=len(known))
+                    t = np.bincount(place[np.repeat(wanted, each)], minlength=len(known))
+                    bucket = (known >> np.uint64(64 - bits)).astype(np.int64)
+                    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+                    rows = []
+                    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(known)]):
+                        rows.append((block, int(bucket[a]), kind, _pack_hashes(known[a:b]), _pack(n[a:b]), _pack(t[a:b])))
+                    if rows:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["block", "bucket", "kind", "grams", "n", "t"]
+                        )
 
     return run
 
 
-def most_frequent(words: DataFrame, size: int) -> np.ndarray:
-    """Sorted hashes of the ``size`` most frequent words of (word, n); 8 bytes a word on the driver."""
-    # how many words each quarter of a power of two holds says below which count none is needed
-    step = F.floor(F.log2(F.col("n").cast("double")) * 4)
-    held, least = 0, 1.0
-    for row in sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect(), reverse=True):
-        held += row["words"]
-        least = 2 ** (row["step"] / 4)
-        if held >= size:
-            break
-    top = cut(words.filter(F.col("n") >= int(least)).orderBy(F.desc("n"), "word").limit(size).select("word"))
-    found = np.sort(np.array([r["word"] for r in top.collect()], dtype=np.int64).view(np.uint64))
-    release(top)
-    return found
+_SUMS = "block long, bucket int, kind int, n binary, t binary, known long, said long, wanted long"
+
+
+def _sum_bucket(rows: pa.Table) -> pa.Table:
+    """Counts over all blocks, for each block in the order of its own hashes; on one row also the different words of the bucket, and their counts."""
+    blocks, buckets, kinds, grams, ns, ts = (rows.column(c).to_pylist() for c in ("block", "bucket", "kind", "grams", "n", "t"))
+    out = []
+    for kind in (1, 2):
+        at = [i for i, k in enumerate(kinds) if k == kind]
+        if not at:
+            continue
+        hashes = [_unpack_hashes(grams[i]) for i in at]
+        known, place = np.unique(np.concatenate(hashes), return_inverse=True)
+        sums = []
+        for data in (ns, ts):
+            total = np.zeros(len(known), dtype=np.int64)
+            np.add.at(total, place, np.concatenate([_unpack(data[i]) for i in at]))
+            sums.append(total)
+        ends = np.cumsum([len(h) for h in hashes])
+        for j, i in enumerate(at):
+            own = place[ends[j] - len(hashes[j]) : ends[j]]
+            once = (len(known), int(sums[0].sum()), int(sums[1].sum())) if kind == 1 and not j else (0, 0, 0)
+            out.append((blocks[i], buckets[i], kind, _pack(sums[0][own]), _pack(sums[1][own]), *once))
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    return pa.table({c.split()[0]: pa.array(x, t) for c, x, t in zip(_SUMS.split(", "), zip(*out), types)})
+
+
+def _losses(n1: np.ndarray, n2: np.ndarray, follows: np.ndarray, total: int, size: int, weight: float) -> np.ndarray:
+    """Loss of each token from the counts of the words, and of the pairs that end at the places ``follows``."""
+    p = (n1 + 1.0) / (total + size + 1.0)
+    before = n1[follows - 1]
+    mixed = weight * n2 / np.maximum(before, 1) + (1 - weight) * p[follows]
+    p[follows] = np.where(before > 0, mixed, p[follows])
+    return -np.log(p)
+
+
+def _score(totals: tuple[int, int], size: int, weight: float):
+    def run(block: pa.Table, sums: pa.Table) -> pa.Table:
+        (row,) = block.to_pylist()
+        grams = _block_grams(row["sizes"], row["text"])
+        lengths = np.concatenate(grams.lengths)
+        follows = np.flatnonzero(np.concatenate(grams.inner)) + 1
+        rows = sorted(zip(*(sums.column(c).to_pylist() for c in ("kind", "bucket", "n", "t"))))
+        counts = []  # of the words and of the pairs, each in the target and in all
+        for kind, hashes in ((1, grams.words), (2, grams.pairs)):
+            place = np.unique(np.concatenate(hashes), return_inverse=True)[1]
+            for column in (3, 2):
+                said = [_unpack(r[column]) for r in rows if r[0] == kind]
+                counts.append((np.concatenate(said) if said else np.zeros(0, dtype=np.int64))[place])
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        none = lengths == 0
+        means = []
+        for model, total in enumerate(totals):
+            losses = _losses(counts[model], counts[2 + model], follows, total, size, weight)
+            means.append(np.bincount(text, losses, minlength=len(lengths)) / np.maximum(lengths, 1))
+        return pa.table(
+            {
+                "doc_id": pa.array(row["doc_ids"], pa.int64()),
+                "n_tokens": pa.array(lengths.astype(np.int64)),
+                "target_loss": pa.array(means[0], mask=none),
+                "background_loss": pa.array(means[1], mask=none),
+                "score": pa.array(means[0] - means[1], mask=none),
+            }
+        )
+
+    return run
 
 
 def score_cross_entropy(
-    docs: DataFrame, targets: DataFrame, vocabulary_size: int = VOCABULARY, bits: int = BIGRAM_BITS, weight: float = BIGRAM_WEIGHT
+    docs: DataFrame, targets: DataFrame, vocabulary_size: int | None = None, bits: int | None = None, weight: float = BIGRAM_WEIGHT
 ) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) for every row of ``docs``.
 
@@ -186,25 +223,28 @@ def score_cross_entropy(
     (null, empty) has no tokens and null losses. Without target documents the
     target model is uniform. Repeated rows count each time; null doc_ids are
     background; other columns are ignored; empty tables give empty results.
+    ``vocabulary_size`` is the number of words that the add-one estimate
+    provides for (the different words of the corpus unless given); it leaves no
+    word out. ``bits`` has no effect: counts share no buckets.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text"))
-    words = cut(docs.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    vocabulary = most_frequent(words, vocabulary_size)
-    release(words)
-    shared = spark.sparkContext.broadcast(vocabulary)
+    volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits_of_groups = max(LEAST_BITS, (volume // GROUP_BYTES).bit_length())
 
     chosen = cut(targets.select(F.col("doc_id").cast("long").alias("_id")).filter("_id is not null").distinct())
     small = chosen.count() * 16 <= BROADCAST_BYTES
     marked = docs.join(F.broadcast(chosen) if small else chosen, docs["doc_id"] == F.col("_id"), "left")
-    marked = marked.select("text", F.col("_id").isNotNull().alias("target"))
-    slices = cut(marked.mapInArrow(_count_models(shared, vocabulary_size, bits), "kind string, slice int, data binary"))
-    uni = (vocabulary_size + 1).bit_length()
-    counts = {k: gather_sketch(slices.filter(F.col("kind") == k), bits if k.endswith("2") else uni) for k in _KINDS}
-    release(slices, chosen)
-    models = tuple(BigramModel(counts[f"{k}_1"], counts[f"{k}_2"], vocabulary_size) for k in ("target", "background"))
-    return docs.mapInArrow(
-        _score(shared, spark.sparkContext.broadcast(models), weight),
+    marked = marked.select("doc_id", "text", F.col("_id").isNotNull().alias("target"))
+    # written, so that a block is the same rows in both of its uses
+    blocks = cut(marked.mapInArrow(_blocks, _BLOCKS))
+    release(chosen)
+    counts = blocks.mapInArrow(_count_blocks(bits_of_groups), _COUNTS)
+    sums = cut(counts.groupBy("bucket").applyInArrow(_sum_bucket, _SUMS))
+    said = sums.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("known", "said", "wanted"))).first()
+    size = said["known"] if vocabulary_size is None else vocabulary_size
+    sums = sums.select("block", "kind", "bucket", "n", "t")
+    return blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(
+        _score((said["wanted"], said["said"]), size, weight),
         "doc_id long, n_tokens long, target_loss double, background_loss double, score double",
     )
 

@@ -67,3 +67,46 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert all((r.score is None) == (r.n_tokens == 0) for r in got)
     assert score_cross_entropy(no_docs, targets, bits=16).count() == 0
     assert score_cross_entropy(odd_docs, targets.filter("1 = 0"), bits=16).count() == odd_docs.count()
+
+
+def test_counts_stay_exact_beyond_any_fixed_table(spark):
+    # more different words than the 65,535 of the former vocabulary, and bigrams that crowded its buckets (bits=10)
+    docs = [(i, " ".join(f"r{i}x{k} common" for k in range(700))) for i in range(100)]
+    targets = {i for i, _ in docs if i < 20}
+    size = len({w for _, t in docs for w in t.split()})
+    assert size > 70_000
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    chosen = spark.createDataFrame([(i,) for i in targets], "doc_id long")
+    expected = brute(docs, targets, size, 0.7)
+    rows = score_cross_entropy(frame, chosen, bits=10).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert (r.target_loss, r.background_loss) == pytest.approx(expected[r.doc_id])
+
+
+def test_small_blocks_give_the_same_counts(monkeypatch):
+    import pyarrow as pa
+    import pyarrow.compute
+
+    from regiontally.llm import lm_scoring
+
+    rng = random.Random(3)
+    docs = [(i, " ".join(f"v{rng.randrange(50)}" for _ in range(rng.randrange(0, 40)))) for i in range(60)]
+    targets, words = {0, 7, 9}, Counter(w for _, t in docs for w in t.split())
+    expected = brute(docs, targets, len(words), 0.7)
+    task = type("Task", (), {"get": staticmethod(lambda: type("Context", (), {"partitionId": lambda self: 2})())})
+    monkeypatch.setattr(lm_scoring, "TaskContext", task)
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 200)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in docs], "text": [t.encode() for _, t in docs], "target": [i in targets for i, _ in docs]})
+    blocks = list(lm_scoring._blocks([batch]))
+    assert len(blocks) > 10
+    counts = pa.Table.from_batches(list(lm_scoring._count_blocks(8)(blocks)))
+    buckets = sorted(set(counts.column("bucket").to_pylist()))
+    sums = pa.concat_tables(lm_scoring._sum_bucket(counts.filter(pa.compute.equal(counts.column("bucket"), b))) for b in buckets)
+    known, said, wanted = (sum(sums.column(c).to_pylist()) for c in ("known", "said", "wanted"))
+    assert (known, said, wanted) == (len(words), sum(words.values()), sum(len(t.split()) for i, t in docs if i in targets))
+    for block in blocks:
+        own = sums.filter(pa.compute.equal(sums.column("block"), block.column("block")[0]))
+        for r in lm_scoring._score((wanted, said), known, 0.7)(pa.Table.from_batches([block]), own).to_pylist():
+            if expected[r["doc_id"]] is not None:
+                assert (r["target_loss"], r["background_loss"]) == pytest.approx(expected[r["doc_id"]])
