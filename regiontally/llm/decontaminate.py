@@ -1,20 +1,27 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: word pairs as seeds, then local alignment.
 
 The benchmark is the stated query set; it is taken in blocks of a bounded size.
-A first pass over the documents looks up every word n-gram among the n-grams of
-the block and keeps the windows of words around the hits, together with how
-many documents hold each n-gram. Seeds are an item's rare n-grams: an n-gram
-far more frequent than the item's usual one is no seed (so a leak that is
-copied a thousand times still has all of its seeds). Each window that a seed
-joins to an item is scored by Smith-Waterman alignment over words, as a share
-of the score of a whole copy, so edited copies count by how much of the item
-they keep.
+Every window of words that may hold an item at the asked score is scored by
+Smith-Waterman alignment over words, as a share of the score of a whole copy,
+so edited copies count by how much of the item they keep.
+
+Seeds lose no copy. An alignment of an item of L words with M matches scores 2 M
+less one for each word replaced, left out or put in. Call neighbouring matches
+with at most one such edit between them a close pair: its words are one or two
+places apart in the item and in the text. All other neighbours cost 2 or more,
+so a score of 2 * least * L needs at least T = least * L - 1 close pairs, each of
+which starts at another word of the item and of the text. Any L - T starting
+words of the item thus have one that is hit; the seeds are those whose pairs
+are the rarest in the benchmark, which matters to the speed only. A window
+around a hit is aligned if T of its words start a pair of the item. No seed is
+left out for being frequent in the corpus.
 
 Words are compared in lower case and without ASCII punctuation.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,128 +31,89 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiontally.llm.common import batch_columns, chunks, cut, ngram_hashes, release, table, word_hashes
+from regiontally.llm.common import _ORDER, batch_columns, chunks, cut, mix, ngram_hashes, table, word_hashes
 
-SEED_WORDS = 4
 BLOCK_BYTES = 16 << 20  # text of the benchmark items of one block
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
-RARE_TIMES, RARE_BASE = 10, 100
+CACHED = 20_000  # alignments a task remembers, so that copies of a text cost one
 _PUNCTUATION = string.punctuation.encode()
-_MASK_BITS = 20
+_MASK_BITS = 24
 
 
 def normalise(text: str | None) -> bytes:
     return (text or "").lower().encode().translate(None, _PUNCTUATION)
 
 
+def pair_hashes(words: np.ndarray) -> np.ndarray:
+    """Two rows: hash of each word with the next one and with the one after; a pair beyond the end is 0."""
+    out = np.zeros((2, len(words)), dtype=np.uint64)
+    first, second = mix(words * _ORDER[0]), mix(words * _ORDER[1])
+    for gap in (1, 2):
+        out[gap - 1, : max(0, len(words) - gap)] = mix(first[:-gap] + second[gap:])
+    return out
+
+
 class Items:
-    """The items of a block: their words as hashes, and the items of each n-gram."""
+    """The items of a block: their words as hashes, and the items of each seed."""
 
-    def __init__(self, rows: list[tuple[int, str | None]], n: int):
-        self.ids, self.words = [], []
-        grams: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
+    def __init__(self, rows: list[tuple[int, str | None]], least: float):
+        self.ids, self.words, self.needed, self.reach = [], [], [], []
         for item, text in rows:
             words = word_hashes(np.frombuffer(normalise(text), dtype=np.uint8))[2]
-            if not len(words):
+            if len(words):
+                self.ids.append(item)
+                self.words.append(words)
+                self.needed.append(math.ceil(least * len(words) - 1 - 1e-9))
+                # words of a text that an alignment of the asked score can span
+                self.reach.append(math.ceil((3 - 2 * least) * len(words)) + 2)
+        pairs = [pair_hashes(w) for w in self.words]
+        known, counts = np.unique(np.concatenate([p.ravel() for p in pairs]) if pairs else np.zeros(0, np.uint64), return_counts=True)
+        seeds, of = [], []
+        self.whole: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        for i, (words, pair, needed) in enumerate(zip(self.words, pairs, self.needed)):
+            if needed < 1:  # one word could reach the score: such an item is one seed as a whole
+                self.whole[len(words)][int(ngram_hashes(words, len(words))[0])].append(i)
                 continue
-            # an item of fewer words than a seed is one seed as a whole
-            size = min(n, len(words))
-            for g in ngram_hashes(words, size).tolist():
-                grams[size][g].add(len(self.ids))
-            self.ids.append(item)
-            self.words.append(words)
-        self.items = {size: dict(found) for size, found in grams.items()}
-        self.sorted = {size: np.array(sorted(found), dtype=np.uint64) for size, found in self.items.items()}
-        self.mask = {}
-        for size, known in self.sorted.items():
-            self.mask[size] = np.zeros(1 << _MASK_BITS, dtype=bool)
-            self.mask[size][(known & np.uint64((1 << _MASK_BITS) - 1)).astype(np.int64)] = True
-        # words around a hit that an alignment may need
-        self.reach = {
-            size: {g: int(max(1.5 * len(self.words[i]) for i in found) + 8) for g, found in known.items()}
-            for size, known in self.items.items()
-        }
-
-    def hits(self, words: np.ndarray) -> list[tuple[int, int, int]]:
-        """(place, size, n-gram) of every known n-gram of a text, by place."""
-        out = []
-        for size, known in self.sorted.items():
+            starts = pair[:, :-1]
+            often = np.where(starts == 0, 0, counts[np.searchsorted(known, starts)]).sum(axis=0)
+            chosen = np.unique(starts[:, np.argsort(often, kind="stable")[: len(words) - needed]])
+            chosen = chosen[chosen != 0]
+            seeds.append(chosen)
+            of.append(np.full(len(chosen), i, dtype=np.int64))
+        self.whole = {size: dict(found) for size, found in self.whole.items()}
+        seeds_, of_ = (np.concatenate(x) if x else np.zeros(0, dtype=t) for x, t in ((seeds, np.uint64), (of, np.int64)))
+        order = np.argsort(seeds_, kind="stable")
+        self.seeds, self.of = seeds_[order], of_[order]
+
+    def mask(self) -> np.ndarray:
+        out = np.zeros(1 << _MASK_BITS, dtype=bool)
+        out[(self.seeds & np.uint64(len(out) - 1)).astype(np.int64)] = True
+        return out
+
+    def hits(self, words: np.ndarray, pairs: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the seeds of a run of words."""
+        found = []
+        for row in pairs:
+            near = np.flatnonzero(mask[(row & np.uint64(len(mask) - 1)).astype(np.int64)])
+            at = np.searchsorted(self.seeds, row[near])
+            at[at == len(self.seeds)] = 0
+            near = near[self.seeds[at] == row[near]] if len(self.seeds) else near[:0]
+            found.append((near, row[near]))
+        for size, known in self.whole.items():
             grams = ngram_hashes(words, size)
-            near = np.flatnonzero(self.mask[size][(grams & np.uint64((1 << _MASK_BITS) - 1)).astype(np.int64)])
-            if len(near):
-                at = np.minimum(np.searchsorted(known, grams[near]), len(known) - 1)
-                near = near[known[at] == grams[near]]
-                out.extend(zip(near.tolist(), [size] * len(near), grams[near].tolist()))
-        return sorted(out)
-
-
-def _windows(shared):
-    """Windows around hits, as hashes of their words; at the end the documents of each n-gram."""
-    names = ["key", "start", "words", "grams", "gram", "n"]
-    kinds = [pa.string(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: Items = shared.value
-        seen: dict[int, int] = defaultdict(int)
-        for batch in batches:
-            keys, texts = batch_columns(batch, "key", "text")
-            for first, held in chunks(map(normalise, texts)):
-                data = np.frombuffer(b"\n".join(held), dtype=np.uint8)
-                starts, _, words = word_hashes(data)
-                ends = np.cumsum(np.fromiter(map(len, held), dtype=np.int64, count=len(held)) + 1)
-                bounds = np.searchsorted(starts, np.concatenate(([0], ends)))
-                rows = []
-                # n-grams over the whole chunk tell which texts need a closer look
-                maybe = np.zeros(len(words) + 1, dtype=bool)
-                for size, mask in items.mask.items():
-                    grams = ngram_hashes(words, size)
-                    maybe[: len(grams)] |= mask[(grams & np.uint64((1 << _MASK_BITS) - 1)).astype(np.int64)]
-                found = np.flatnonzero(maybe)
-                for i in np.unique(np.searchsorted(bounds, found, side="right") - 1).tolist() if len(found) else ():
-                    if i >= len(held) or keys[first + i] is None:
-                        continue
-                    own = words[bounds[i] : bounds[i + 1]]
-                    hits = items.hits(own)
-                    for gram in {g for _, _, g in hits}:
-                        seen[gram] += 1
-                    low = high = -1
-                    grams_in: set[int] = set()
-                    for place, size, gram in [*hits, (1 << 60, 0, 0)]:
-                        reach = items.reach[size][gram] if size else 0
-                        if low >= 0 and place - reach > high:
-                            rows.append((keys[first + i], low, own[low:high].tobytes(), sorted(grams_in)))
-                            low, grams_in = -1, set()
-                        if size:
-                            low = max(0, place - reach) if low < 0 else min(low, max(0, place - reach))
-                            high = min(len(own), max(high, place + size + reach))
-                            grams_in.add(gram - (1 << 64) if gram >= 1 << 63 else gram)
-                if rows:
-                    cols = list(zip(*rows)) + [[None] * len(rows)] * 2
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
-        if seen:
-            grams = np.array(list(seen), dtype=np.uint64).view(np.int64)
-            empty = [pa.nulls(len(grams), t) for t in kinds[:4]]
-            yield pa.RecordBatch.from_arrays([*empty, pa.array(grams), pa.array(list(seen.values()), pa.int64())], names=names)
-
-    return run
-
+            near = np.flatnonzero(np.isin(grams, np.array(list(known), dtype=np.uint64)))
+            found.append((near, grams[near]))
+        place, seed = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(place, kind="stable")
+        return place[order], seed[order]
 
-def rare_seeds(items: Items, counts: dict[int, int]) -> dict[int, list[int]]:
-    """n-gram -> the items it is a seed of. ``counts``: documents that hold it."""
-    held = defaultdict(list)
-    for known in items.items.values():
-        for gram, found in known.items():
-            if gram in counts:
-                for i in found:
-                    held[i].append((counts[gram], gram))
-    seeds = defaultdict(list)
-    for i, grams in held.items():
-        usual = float(np.median([n for n, _ in grams]))
-        for n, gram in grams:
-            if n <= RARE_TIMES * usual + RARE_BASE:
-                seeds[gram].append(i)
-    return dict(seeds)
+    def of_seed(self, seed: np.uint64) -> list[int]:
+        a, b = np.searchsorted(self.seeds, seed, "left"), np.searchsorted(self.seeds, seed, "right")
+        out = self.of[a:b].tolist()
+        for known in self.whole.values():
+            out.extend(known.get(int(seed), ()))
+        return out
 
 
 def align(window: np.ndarray, item: np.ndarray) -> tuple[int, int]:
@@ -166,31 +134,83 @@ def align(window: np.ndarray, item: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _score(shared, seeds, least: float):
+def _leaks_of(items: Items, own: np.ndarray, pairs: np.ndarray, hits: Iterator[tuple[int, np.uint64]], least: float, held: dict) -> Iterator[tuple]:
+    """(item_id, score, start, end) of every window of a text that holds an item at the asked score."""
+    places: dict[int, list[int]] = defaultdict(list)
+    for place, seed in hits:
+        for i in items.of_seed(seed):
+            places[i].append(place)
+    for i, at in places.items():
+        item, reach, needed = items.words[i], items.reach[i], items.needed[i]
+        if needed > 0:
+            if ("pairs", i) not in held:
+                known = np.unique(pair_hashes(item))
+                held["pairs", i] = known[known != 0]
+            known = held["pairs", i]
+        todo, low, high = [], max(0, at[0] - reach), at[0] + reach
+        for place in at[1:]:
+            if place - reach > high:
+                todo.append((low, high))
+                low = place - reach
+            high = place + reach
+        for low, high in [*todo, (low, high)]:
+            high = min(high, len(own))
+            if needed > 0 and np.isin(pairs[:, low:high], known).any(axis=0).sum() < needed:
+                continue
+            window = own[low:high]
+            key = (window.tobytes(), i)
+            if key not in held:
+                score, end = align(window, item)
+                share = score / (MATCH * len(item))
+                # the start is where the mirrored alignment of what lies before the end stops
+                back = align(window[:end][::-1], item[::-1])[1] if share >= least else 0
+                held[key] = share, end - back, end
+            share, start, end = held[key]
+            if share >= least:
+                yield items.ids[i], share, low + start, low + end
+        if len(held) > CACHED:
+            held.clear()
+
+
+def _find(shared, least: float):
+    names = ["key", "item_id", "score", "word_start", "word_end"]
+    kinds = [pa.string(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, of = shared.value, seeds.value
+        items: Items = shared.value
+        mask, cache = items.mask(), {}
         for batch in batches:
+            keys, texts = batch_columns(batch, "key", "text")
             rows = []
-            for key, start, words, grams in zip(*batch_columns(batch, "key", "start", "words", "grams")):
-                window = np.frombuffer(words, dtype=np.uint64)
-                for i in sorted({i for g in grams for i in of.get(g % (1 << 64), ())}):
-                    item = items.words[i]
-                    score, end = align(window, item)
-                    share = score / (MATCH * len(item))
-                    if share >= least:
-                        # the start is where the mirrored alignment of what lies before the end stops
-                        back = align(window[:end][::-1], item[::-1])[1]
-                        rows.append((key, items.ids[i], share, start + end - back, start + end))
-            kinds = [pa.string(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
-            cols = list(zip(*rows)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, kinds)], names=["key", "item_id", "score", "word_start", "word_end"]
-            )
+            for first, held in chunks(map(normalise, texts)):
+                data = np.frombuffer(b"\n".join(held), dtype=np.uint8)
+                starts, _, words = word_hashes(data)
+                ends = np.cumsum(np.fromiter(map(len, held), dtype=np.int64, count=len(held)) + 1)
+                bounds = np.searchsorted(starts, np.concatenate(([0], ends)))
+                pairs = pair_hashes(words)
+                # pairs that would join two texts are none
+                for k in (1, 2):
+                    last = bounds[1:] - k
+                    for row in range(2 - k + 1):
+                        pairs[k - 1 + row, last[last >= bounds[:-1]]] = 0
+                place, seed = items.hits(words, pairs, mask)
+                text = np.searchsorted(bounds, place, side="right") - 1
+                cuts = np.flatnonzero(np.diff(text, prepend=-1))
+                for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(text)]):
+                    i = int(text[a])
+                    if keys[first + i] is None:
+                        continue
+                    low, high = bounds[i], bounds[i + 1]
+                    hits = zip((place[a:b] - low).tolist(), seed[a:b])
+                    found = _leaks_of(items, words[low:high], pairs[:, low:high], hits, least, cache)
+                    rows.extend((keys[first + i], *x) for x in found)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE, n: int = SEED_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, item_id, score, word_start, word_end): the best alignment of each item in each text that holds it.
 
     ``docs`` has (key string, text); rows without a key or words match nothing.
@@ -205,14 +225,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE,
     for block in range(blocks):
         # a block holds block_bytes of text, give or take the spread of the hash: the bound of what is sent out
         part = asked.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        items = Items([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()], n)
+        items = Items([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()], least)
         shared = spark.sparkContext.broadcast(items)
-        found = cut(docs.select("key", "text").mapInArrow(_windows(shared), "key string, start int, words binary, grams array<long>, gram long, n long"))
-        counts = found.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).collect()  # n-grams of the block at most
-        seeds = spark.sparkContext.broadcast(rare_seeds(items, {r["gram"] % (1 << 64): r["n"] for r in counts}))
-        scored = found.filter("key is not null").mapInArrow(_score(shared, seeds, least), "key string, item_id long, score double, word_start int, word_end int")
-        scored = cut(scored)
-        release(found)
+        scored = cut(docs.select("key", "text").mapInArrow(_find(shared, least), "key string, item_id long, score double, word_start int, word_end int"))
         out = scored if out is None else out.unionAll(scored)
     if out is None:
         return spark.createDataFrame([], "key string, item_id long, score double, word_start int, word_end int")

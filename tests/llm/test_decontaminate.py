@@ -71,3 +71,13 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert sorted(r.doc_id for r in out.collect()) == [1, 3, 4, 5, 6, 7, 8]
     assert drop_leaks(no_docs, benchmark).count() == 0
     assert drop_leaks(odd_docs, benchmark.filter("1 = 0")).count() == odd_docs.count()
+
+
+def test_one_edited_version_copied_more_than_the_item_is_found(spark):
+    rng = random.Random(4)
+    item = [f"i{k}" for k in range(40)]
+    edited = " ".join(f"other{k}" if k % 5 == 4 else w for k, w in enumerate(item))
+    # more copies than 10 times the item's usual count of 1, plus 100
+    rows = [("0", " ".join(item))] + [(str(d), f"a{d} {edited} b{rng.randrange(9)}") for d in range(1, 400)]
+    got = find_leaks(spark.createDataFrame(rows, "key string, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert {int(r.key): r.score > 0.6 for r in got.collect()} == dict.fromkeys(range(400), True)
