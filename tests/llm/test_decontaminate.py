@@ -81,3 +81,33 @@ def test_one_edited_version_copied_more_than_the_item_is_found(spark):
     rows = [("0", " ".join(item))] + [(str(d), f"a{d} {edited} b{rng.randrange(9)}") for d in range(1, 400)]
     got = find_leaks(spark.createDataFrame(rows, "key string, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
     assert {int(r.key): r.score > 0.6 for r in got.collect()} == dict.fromkeys(range(400), True)
+
+
+def test_every_pair_at_the_score_is_found(spark):
+    rng = random.Random(6)
+    vocabulary = [f"word{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice((3, 5, 15, 40))))) for i in range(24)]
+
+    def edited(words, kind):
+        out = []
+        for k, w in enumerate(words):
+            if kind == "insert":  # a foreign word after each word
+                out += [w, rng.choice(vocabulary)]
+            elif kind == "random":
+                r = rng.random()
+                out += [] if r < 0.1 else [rng.choice(vocabulary)] if r < 0.3 else [w, rng.choice(vocabulary)] if r < 0.4 else [w]
+            else:  # every third, fourth or fifth word replaced
+                out.append(rng.choice(vocabulary) if k % kind == kind - 1 else w)
+        return out
+
+    docs = []
+    for d, kind in enumerate((3, 4, 5, "insert", "random", "random") * 24):
+        words = [rng.choice(vocabulary) for _ in range(60)]
+        words[20:20] = edited(items[d // 6][1].split(), kind)
+        docs.append((str(d), " ".join(words)))
+    expected = {
+        (int(d), i) for d, t in docs for i, x in items if smith_waterman(t.split(), x.split()) >= 0.5 * MATCH * len(x.split())
+    }
+    assert len(expected) > 100
+    rows = find_leaks(spark.createDataFrame(docs, "key string, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(int(r.key), r.item_id) for r in rows.collect()} == expected
