@@ -3,7 +3,8 @@
 Every line with a word is judged by itself: punctuation (no sentence mark at
 all in a line of several words, or a mark of emphasis on half of its words),
 navigation (a run of separated entries, or too many symbols) and boilerplate
-(known phrases, or a repeat of an earlier line). Failed lines are removed; a
+(known phrases that make up a fifth of
+its words, or a repeat of an earlier line). Failed lines are removed; a
 document whose different lines lose more than half of their characters in
 words is rejected (a repeated line is removed, but is no loss).
 """
@@ -22,9 +23,10 @@ from regiontally.llm.common import as_bytes, batch_columns, chunks, ngram_hashes
 
 SYMBOLS = b"#*$%&|<>"
 MAX_LOST = 0.5
+BOILERPLATE_SHARE = 0.2  # of a line's words in known phrases
 BOILERPLATE = re.compile(
-    rb"(?i)lorem ipsum|javascript|cookie (?:policy|settings)|privacy policy|terms of (?:use|service)|all rights reserved|"
-    rb"click here|sign in|log in|subscribe to our|page not found|skip to content"
+    rb"(?i)(?<![\w\x80-\xff])(?:lorem ipsum|javascript|cookie (?:policy|settings)|privacy policy|terms of (?:use|service)|all rights reserved|"
+    rb"click here|sign in|log in|subscribe to our|page not found|skip to content)(?![\w\x80-\xff])"
 )
 _MARKS = re.compile("[.!?]|…|。|！|？".encode())
 _SPACES = b" \t\n\x0b\x0c\r"
@@ -46,7 +48,7 @@ def bad_line(line: bytes, n_words: int) -> str | None:
     symbols = len(line) - len(line.translate(None, SYMBOLS))
     if symbols >= 3 and 10 * symbols >= len(line):
         return "navigation"
-    if BOILERPLATE.search(line):
+    if sum(len(x.split()) for x in BOILERPLATE.findall(line)) >= max(1, BOILERPLATE_SHARE * n_words):
         return "boilerplate"
     return None
 

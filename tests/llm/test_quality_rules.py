@@ -49,3 +49,14 @@ def test_odd_rows(odd_docs, no_docs):
     assert got[3].n_words == 0 and got[3].base_failed and not got[3].kept and got[3].clean_text == ""
     assert got[6].kept is False  # one line of words without any sentence mark
     assert quality_rules(no_docs).count() == 0
+
+
+def test_phrases_in_clean_text_cost_no_line(spark):
+    for phrase in ("design in", "catalog in", "blog in", "JavaScript", "privacy policy", "d\u00e9sign in"):
+        line = f"The workshop spent a long week on {phrase} small teams before anyone wrote a page of the report.".encode()
+        assert bad_line(line, len(line.split())) is None, phrase
+    assert bad_line(b"The best design in years.", 5) is None
+    assert bad_line(b"Sign in or log in.", 5) == "boilerplate"
+    text = "Our group compared JavaScript with older tools, and found that careful design in early stages saves many weeks of later work."
+    (row,) = quality_rules(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert row.kept and row.clean_text == text
