@@ -10,7 +10,9 @@ combined before the shuffle and alignment is associative, so a host with a
 third of all pages is folded as a tree of small groups.
 
 The wrapper names the group that holds the article and the slots whose string
-is the same on every page. A page's text is what its stream has in the article
+is the same on every page. A page
+that lacks that group, or has a stronger mark, or has its article at another
+path or depth, has it located by its own marks. A page's text is what its stream has in the article
 group outside of menus, headers, footers, sidebars, notices, adverts, forms
 and reader comments.
 """
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from regiontally.llm.common import batch_columns, cut, release, table
 
-MAX_DEPTH = 12  # levels of a page that its expression describes; deeper ones count as part of theirs
+MAX_DEPTH = 12  # levels of a page that its expression describes; an article below them is found on its page
 FOLD = 32  # expressions aligned by one group of a folding round
 FIXED_PAGES = 5  # pages that must agree before a string counts as the template's
 BROADCAST_BYTES = 64 << 20
@@ -96,7 +98,9 @@ class Element:
         said = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(source)}
         words = f"{said.get('class', '')} {said.get('id', '')}".strip()
         self.name = name
-        self.key = name + (f".{words.split()[0]}" if words else "")
+        # ids and words with digits are often the page's own, not the template's
+        kept = [w for w in said.get("class", "").split() if not any(c.isdigit() for c in w)]
+        self.key = name + (f".{kept[0]}" if kept else "")
         self.aside = name in _DROPPED or said.get("role", "").lower() in _ROLES or "hidden" in said
         self.aside |= name not in ("html", "body", "article", "main") and bool(words) and bool(_ASIDE_WORDS.search(words))
         self.aside |= name == "article" and bool(re.search(r"comment|reply|teaser|related|promo", words, re.I))
@@ -233,8 +237,8 @@ def host_of(url: str) -> Column:
     return F.lower(F.coalesce(found, F.lit("")))
 
 
-def main_path(wrapper: list) -> str:
-    """Path of the group that holds the article: the strongest mark, the outermost first; empty if none."""
+def strongest(wrapper: list) -> tuple[int, str]:
+    """Mark and path of the group that holds the article: the strongest mark, the outermost first; (0, "") if none."""
     best, path = 0, ""
     todo = [(wrapper, "")]
     while todo:
@@ -244,17 +248,47 @@ def main_path(wrapper: list) -> str:
             if part[1] > best:
                 best, path = part[1], here
             todo.append((part[4], here))
-    return path
+    return best, path
+
+
+def main_path(wrapper: list) -> str:
+    return strongest(wrapper)[1]
+
+
+def own_path(page: str) -> tuple[int, str]:
+    """Like ``strongest``, for the page itself and at any depth."""
+    best, depth, path = 0, 0, ""
+    names: list[str] = []
+    dropped = 0
+    for kind, x in events(page):
+        if kind == "open":
+            if x.name not in _INLINE:
+                names.append(x.key)
+                dropped += bool(dropped) or x.aside or x.name == "header"
+                if x.main and not dropped and (x.main, -len(names)) > (best, -depth):
+                    best, depth, path = x.main, len(names), "/".join(names)
+            else:
+                dropped += bool(dropped) or x.aside
+        elif kind == "close":
+            if x.name not in _INLINE:
+                names.pop()
+            dropped -= bool(dropped)
+    return best, path
 
 
-def extract(page: str, main: str, fixed: frozenset[str]) -> str:
-    """The text of a page under its host's wrapper.
+def extract(page: str, main: str, fixed: frozenset[str], mark: int = 0) -> str:
+    """The text of a page under its host's wrapper, whose article group is at ``main`` with that mark.
 
-    A page without the wrapper's article group, or of a wrapper without one,
-    gives the text of its body outside of the dropped parts and of lists that
-    are links only.
+    The page's own article counts if it has a stronger mark or lacks the group.
+    A page without any gives the text of its body outside of the dropped parts
+    and of lists that are links only.
     """
-    found = _blocks(page, main, fixed) if main else None
+    best, own = own_path(page)
+    found = _blocks(page, main, fixed) if main and best <= mark else None
+    if found is None and own and own != main:
+        found = _blocks(page, own, fixed)
+    elif found is None and own:
+        found = _blocks(page, main, fixed)
     return "\n".join(_blocks(page, "", fixed) if found is None else found)
 
 
@@ -262,15 +296,16 @@ def _blocks(page: str, main: str, fixed: frozenset[str]) -> list[str] | None:
     out: list[str] = []
     said: list[str] = []
     names: list[str] = []
-    dropped = inside = links = breaks = 0
+    dropped = inside = links = breaks = lists = 0
     seen = not main
+    depth, last = main.count("/") + 1, main.rpartition("/")[2]
     linked = total = 0  # characters of the block in links, and in all
 
     def end():
         nonlocal linked, total
         text = " ".join(html.unescape("".join(said)).split())
         said.clear()
-        if text and (main or not (total and linked == total and "li" in names)):
+        if text and (main or not (total and linked == total and lists)):
             out.append(text)
         linked = total = 0
 
@@ -278,8 +313,9 @@ def _blocks(page: str, main: str, fixed: frozenset[str]) -> list[str] | None:
         if kind == "open":
             if x.name not in _INLINE:
                 end()
-                names.append(x.key if x.name != "li" else "li")
-                inside += bool(inside) or (bool(main) and len(names) <= MAX_DEPTH and "/".join(names) == main and not dropped)
+                names.append(x.key)
+                lists += x.name == "li"
+                inside += bool(inside) or (bool(main) and len(names) == depth and names[-1] == last and not dropped and "/".join(names) == main)
                 seen = seen or bool(inside)
                 header = x.name == "header" and not inside
                 dropped += bool(dropped) or x.aside or header
@@ -291,6 +327,7 @@ def _blocks(page: str, main: str, fixed: frozenset[str]) -> list[str] | None:
             if x.name not in _INLINE:
                 end()
                 names.pop()
+                lists -= x.name == "li"
                 inside -= bool(inside)
             links -= x.name == "a" and links > 0
             dropped -= bool(dropped)
@@ -367,8 +404,9 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if host not in known:
                 if len(known) > 1000:
                     known.clear()
-                known[host] = (main_path(json.loads(wrapper)) if wrapper else "", frozenset(same or ()))
-            texts.append(extract(page, *known[host]))
+                known[host] = (*(strongest(json.loads(wrapper)) if wrapper else (0, "")), frozenset(same or ()))
+            mark, main, strings = known[host]
+            texts.append(extract(page, main, strings, mark))
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
             names=["page_id", "url", "text", "n_chars"],

@@ -53,3 +53,17 @@ def test_alignment_makes_optional_and_repeated_groups():
     p, h, t = ["p", 0, 0, 0, []], ["h1", 0, 0, 0, []], ["table", 0, 0, 0, []]
     assert [(x[0], x[2], x[3]) for x in align([h, p], [h, t, p])] == [("h1", 0, 0), ("table", 0, 1), ("p", 0, 0)]
     assert [(x[0], x[2]) for x in fold([h, p, p, p])] == [("h1", 0), ("p", 1)]
+
+
+def test_articles_at_paths_of_their_own(spark):
+    inner = "<header>Own head {i}</header><p>Text {i}</p><ul><li><a href='/'>Link {i}</a></li></ul>"
+    rows = []
+    for i in range(8):  # ids of the page, two layouts, and articles 20 levels down
+        article, body = inner.format(i=i), "home" if i % 2 else "single"
+        rows.append((i, "http://ids.example.org/x", f"<body><p>Out</p><article id='post-{i}'>{article}</article></body>"))
+        rows.append((i + 100, "http://two.example.org/x", f"<body class='{body}'><p>Out</p><article>{article}</article></body>"))
+        rows.append((i + 200, "http://deep.example.org/x", f"<body><p>Out</p>{'<div>' * 19}<article>{article}</article>{'</div>' * 19}</body>"))
+        slug = "abcdefgh"[i]
+        rows.append((i + 300, "http://slug.example.org/x", f"<body><p>Out</p><article class='slug-{slug}'>{article}</article></body>"))
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {p: f"Own head {p % 100}\nText {p % 100}\nLink {p % 100}" for p, _, _ in rows}
