@@ -10,7 +10,7 @@ combined before the shuffle and alignment is associative, so a host with a
 third of all pages is folded as a tree of small groups.
 
 The wrapper names the group that holds the article and the slots whose string
-is the same on every page. A page
+is the same on every page (of pages with the same text, one counts). A page
 that lacks that group, or has a stronger mark, or has its article at another
 path or depth, has it located by its own marks. A page's text is what its stream has in the article
 group outside of menus, headers, footers, sidebars, notices, adverts, forms
@@ -34,7 +34,7 @@ from regiontally.llm.common import batch_columns, cut, release, table
 
 MAX_DEPTH = 12  # levels of a page that its expression describes; an article below them is found on its page
 FOLD = 32  # expressions aligned by one group of a folding round
-FIXED_PAGES = 5  # pages that must agree before a string counts as the template's
+FIXED_PAGES = 5  # pages of different text that must agree before a string counts as the template's
 BROADCAST_BYTES = 64 << 20
 
 _TOKEN = re.compile(
@@ -203,11 +203,24 @@ def fold(parts: list) -> list:
     return out
 
 
-def expression(page: str) -> tuple[list, list[tuple[str, int]]]:
+def page_text(stream: list) -> int:
+    """Hash of all strings of a page outside of dropped parts."""
+    said, dropped = [], 0
+    for kind, x in stream:
+        if kind == "open":
+            dropped += bool(dropped) or x.aside
+        elif kind == "close":
+            dropped -= bool(dropped)
+        elif kind == "text" and not dropped and x.strip():
+            said.append(" ".join(x.split()))
+    return xxhash.xxh3_64_intdigest("\0".join(said)) >> 1
+
+
+def expression(stream: list) -> tuple[list, list[tuple[str, int]]]:
     """A page's expression, and the hash of the string in each slot outside of repeated groups."""
     root: list = []
     stack, names, slots = [root], [], {}
-    for kind, x in events(page):
+    for kind, x in stream:
         if kind == "open":
             if x.name in _INLINE:
                 continue
@@ -255,12 +268,12 @@ def main_path(wrapper: list) -> str:
     return strongest(wrapper)[1]
 
 
-def own_path(page: str) -> tuple[int, str]:
+def own_path(stream: list) -> tuple[int, str]:
     """Like ``strongest``, for the page itself and at any depth."""
     best, depth, path = 0, 0, ""
     names: list[str] = []
     dropped = 0
-    for kind, x in events(page):
+    for kind, x in stream:
         if kind == "open":
             if x.name not in _INLINE:
                 names.append(x.key)
@@ -283,16 +296,17 @@ def extract(page: str, main: str, fixed: frozenset[str], mark: int = 0) -> str:
     A page without any gives the text of its body outside of the dropped parts
     and of lists that are links only.
     """
-    best, own = own_path(page)
-    found = _blocks(page, main, fixed) if main and best <= mark else None
+    stream = list(events(page))
+    best, own = own_path(stream)
+    found = _blocks(stream, main, fixed) if main and best <= mark else None
     if found is None and own and own != main:
-        found = _blocks(page, own, fixed)
+        found = _blocks(stream, own, fixed)
     elif found is None and own:
-        found = _blocks(page, main, fixed)
-    return "\n".join(_blocks(page, "", fixed) if found is None else found)
+        found = _blocks(stream, main, fixed)
+    return "\n".join(_blocks(stream, "", fixed) if found is None else found)
 
 
-def _blocks(page: str, main: str, fixed: frozenset[str]) -> list[str] | None:
+def _blocks(stream: list, main: str, fixed: frozenset[str]) -> list[str] | None:
     out: list[str] = []
     said: list[str] = []
     names: list[str] = []
@@ -309,7 +323,7 @@ def _blocks(page: str, main: str, fixed: frozenset[str]) -> list[str] | None:
             out.append(text)
         linked = total = 0
 
-    for kind, x in events(page):
+    for kind, x in stream:
         if kind == "open":
             if x.name not in _INLINE:
                 end()
@@ -354,11 +368,12 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for host, page in zip(hosts, pages):
             if page:
-                parts, slots = expression(page)
-                rows.append((host, json.dumps(parts), [{"path": p, "said": h} for p, h in slots]))
-        cols = list(zip(*rows)) if rows else [[]] * 3
-        kinds = [pa.string(), pa.string(), pa.list_(pa.struct([("path", pa.string()), ("said", pa.int64())]))]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["host", "parts", "slots"])
+                stream = list(events(page))
+                parts, slots = expression(stream)
+                rows.append((host, json.dumps(parts), [{"path": p, "said": h} for p, h in slots], page_text(stream)))
+        cols = list(zip(*rows)) if rows else [[]] * 4
+        kinds = [pa.string(), pa.string(), pa.list_(pa.struct([("path", pa.string()), ("said", pa.int64())])), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["host", "parts", "slots", "page"])
 
 
 def _fold_group(rows: pa.Table) -> pa.Table:
@@ -371,7 +386,7 @@ def _fold_group(rows: pa.Table) -> pa.Table:
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """(host, parts, fixed) per host of ``pages`` (url, html): wrapper and the paths of its fixed strings."""
-    described = cut(pages.select(host_of("url").alias("host"), "html").mapInArrow(_describe, "host string, parts string, slots array<struct<path:string,said:long>>"))
+    described = cut(pages.select(host_of("url").alias("host"), "html").mapInArrow(_describe, "host string, parts string, slots array<struct<path:string,said:long>>, page long"))
     wrappers = cut(described.select("host", "parts").distinct())
     while True:
         per_host = wrappers.groupBy("host").agg(F.count("*").alias("n"))
@@ -384,8 +399,9 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
             old2, wrappers = wrappers, cut(wrappers.groupBy("host").applyInArrow(_fold_group, "host string, parts string"))
             release(old2)
         release(old)
-    slots = described.select("host", F.explode("slots").alias("s")).groupBy("host", "s.path")
-    same = slots.agg(F.min("s.said").alias("lo"), F.max("s.said").alias("hi"), F.count("*").alias("n"))
+    # pages of one text agree trivially: one of them counts
+    slots = described.select("host", "page", F.explode("slots").alias("s")).groupBy("host", "s.path")
+    same = slots.agg(F.min("s.said").alias("lo"), F.max("s.said").alias("hi"), F.countDistinct("page").alias("n"))
     same = same.filter((F.col("lo") == F.col("hi")) & (F.col("n") >= FIXED_PAGES)).groupBy("host").agg(F.collect_list("path").alias("fixed"))
     out = cut(wrappers.join(same, "host", "left").select("host", "parts", "fixed"))
     release(described, wrappers)

@@ -67,3 +67,11 @@ def test_articles_at_paths_of_their_own(spark):
         rows.append((i + 300, "http://slug.example.org/x", f"<body><p>Out</p><article class='slug-{slug}'>{article}</article></body>"))
     got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {p: f"Own head {p % 100}\nText {p % 100}\nLink {p % 100}" for p, _, _ in rows}
+
+
+def test_copies_of_an_unmarked_page_keep_their_text(spark):
+    copy = "<body><h1>T</h1><p>only paragraph</p></body>"
+    rows = [(i, "http://c.example.org/x", copy) for i in range(9)]
+    rows += [(i, "http://d.example.org/x", f"<body><div>Template</div><p>Paragraph {i}</p></body>") for i in range(20, 26)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "T\nonly paragraph" for i in range(9)} | {i: f"Paragraph {i}" for i in range(20, 26)}
