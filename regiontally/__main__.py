@@ -1,8 +1,10 @@
-"""Command line: ``python -m regiontally {batch,stream,report,compact} ...``.
+"""Command line: ``python -m regiontally {batch,stream,report,replay} ...``.
 
 Sources are read with a format name and options (``--users-format <connector>
 --users-option key=value ...`` for a document-store connector where it is
-installed; parquet or json paths otherwise). State, checkpoints and logs must be on shared storage.
+installed; parquet or json paths otherwise). Tables are named in the session's
+catalog; with ``--location`` they live in, and are found again in, a folder of
+shared storage. Checkpoints, logs and dead letters must be on shared storage.
 """
 
 from __future__ import annotations
@@ -12,10 +14,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from regiontally.jobs import report_stats, run_batch_job, run_stream_job
+from regiontally.jobs import replay_into_table, report_stats, run_batch_job, run_stream_job
 from regiontally.operators.report import order_report
 from regiontally.sources.readers import read_regions, read_users, stream_users
-from regiontally.streaming.state import ReportState, compact, expire
+from regiontally.sinks.upsert import DEFAULT_BUCKETS, UpsertTable
 
 
 def _options(pairs):
@@ -25,62 +27,68 @@ def _options(pairs):
 def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="regiontally")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("batch", "stream"):
+    for name in ("batch", "stream", "replay"):
         p = sub.add_parser(name)
-        p.add_argument("--users", help="users path (omit for connector sources)")
-        p.add_argument("--users-format", default="parquet")
-        p.add_argument("--users-option", action="append")
+        if name != "replay":
+            p.add_argument("--users", help="users path (omit for connector sources)")
+            p.add_argument("--users-format", default="parquet")
+            p.add_argument("--users-option", action="append")
         p.add_argument("--regions", help="regions path")
         p.add_argument("--regions-format", default="parquet")
         p.add_argument("--regions-option", action="append")
-        p.add_argument("--state", required=(name == "stream"), help="report state root (shared storage)")
-        p.add_argument("--table", help="catalog table to create / replace")
+    for name in ("batch", "stream", "replay", "report"):
+        p = sub.choices.get(name) or sub.add_parser(name)
+        p.add_argument("--table", required=(name != "stream"), help="catalog table, namespace.name")
+        p.add_argument("--location", help="folder of the table")
         p.add_argument("--provider", default="parquet")
+        p.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS, help="of a table that is created")
+    batch = sub.choices["batch"]
+    batch.add_argument("--bucketed", action="store_true", help="refresh the stream's bucketed table")
     stream = sub.choices["stream"]
     stream.add_argument("--checkpoint", required=True)
-    stream.add_argument("--epoch", type=int, default=None, help="default: the checkpoint's own epoch")
+    stream.add_argument("--epoch", type=int, default=None, help="default: the checkpoint's creation time")
     stream.add_argument("--trigger-seconds", type=int, default=30)
     stream.add_argument("--available-now", action="store_true")
     stream.add_argument("--stats", action="store_true", help="print the top 20 after each batch")
-    stream.add_argument("--sink", choices=("log", "merge"), default="log", help="merge: upsert each batch into the table")
-    stream.add_argument("--refresh-every", type=int, default=1, help="batches between refreshes of the table")
-    stream.add_argument("--compact-every", type=int, default=0, help="batches between compactions (0: none)")
-    report = sub.add_parser("report")
-    report.add_argument("--state", required=True)
-    report.add_argument("--top", type=int, default=20)
-    compaction = sub.add_parser("compact")
-    compaction.add_argument("--state", required=True)
-    compaction.add_argument("--keep-versions", type=int, default=0, help="then expire older versions")
+    stream.add_argument("--sink", choices=("upsert", "merge", "log"), default="upsert")
+    stream.add_argument("--log", help="folder of the delta log (--sink log)")
+    stream.add_argument("--dead-letters", help="folder for failed batches; without it a failed batch ends the stream")
+    sub.choices["replay"].add_argument("--dead-letters", required=True)
+    sub.choices["report"].add_argument("--top", type=int, default=20)
     return ap
 
 
 def main(argv=None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"regiontally-{args.cmd}").getOrCreate()
-    if args.cmd in ("batch", "stream"):
+    if args.cmd != "report":
         regions = read_regions(spark, args.regions_format, args.regions, _options(args.regions_option))
-        state = ReportState(args.state) if args.state else None
+
+    def bucketed() -> UpsertTable:
+        return UpsertTable.create(spark, args.table, args.buckets, provider=args.provider, location=args.location)
+
     if args.cmd == "batch":
         users = read_users(spark, args.users_format, args.users, _options(args.users_option))
-        published = run_batch_job(spark, users, regions, state, args.table, args.provider)
+        if args.bucketed:
+            published = run_batch_job(spark, users, regions, target=bucketed())
+        else:
+            published = run_batch_job(spark, users, regions, args.table, provider=args.provider, location=args.location)
         order_report(published).show(20, truncate=False)
     elif args.cmd == "stream":
         changes = stream_users(spark, args.users_format, args.users, _options(args.users_option))
         trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
         on_stats = (lambda batch_id, top: top.show(truncate=False)) if args.stats else None
         handle = run_stream_job(
-            spark, changes, regions, state, args.checkpoint, args.epoch, trigger,
-            args.table, args.provider, on_stats, sink=args.sink,
-            refresh_every=args.refresh_every, compact_every=args.compact_every,
+            spark, changes, regions, args.checkpoint, args.table, args.log, args.sink, args.buckets, args.epoch,
+            trigger, args.provider, args.location, on_stats, dead_letters=args.dead_letters,
         )
         handle.await_done()
+    elif args.cmd == "replay":
+        print(len(replay_into_table(spark, args.dead_letters, regions, bucketed())), "batches replayed")
     elif args.cmd == "report":
-        report_stats(spark, ReportState(args.state), args.top).show(args.top, truncate=False)
-    elif args.cmd == "compact":
-        state = ReportState(args.state)
-        print(compact(spark, state))
-        if args.keep_versions:
-            print(len(expire(spark, state, args.keep_versions)), "folders expired")
+        if args.location:
+            bucketed()
+        report_stats(spark, args.table, args.top).show(args.top, truncate=False)
     return 0
 
 

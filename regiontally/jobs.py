@@ -1,9 +1,8 @@
 """The two jobs, end to end: batch full refresh and the incremental stream.
 
-Both share one :class:`~regiontally.streaming.state.ReportState` in shared
-storage: the batch job publishes a baseline that covers everything logged
-before it started; the stream appends delta rows; readers fold the two. A
-catalog table can be refreshed from the state for SQL users.
+Both keep catalog tables. The batch job replaces a report table (a new version,
+then a switch) or refreshes the bucketed table of the stream; the stream upserts
+every micro-batch into that table, or logs its delta rows.
 """
 
 from __future__ import annotations
@@ -12,11 +11,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from regiontally.operators.deltas import fold
 from regiontally.operators.report import mortality_report, top_regions
-from regiontally.schemas import REPORT_SCHEMA
+from regiontally.schemas import REPORT_COLUMNS
 from regiontally.sinks.tables import create_report_if_absent, full_name, merge_deltas, replace_report
-from regiontally.streaming.runner import DEFAULT_TRIGGER, TREE_COLUMNS, ReportStream, start_report_stream
-from regiontally.streaming.state import ReportState, StateChanged, compact, expire
+from regiontally.sinks.upsert import DEFAULT_BUCKETS, REPLAY, UpsertTable
+from regiontally.streaming.delta_log import read_log
+from regiontally.streaming.runner import (
+    DEFAULT_TRIGGER,
+    TREE_COLUMNS,
+    ReportStream,
+    log_sink,
+    merge_sink,
+    replay_dead_letters,
+    start_report_stream,
+    table_sink,
+)
 
 STATS_ROWS = 20
 
@@ -25,112 +35,112 @@ def run_batch_job(
     spark: SparkSession,
     users: DataFrame,
     regions: DataFrame,
-    state: ReportState | None = None,
     table: str | None = None,
+    target: UpsertTable | None = None,
     provider: str = "parquet",
     location: str | None = None,
 ) -> DataFrame:
-    """Recompute the report from the full collections and publish it.
+    """Recompute the report from the full collections and publish it; returns the published rows.
 
-    With ``state`` the report becomes the new baseline (covering the log as it
-    stands now); with ``table`` it also replaces a catalog table, copied from the
-    published baseline so the report is computed once. Returns the published rows
-    (still valid after the job's cache of the tree is released: they recompute).
+    ``table`` is replaced by it (:func:`regiontally.sinks.tables.replace_report`);
+    with ``target`` the bucketed table takes it as its new contents, and the batches
+    applied so far count as contained. With neither the report is only returned.
     """
     # The tree is read by the size bound and by several lookup branches: cache its
     # four used columns once (a remote document source is then read once).
     tree = regions.select(*TREE_COLUMNS).persist()
     try:
         report = mortality_report(users, tree)
-        if state is not None:
-            covered = state.log_position(spark)
-            version = state.publish(report, covered)
-            report = spark.read.schema(REPORT_SCHEMA).parquet(state.baseline_path(version))
+        if target is not None:
+            target.refresh(report)
+            report = target.report(spark)
         if table is not None:
             replace_report(report, table, provider=provider, location=location)
+            report = spark.table(full_name(table)).select(*REPORT_COLUMNS)
     finally:
         tree.unpersist()
     return report
 
 
-def report_stats(spark: SparkSession, state: ReportState, n: int = STATS_ROWS, table: str | None = None) -> DataFrame:
-    """Top ``n`` REGIONs (rate, then total, then id) of the current report, or of ``table`` by its name."""
-    return top_regions(spark.table(full_name(table)) if table else state.current(spark), n)
+def logged_report(spark: SparkSession, log: str, baseline: DataFrame | None = None, rate_arithmetic: str = "double") -> DataFrame:
+    """The report now: ``baseline`` with every batch of the log folded in."""
+    return fold(read_log(spark, log), baseline, rate_arithmetic=rate_arithmetic)
+
+
+def report_stats(spark: SparkSession, table: str, n: int = STATS_ROWS) -> DataFrame:
+    """Top ``n`` REGIONs (rate, then total, then id) of ``table``, read by its name."""
+    return top_regions(spark.table(full_name(table)), n)
 
 
 def run_stream_job(
     spark: SparkSession,
     users_stream: DataFrame,
     regions: DataFrame | Callable[[], DataFrame],
-    state: ReportState,
     checkpoint_location: str,
+    table: str | None = None,
+    log: str | None = None,
+    sink: str = "upsert",
+    buckets: int = DEFAULT_BUCKETS,
     epoch: int | None = None,
     trigger: dict | None = None,
-    table: str | None = None,
     provider: str = "parquet",
+    location: str | None = None,
     on_stats: Callable[[int, DataFrame], None] | None = None,
     max_broadcast_bytes: int | None = None,
-    sink: str = "log",
-    refresh_every: int = 1,
-    compact_every: int = 0,
-    keep_versions: int = 2,
+    check: Callable[[DataFrame, int], None] | None = None,
+    dead_letters: str | None = None,
+    rate_arithmetic: str = "double",
 ) -> ReportStream:
-    """Start the incremental report and keep ``table`` current.
-
-    ``table`` is created empty if absent (fixed seven-column schema). With
-    ``sink="log"`` (the default) the deltas go to the log of ``state`` and the
-    table is replaced by the current report after every ``refresh_every`` batches
-    that wrote something; with ``sink="merge"`` each batch is upserted into the
-    table, which needs a catalog with row-level operations and is the mode for
-    stores without an atomic folder rename. ``compact_every`` folds the log after
-    so many batches and keeps ``keep_versions`` baselines, so that the log stays
-    short. After each batch that wrote something ``on_stats(batch_id, top20)``
-    receives the top 20, read from ``table`` by its name if there is one.
-    ``epoch`` defaults to the one of the checkpoint (:meth:`ReportState.epoch_for`).
+    """Start the incremental report.
+
+    ``sink="upsert"`` (the default) keeps ``table`` current, a bucketed table that is
+    created if absent; ``"merge"`` upserts into a ``table`` of a catalog with
+    row-level operations; ``"log"`` writes the delta rows under ``log``. After each
+    batch that changed something, while the region tree is empty, and after a batch
+    that went to ``dead_letters``, ``on_stats(batch_id, top20)`` receives the top 20
+    (read from ``table`` by its name, or folded from ``log``).
     """
-    if sink not in ("log", "merge"):
+    if sink not in ("upsert", "merge", "log"):
         raise ValueError(f"unknown sink {sink!r}")
-    if sink == "merge" and table is None:
-        raise ValueError("sink='merge' needs a table")
-    if epoch is None:
-        epoch = state.epoch_for(spark, checkpoint_location)
-    if table is not None:
-        create_report_if_absent(spark, table, provider=provider)
-    merge_into = None
-    if sink == "merge":
-
-        def merge_into(rows: DataFrame) -> None:
-            merge_deltas(rows, table)
-
-    batches = 0
-
-    def after_batch(batch_id: int) -> None:
-        nonlocal batches
-        batches += 1
-        if sink == "log" and compact_every and batches % compact_every == 0:
-            try:
-                compact(spark, state)
-                expire(spark, state, keep_versions)
-            except StateChanged:
-                pass  # a batch refresh came in between; the next compaction folds over it
-        if sink == "log" and table is not None and batches % refresh_every == 0:
-            refresh_table(spark, state, table, provider)
-        if on_stats is not None:
-            on_stats(batch_id, report_stats(spark, state, table=table))
+    if (log if sink == "log" else table) is None:
+        raise ValueError(f"sink={sink!r} needs a {'log' if sink == 'log' else 'table'}")
+    if sink == "upsert":
+        target = UpsertTable.create(
+            spark, table, buckets, provider=provider, location=location, rate_arithmetic=rate_arithmetic
+        )
+        to = table_sink(target)
+    elif sink == "merge":
+        create_report_if_absent(spark, table, provider=provider, location=location)
+        to = merge_sink(lambda rows: merge_deltas(rows, table))
+    else:
+        to = log_sink(log)
+
+    def after_batch(batch_id: int, n_delta_rows: int) -> None:
+        top = top_regions(logged_report(spark, log), STATS_ROWS) if sink == "log" else report_stats(spark, table)
+        on_stats(batch_id, top)
 
     return start_report_stream(
         users_stream,
         regions,
-        state.log_root,
+        to,
         checkpoint_location,
         epoch=epoch,
         trigger=trigger or DEFAULT_TRIGGER,
         max_broadcast_bytes=max_broadcast_bytes,
-        after_batch=after_batch,
-        merge_into=merge_into,
+        after_batch=after_batch if on_stats is not None else None,
+        check=check,
+        dead_letters=dead_letters,
     )
 
 
-def refresh_table(spark: SparkSession, state: ReportState, table: str, provider: str = "parquet") -> str:
-    """Replace a catalog table with the current report of ``state``."""
-    return replace_report(state.current(spark), table, provider=provider)
+def replay_into_table(
+    spark: SparkSession,
+    dead_letters: str,
+    regions: DataFrame,
+    target: UpsertTable,
+    mend: Callable[[DataFrame], DataFrame] | None = None,
+) -> list[tuple[int, int]]:
+    """Replay the dead letters that ``target`` has not taken yet; the stream must not run meanwhile."""
+    return replay_dead_letters(
+        spark, dead_letters, regions, table_sink(target, REPLAY), after=target.position(spark, REPLAY), mend=mend
+    )

@@ -4,7 +4,7 @@ The tree is flattened once into ``(anchor_kind, anchor_id) → region``
 (``region_lookup``: every node with its parent and grandparent, two self-joins)
 and every user goes through a single equi-join (``resolve_users``). Users are
 scanned once; the lookup is broadcast only when an upper bound computed from
-the region table proves it small, and otherwise joined by a skew-split shuffle
+the region table proves it small, and otherwise joined by a salted shuffle
 join. ``users_via`` restricts the lookup to one level of the anchor, so the
 results per level come from the same join.
 
@@ -139,6 +139,7 @@ def resolve_users(
     max_broadcast_bytes: int | None = None,
     carry: Sequence[str] = (),
     broadcast: bool | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Every user row that resolves, with its REGION (bag: copies are kept).
 
@@ -147,7 +148,7 @@ def resolve_users(
     nor a region id carry a NULL key and are dropped by the inner join.
     """
     joined = dimension_join(
-        anchored_users(users, carry), lookup, LOOKUP_KEYS, max_broadcast_bytes, broadcast
+        anchored_users(users, carry), lookup, LOOKUP_KEYS, max_broadcast_bytes, broadcast, partitions
     )
     return joined.selectExpr(
         *carry,
@@ -174,16 +175,19 @@ def resolve_with_regions(
     )
 
 
-def users_mapped(users: DataFrame, regions: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
+def users_mapped(
+    users: DataFrame, regions: DataFrame, max_broadcast_bytes: int | None = None, partitions: int | None = None
+) -> DataFrame:
     """Distinct ``(user_doc_id, active, effective_region_id, effective_region_name)``.
 
     Identical copies collapse; copies that disagree on ``active`` both stay.
     The name depends on the region id alone, so when the tree is proven small
     the distinct shuffles ids only and the names are attached afterwards by a
-    broadcast join (map-side); otherwise the name rides the shuffle.
+    broadcast join (map-side); otherwise the name rides the shuffle, of which
+    ``partitions`` sets the size (and with it what counts as a hot anchor).
     """
     small_tree = lookup_broadcastable(regions, max_broadcast_bytes)
-    resolved = resolve_users(users, region_lookup(regions), broadcast=small_tree)
+    resolved = resolve_users(users, region_lookup(regions), broadcast=small_tree, partitions=partitions)
     if not small_tree:
         return resolved.select(*MAPPED_COLUMNS).distinct()
     names = regions_by_level(regions, REGION).selectExpr(

@@ -5,9 +5,8 @@
 ``hierarchy.lookup_size_bound``) against a threshold. When the dimension side
 is too large to broadcast, the
 join is a shuffle join, but keys that hold more than one partition's fair
-share of the large side ("hot" keys) are split off and joined through a
-broadcast of just their dimension rows. At most ``partitions`` keys can be hot,
-which bounds that broadcast.
+share of the large side ("hot" keys) are dealt over salts, with their dimension
+rows replicated once per salt. At most ``partitions`` keys can be hot.
 """
 
 from __future__ import annotations
@@ -71,44 +70,60 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     return measure(df).bytes <= broadcast_limit(df, max_bytes)
 
 
-def skew_split_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    partitions: int | None = None,
-) -> DataFrame:
-    """Inner equi-join of a large relation with a dimension too large to broadcast.
+SALT = "_salt"
 
-    ``small`` must be unique on ``keys``. Keys of ``big`` with more than
-    ``rows / partitions`` rows are joined against a broadcast of their own
-    dimension rows (at most ``partitions`` of them); all other keys go through
-    an ordinary shuffle join, where no key can exceed a partition's share.
-    Per-key counts are combined map-side, so finding the hot keys shuffles
-    one row per key per task, not the large relation.
-
-    Cost: the large side is read three times (counts, hot branch, cold branch;
-    Spark does not share a scan between union branches). In exchange, neither
-    a hot key nor a group of identical copies can concentrate a shuffle: hot
-    keys never reach one, and every cold key holds under a partition's share.
-    Only used above the broadcast bound, i.e. for very large trees.
+
+def hot_keys(big: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Keys that hold more than ``rows / partitions`` rows, with the number of ``salts`` to deal each over.
+
+    One pass over the key columns, combined map-side: one row per key per task is
+    shuffled, not the relation. The hot counts sum to at most all rows, so there
+    are at most ``partitions`` such keys; the result is cut from its lineage in the
+    shared checkpoint folder.
     """
     keys = list(keys)
     spark = big.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_root(spark)  # the hot keys are cut from their lineage in the shared folder
+    parts = max(1, partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    checkpoint_root(spark)
     counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).persist()
     try:
         total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first()["n"]
-        threshold = max(1, int(total) // max(1, parts))
-        # Size bound: the hot counts sum to at most ``total``, so there are at most ``parts`` keys.
-        hot = counts.where(F.col("_rows") > threshold).select(*keys).checkpoint()
+        share = max(1, int(total) // parts)
+        hot = counts.where(F.col("_rows") > share)
+        return hot.selectExpr(*keys, f"CAST(ceil(_rows / {share}) AS INT) AS _salts").checkpoint()
     finally:
         counts.unpersist()
-    hot_keys = F.broadcast(hot)
-    hot_small = small.join(hot_keys, keys, "left_semi")
-    hot_part = big.join(hot_keys, keys, "left_semi").join(F.broadcast(hot_small), keys, "inner")
-    cold_part = big.join(hot_keys, keys, "left_anti").join(small, keys, "inner")
-    return hot_part.unionByName(cold_part)
+
+
+def salted_join(
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    partitions: int | None = None,
+) -> DataFrame:
+    """Inner equi-join of a large relation with a dimension too large to broadcast.
+
+    ``small`` must be unique on ``keys``. A hot key of ``big`` (:func:`hot_keys`) is
+    dealt over as many salts as it holds shares of a partition, and its dimension
+    row is replicated once per salt (at most ``2 * partitions`` extra rows); all
+    other keys have the one salt 0. The join is one shuffle join on the keys and
+    the salt, in which no key exceeds a partition's share by more than the
+    unevenness of a hash, and it reads the large relation once; the count of the
+    keys before it is a second, narrow read of the key columns only.
+
+    The salt is a hash of the row and of the task that reads it: it is the same
+    when a task is run again, and copies of one row fall apart over the tasks.
+    """
+    keys = list(keys)
+    hot = F.broadcast(hot_keys(big, keys, partitions))
+    payload = [F.col(c) for c in big.columns]
+    dealt = F.pmod(F.xxhash64(*payload, F.spark_partition_id()), F.coalesce(F.col("_salts"), F.lit(1)))
+    left = big.join(hot, keys, "left").withColumn(SALT, dealt.cast("int")).drop("_salts")
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    right = small.join(hot, keys, "left").withColumn(SALT, F.explode(salts)).drop("_salts")
+    if partitions:
+        left, right = left.repartition(partitions, *keys, SALT), right.repartition(partitions, *keys, SALT)
+    return left.join(right, [*keys, SALT], "inner").drop(SALT)
 
 
 def dimension_join(
@@ -117,8 +132,9 @@ def dimension_join(
     keys: Sequence[str],
     max_bytes: int | None = None,
     broadcast: bool | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Inner join with a dimension: broadcast if its measured size allows, else skew-split.
+    """Inner join with a dimension: broadcast if its measured size allows, else salted.
 
     ``broadcast`` passes a decision already taken on a measurement (for example
     once per stream for a cached snapshot); ``None`` measures now.
@@ -127,4 +143,4 @@ def dimension_join(
         broadcast = fits_broadcast(small, max_bytes)
     if broadcast:
         return big.join(F.broadcast(small), list(keys), "inner")
-    return skew_split_join(big, small, keys)
+    return salted_join(big, small, keys, partitions)

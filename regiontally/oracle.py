@@ -149,7 +149,7 @@ def _stream_state(src: str, name: str) -> str:
 {name} AS (SELECT * FROM {name}_ranked WHERE rn = 1)"""
 
 
-def _over_baseline(state: str) -> str:
+def _over_baseline(state: str, rate: str = RATE) -> str:
     total = "CASE WHEN b.region_id IS NOT NULL THEN b.total_population ELSE f.first_total END"
     dead = (
         "CASE WHEN b.region_id IS NOT NULL THEN b.dead_population + COALESCE(f.dead_sum, 0) "
@@ -162,7 +162,7 @@ def _over_baseline(state: str) -> str:
        CAST({total} AS BIGINT) AS total_population,
        CAST({dead} AS BIGINT) AS dead_population,
        CASE WHEN f.effective_region_id IS NULL THEN b.mortality_rate_percent
-            ELSE {RATE.format(t=total, d=dead)} END AS mortality_rate_percent
+            ELSE {rate.format(t=f'({total})', d=f'({dead})')} END AS mortality_rate_percent
 FROM report b FULL OUTER JOIN {state} f ON b.region_id = f.effective_region_id"""
 
 
@@ -187,9 +187,49 @@ CHANGE_CTES = (*REPORT_CTES, CHANGES, _branches("changes", "ch_mapped", "batch_i
 REPORT_SQL = _with(*REPORT_CTES) + "SELECT * FROM report"
 AFTER_EMPTY_SQL = _with(*CHANGE_CTES, _stream_state("deltas_parent", "state")) + _from_empty("state")
 AFTER_BASELINE_SQL = _with(*CHANGE_CTES, _stream_state("deltas_parent", "state")) + _over_baseline("state")
+TOP_AFTER_BASELINE_SQL = (
+    "SELECT region_id, region_name, total_population, dead_population, mortality_rate_percent FROM ("
+    + AFTER_BASELINE_SQL
+    + ") ORDER BY mortality_rate_percent DESC, total_population DESC, region_id ASC LIMIT 20"
+)
 MAPPED_COLS = "user_doc_id, active, effective_region_id, effective_region_name"
 
 
+#: The rate as decimal(38, 14), rounded half up, then read as a double.
+DECIMAL_RATE = (
+    "CASE WHEN {t} > 0 THEN CAST(CAST(({d} * CAST(20000000000000000 AS HUGEINT) + {t}) // (2 * CAST({t} AS HUGEINT)) "
+    "// 100000000000000 AS VARCHAR) || '.' || lpad(CAST(({d} * CAST(20000000000000000 AS HUGEINT) + {t}) "
+    "// (2 * CAST({t} AS HUGEINT)) % 100000000000000 AS VARCHAR), 14, '0') AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END"
+)
+
+
+def _batches(expr: str) -> str:
+    """The report after the stream over an empty table, its batches given by an expression of the day."""
+    day = BATCH_OF_DAY.removesuffix(" AS batch_id")
+    return AFTER_EMPTY_SQL.replace(BATCH_OF_DAY, f"CAST({expr.format(day=day)} AS BIGINT) AS batch_id")
+
+
+SKIPS_SQL = (
+    _with(*USERS_CTES, CHANGES, _branches("changes", "ch_mapped", "batch_id"))
+    + """, split AS (
+  SELECT user_doc_id, 2 * (batch_id // 7)
+         + CASE WHEN COALESCE(districtId, regionId) IS NULL OR districtId = 'D-missing' THEN 1 ELSE 0 END AS part
+  FROM changes),
+parts AS (SELECT part, ROW_NUMBER() OVER (ORDER BY part) - 1 AS batch_id FROM (SELECT DISTINCT part FROM split)),
+regions_of AS (
+  SELECT 2 * (batch_id // 7) AS part, COUNT(DISTINCT effective_region_id) AS n FROM ch_mapped GROUP BY 1)
+SELECT CAST(p.batch_id AS BIGINT) AS batch_id, CAST(COALESCE(r.n, 0) AS BIGINT) AS n_delta_rows,
+       COALESCE(r.n, 0) > 0 AS reported
+FROM parts p LEFT JOIN regions_of r ON p.part = r.part"""
+).replace("\n, split", ",\nsplit")
+
+ENVELOPE = f"""envelopes AS (
+  SELECT e.event_id, {BATCH_OF_DAY}, b.*,
+         CASE WHEN e.event_id % 50 = 7 THEN 'malformed'
+              WHEN e.event_type = 'error' OR b.c_custkey IS NULL THEN 'no_document' ELSE 'document' END AS kind
+  FROM events e LEFT JOIN ubase b ON e.user_id = b.c_custkey)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "scan_users": _with(*USERS_CTES) + "SELECT user_doc_id, regionId, districtId, countryId, active FROM users",
@@ -230,10 +270,7 @@ def oracle_sql() -> dict[str, str]:
         + _over_baseline("state"),
         "report_after_stream_with_baseline": AFTER_BASELINE_SQL,
         "report_after_stream_empty": AFTER_EMPTY_SQL,
-        "top20_after_stream": _with(*CHANGE_CTES, _stream_state("deltas_parent", "state"))
-        + "SELECT region_id, region_name, total_population, dead_population, mortality_rate_percent FROM ("
-        + _over_baseline("state")
-        + ") ORDER BY mortality_rate_percent DESC, total_population DESC, region_id ASC LIMIT 20",
+        "top20_after_stream": TOP_AFTER_BASELINE_SQL,
         "stream_users_to_report": AFTER_EMPTY_SQL,
         "emptiness_probes": _with(*CHANGE_CTES)
         + """SELECT 'users' AS relation, NOT EXISTS (SELECT 1 FROM users) AS is_empty
@@ -251,5 +288,22 @@ UNION ALL SELECT 'region_parents', CAST(COUNT(*) AS BIGINT) FROM lvl_r""",
         "sink_create_if_absent": REPORT_SQL,
         "report_state_compacted": AFTER_BASELINE_SQL,
         "report_state_refreshed": REPORT_SQL,
-        "stream_to_table": AFTER_EMPTY_SQL.replace(BATCH_OF_DAY, "CAST(0 AS BIGINT) AS batch_id"),
+        "stream_to_table": AFTER_EMPTY_SQL,
+        "sink_failed_replace": REPORT_SQL,
+        "users_mapped_hot_anchors": _with(*MAPPED_CTES) + f"SELECT {MAPPED_COLS} FROM mapped",
+        "upsert_table": AFTER_BASELINE_SQL,
+        "upsert_table_replayed": AFTER_EMPTY_SQL,
+        "stats_from_table": TOP_AFTER_BASELINE_SQL,
+        "report_after_stream_decimal": _with(*CHANGE_CTES, _stream_state("deltas_parent", "state"))
+        + _over_baseline("state", DECIMAL_RATE),
+        # the refused first batch comes after all others
+        "stream_dead_letters": _batches("CASE WHEN {day} // 6 = 0 THEN 1000 ELSE {day} // 6 END"),
+        "stream_skip_rules": SKIPS_SQL,
+        "change_envelope_counts": _with(CN, UBASE, ENVELOPE)
+        + """SELECT batch_id, COUNT(CASE WHEN kind = 'document' THEN 1 END) AS n_documents,
+       COUNT(CASE WHEN kind = 'no_document' THEN 1 END) AS n_without_document,
+       COUNT(CASE WHEN kind = 'malformed' THEN 1 END) AS n_malformed
+FROM envelopes GROUP BY batch_id""",
+        "change_envelope_documents": _with(CN, UBASE, ENVELOPE)
+        + "SELECT event_id, user_doc_id, regionId, districtId, active FROM envelopes WHERE kind = 'document'",
     }

@@ -35,8 +35,10 @@ def users_via(users: DataFrame, regions: DataFrame, level: str) -> DataFrame:
     return hierarchy.users_via(users, regions, level)
 
 
-def users_mapped(users: DataFrame, regions: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
-    return hierarchy.users_mapped(users, regions, max_broadcast_bytes)
+def users_mapped(
+    users: DataFrame, regions: DataFrame, max_broadcast_bytes: int | None = None, partitions: int | None = None
+) -> DataFrame:
+    return hierarchy.users_mapped(users, regions, max_broadcast_bytes, partitions)
 
 
 def users_mapped_by_level(users: DataFrame, regions: DataFrame) -> DataFrame:

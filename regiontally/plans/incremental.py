@@ -16,10 +16,11 @@ from regiontally.operators import deltas as delta_ops
 from regiontally.operators.hierarchy import lookup_broadcastable, region_lookup, resolve_users
 from regiontally.operators.report import mortality_report, report_base
 from regiontally.streaming.delta_log import read_log
-from regiontally.streaming.runner import start_report_stream
+from regiontally.streaming.runner import ReportStream, log_sink, start_report_stream
 from regiontally.streaming.staging import ChangeFeed
 
 BATCH_KEY = "batch_id"
+CONTINUOUS = {"processingTime": "0 seconds"}
 STAGED_FIELDS = ["_id", "regionId", "districtId", "active"]
 
 
@@ -80,11 +81,16 @@ def run_stream(
     # so only those four are copied into the feed.
     batches = feed.stage(raw_changes.select(*STAGED_FIELDS, BATCH_KEY))
     checkpoint, log = f"{work_dir}/checkpoint", f"{work_dir}/log"
-    handle = start_report_stream(feed.stream(), regions, log, checkpoint, epoch, trigger={"processingTime": "0 seconds"})
+    handle = start_report_stream(feed.stream(), regions, log_sink(log), checkpoint, epoch, trigger=CONTINUOUS)
+    deliver(feed, batches, handle)
+    return read_log(spark, log)
+
+
+def deliver(feed: ChangeFeed, batches: list[int], handle: ReportStream) -> None:
+    """Release the pending batches one by one, each processed as one micro-batch, then stop the stream."""
     try:
         for batch in batches:
             feed.release(batch)
             handle.process_all_available()
     finally:
         handle.stop()
-    return read_log(spark, log)

@@ -3,14 +3,16 @@
 The table provider is a parameter. With a catalog that supports replace and
 row-level operations (a v2 table format), ``replace_report`` uses
 ``writeTo(...).createOrReplace()`` and ``merge_deltas`` the ``MERGE INTO``
-statement. The built-in session catalog with file tables supports neither, so
-``replace_report`` falls back to ``saveAsTable`` in overwrite mode and the
-stream keeps its state as a delta log folded on read (see
-:mod:`regiontally.operators.deltas`), which needs no row-level support.
+statement. The built-in session catalog with file tables supports neither:
+there ``replace_report`` writes the report to a new folder and switches the
+table's location to it, and :mod:`regiontally.sinks.upsert` rewrites the touched
+buckets of a bucketed table.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,17 @@ def qualified_name(table: str, catalog: str = DEFAULT_CATALOG) -> tuple[str, str
     return (catalog, head, tail) if dot else (catalog, DEFAULT_NAMESPACE, head)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    p, fs = hadoop_path(spark, path)
+    fs.mkdirs(p)
+
+
 def full_name(table: str, catalog: str = DEFAULT_CATALOG) -> str:
     return ".".join(qualified_name(table, catalog))
 
@@ -46,7 +59,10 @@ def replace_report(
     provider: str = "parquet",
     location: str | None = None,
 ) -> str:
-    """Create or replace ``table`` with ``report`` (a full refresh); returns the full name."""
+    """Create or replace ``table`` with ``report`` (a full refresh); returns the full name.
+
+    Where the catalog cannot replace a table, by :func:`switch_version`.
+    """
     spark = report.sparkSession
     ensure_namespace(spark, table, catalog)
     name = full_name(table, catalog)
@@ -59,14 +75,66 @@ def replace_report(
     except AnalysisException as error:
         if not (error.getCondition() or "").startswith(NO_REPLACE):
             raise
-        # v1 file tables cannot be replaced through the v2 API; overwrite keeps the same result.
-        writer = rows.write.mode("overwrite").format(provider)
-        if location:
-            writer = writer.option("path", location)
-        writer.saveAsTable(name)
+        switch_version(rows, table, catalog, provider, location)
     return name
 
 
+def _versions_root(spark: SparkSession, table: str, catalog: str, location: str | None) -> str:
+    if location:
+        return location.rstrip("/")
+    cat, ns, name = qualified_name(table, catalog)
+    described = spark.sql(f"DESCRIBE NAMESPACE {cat}.{ns}").collect()
+    (folder,) = [row["info_value"] for row in described if row["info_name"] == "Location"]
+    return f"{folder.rstrip('/')}/{name}"
+
+
+def switch_version(
+    rows: DataFrame,
+    table: str,
+    catalog: str = DEFAULT_CATALOG,
+    provider: str = "parquet",
+    location: str | None = None,
+) -> str:
+    """Write ``rows`` to a new folder, then point the table at it; returns the folder.
+
+    Folders are ``<location>/version=<id>`` (``location`` defaults to the table's
+    folder in its namespace). The table keeps its old rows until the new folder is
+    complete, so a write that fails changes nothing, and the switch itself is one
+    change of the catalog entry. Readers that have planned before it go on reading
+    the old folder, which stays until :func:`drop_old_versions`.
+    """
+    spark = rows.sparkSession
+    name = full_name(table, catalog)
+    version = f"{_versions_root(spark, table, catalog, location)}/version={uuid.uuid4().hex}"
+    rows.write.format(provider).save(version)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+    else:
+        spark.sql(f"CREATE TABLE {name} ({REPORT_DDL}) USING {provider} LOCATION '{version}'")
+    spark.catalog.refreshTable(name)
+    return version
+
+
+def current_location(spark: SparkSession, table: str, catalog: str = DEFAULT_CATALOG) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name(table, catalog)}").collect()
+    return [row["data_type"] for row in described if row["col_name"] == "Location"][-1]
+
+
+def drop_old_versions(spark: SparkSession, table: str, catalog: str = DEFAULT_CATALOG, keep: int = 1) -> list[str]:
+    """Delete the version folders of ``table`` but its current one and the ``keep`` newest others.
+
+    For when no reader of an older version is left and no replace is running.
+    """
+    current, fs = hadoop_path(spark, current_location(spark, table, catalog))
+    siblings = [s for s in fs.listStatus(current.getParent()) if s.getPath().getName().startswith("version=")]
+    others = [s for s in siblings if s.getPath().getName() != current.getName()]
+    others.sort(key=lambda s: s.getModificationTime(), reverse=True)
+    dropped = [s.getPath() for s in others[keep:]]
+    for path in dropped:
+        fs.delete(path, True)
+    return [path.toString() for path in dropped]
+
+
 def create_report_if_absent(
     spark: SparkSession,
     table: str,
@@ -114,8 +182,8 @@ def merge_deltas(
 
     Same semantics as :func:`regiontally.operators.deltas.fold`; the rate is
     computed in decimals and stored as double unless ``rate_arithmetic`` says
-    ``"double"``. Not idempotent: a replayed batch would add twice, which is why
-    the stream defaults to the delta log.
+    ``"double"``. Not idempotent: a replayed batch would add twice, unlike
+    :meth:`regiontally.sinks.upsert.UpsertTable.upsert`.
     """
     delta_rows.createOrReplaceTempView(view)
     delta_rows.sparkSession.sql(merge_sql(full_name(table, catalog), view, rate_arithmetic))

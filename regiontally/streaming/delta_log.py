@@ -1,83 +1,61 @@
-"""An append-only log of per-batch delta rows, written idempotently.
-
-Each micro-batch publishes its delta rows as ``<root>/epoch=E/batch_id=N/attempt=K``,
-by one rename. Spark replays a batch under the same ``batch_id`` after a failure;
-the replay is the next attempt, and readers take the newest attempt of each
-batch only, so a replay replaces its own entry (also when it now produces no
-rows), nothing is counted twice, and a reader never finds the entry missing. A
-batch without delta rows leaves no entry. ``epoch`` names one checkpoint: Spark
-restarts ``batch_id`` at 0 for a new checkpoint, so a new checkpoint takes a
-larger epoch and the log stays ordered by ``(epoch, batch_id)``. The log lives
-in shared storage, like the checkpoint.
+"""A log of per-batch delta rows, one folder per batch, written idempotently.
+
+A micro-batch writes its delta rows to ``<root>/epoch=E/batch_id=N`` in overwrite
+mode. Spark replays a batch under the same ``batch_id`` after a failure, and the
+replay overwrites its own folder, so nothing is counted twice. ``epoch`` names
+one checkpoint: Spark restarts ``batch_id`` at 0 for a new checkpoint, so a new
+checkpoint takes a larger epoch and the log stays ordered by ``(epoch,
+batch_id)``. The log lives in shared storage, like the checkpoint. Read it
+between batches: while a batch is replayed its folder is being replaced.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from regiontally.operators.deltas import DELTA_COLUMNS
 from regiontally.schemas import DELTA_SCHEMA
+from regiontally.sinks.tables import ensure_dir, hadoop_path
 
 LOG_SCHEMA = StructType(
     [
         *DELTA_SCHEMA.fields,
         StructField("epoch", LongType(), True),
         StructField("batch_id", LongType(), True),
-        StructField("attempt", LongType(), True),
     ]
 )
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
+def batch_path(root: str, epoch: int, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/epoch={int(epoch)}/batch_id={int(batch_id)}"
 
-def ensure_dir(spark: SparkSession, path: str) -> None:
-    p, fs = _hadoop_path(spark, path)
-    fs.mkdirs(p)
 
+def checkpoint_epoch(spark: SparkSession, checkpoint_location: str) -> int:
+    """The epoch of a started stream: the time (ms) at which its checkpoint was created.
 
-def batch_path(root: str, epoch: int, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/epoch={int(epoch)}/batch_id={int(batch_id)}"
+    Spark writes the checkpoint's ``metadata`` file once, when the query first
+    starts, and keeps it over restarts; so a restart continues its epoch and a
+    later checkpoint has a larger one, without any numbering of our own.
+    """
+    path, fs = hadoop_path(spark, f"{checkpoint_location.rstrip('/')}/metadata")
+    return int(fs.getFileStatus(path).getModificationTime())
 
 
-def write_batch(delta_rows: DataFrame, root: str, epoch: int, batch_id: int) -> bool:
-    """Publish the log entry of one batch (the delta columns); False if it has no rows.
+def write_batch(delta_rows: DataFrame, root: str, epoch: int, batch_id: int) -> int:
+    """Write the log entry of one batch (the delta columns); returns its number of rows.
 
-    The rows are written to a hidden staging folder (names starting with ``_``
-    are not listed by readers) and renamed into place, so a reader folding the
-    log sees a batch entry either whole or not at all.
+    One job: the rows are counted by an observation on the write. A batch without
+    rows leaves an entry without rows, which also replaces an earlier attempt.
     """
-    spark = delta_rows.sparkSession
-    entry, fs = _hadoop_path(spark, batch_path(root, epoch, batch_id))
-    staging = f"{root.rstrip('/')}/_staging/epoch={int(epoch)}-batch_id={int(batch_id)}-{uuid.uuid4().hex}"
-    src, _ = _hadoop_path(spark, staging)
-    try:
-        delta_rows.select(*DELTA_COLUMNS).write.parquet(staging)
-        if spark.read.schema(DELTA_SCHEMA).parquet(staging).isEmpty():
-            if fs.exists(entry):
-                fs.delete(entry, True)
-            return False
-        earlier = fs.listStatus(entry) if fs.exists(entry) else []
-        attempts = [int(s.getPath().getName().partition("=")[2]) for s in earlier]
-        fs.mkdirs(entry)
-        dst, _ = _hadoop_path(spark, f"{batch_path(root, epoch, batch_id)}/attempt={max(attempts, default=-1) + 1}")
-        if not fs.rename(src, dst):
-            raise OSError(f"could not publish log entry {dst.toString()}")
-        return True
-    finally:
-        fs.delete(src, True)
+    counted = Observation()
+    rows = delta_rows.select(*DELTA_COLUMNS).observe(counted, F.count(F.lit(1)).alias("n"))
+    rows.write.mode("overwrite").parquet(batch_path(root, epoch, batch_id))
+    return int(counted.get["n"])
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
-    """The newest attempt's delta rows of every batch, with ``epoch`` and ``batch_id``; empty if nothing was logged."""
+    """The delta rows of every batch with ``epoch`` and ``batch_id``; empty if nothing was logged."""
     ensure_dir(spark, root)
-    rows = spark.read.schema(LOG_SCHEMA).option("basePath", root).parquet(root)
-    newest = F.max("attempt").over(Window.partitionBy("epoch", "batch_id"))
-    return rows.withColumn("newest", newest).where("attempt = newest").drop("attempt", "newest")
+    return spark.read.schema(LOG_SCHEMA).option("basePath", root).parquet(root)

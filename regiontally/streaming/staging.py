@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regiontally.schemas import USER_SCHEMA
 from regiontally.sources.readers import stream_users
-from regiontally.streaming.delta_log import _hadoop_path, ensure_dir
+from regiontally.sinks.tables import ensure_dir, hadoop_path
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,7 @@ class ChangeFeed:
 
     def pending_batches(self) -> list[int]:
         pattern = re.compile(rf"{re.escape(self.batch_col)}=(-?\d+)$")
-        root, fs = _hadoop_path(self.spark, self.pending)
+        root, fs = hadoop_path(self.spark, self.pending)
         if not fs.exists(root):
             return []
         found = []
@@ -64,8 +64,8 @@ class ChangeFeed:
     def release(self, batch: int) -> None:
         """Move one pending batch into the watched directory (one atomic folder rename)."""
         ensure_dir(self.spark, self.incoming)
-        src, fs = _hadoop_path(self.spark, f"{self.pending}/{self.batch_col}={int(batch)}")
-        dst, _ = _hadoop_path(self.spark, f"{self.incoming}/batch-{int(batch):09d}")
+        src, fs = hadoop_path(self.spark, f"{self.pending}/{self.batch_col}={int(batch)}")
+        dst, _ = hadoop_path(self.spark, f"{self.incoming}/batch-{int(batch):09d}")
         if not fs.rename(src, dst):
             raise OSError(f"could not release batch {batch} from {self.pending}")
 
