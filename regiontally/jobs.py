@@ -68,7 +68,8 @@ def logged_report(spark: SparkSession, log: str, baseline: DataFrame | None = No
 
 
 def report_stats(spark: SparkSession, table: str, n: int = STATS_ROWS) -> DataFrame:
-    """Top ``n`` REGIONs (rate, then total, then id) of ``table``, read by its name."""
+    """Top ``n`` REGIONs (rate, then total, then id) of ``table``, read by its name as it is now."""
+    spark.catalog.refreshTable(full_name(table))
     return top_regions(spark.table(full_name(table)), n)
 
 

@@ -203,10 +203,10 @@ DECIMAL_RATE = (
 )
 
 
-def _batches(expr: str) -> str:
-    """The report after the stream over an empty table, its batches given by an expression of the day."""
+def _batches(sql: str, expr: str) -> str:
+    """``sql`` with the batches of the changes given by an expression of the day."""
     day = BATCH_OF_DAY.removesuffix(" AS batch_id")
-    return AFTER_EMPTY_SQL.replace(BATCH_OF_DAY, f"CAST({expr.format(day=day)} AS BIGINT) AS batch_id")
+    return sql.replace(BATCH_OF_DAY, f"CAST({expr.format(day=day)} AS BIGINT) AS batch_id")
 
 
 SKIPS_SQL = (
@@ -293,11 +293,11 @@ UNION ALL SELECT 'region_parents', CAST(COUNT(*) AS BIGINT) FROM lvl_r""",
         "users_mapped_hot_anchors": _with(*MAPPED_CTES) + f"SELECT {MAPPED_COLS} FROM mapped",
         "upsert_table": AFTER_BASELINE_SQL,
         "upsert_table_replayed": AFTER_EMPTY_SQL,
-        "stats_from_table": TOP_AFTER_BASELINE_SQL,
+        "stats_from_table": _batches(TOP_AFTER_BASELINE_SQL, "{day} // 6"),
         "report_after_stream_decimal": _with(*CHANGE_CTES, _stream_state("deltas_parent", "state"))
         + _over_baseline("state", DECIMAL_RATE),
         # the refused first batch comes after all others
-        "stream_dead_letters": _batches("CASE WHEN {day} // 6 = 0 THEN 1000 ELSE {day} // 6 END"),
+        "stream_dead_letters": _batches(AFTER_EMPTY_SQL, "CASE WHEN {day} // 6 = 0 THEN 1000 ELSE {day} // 6 END"),
         "stream_skip_rules": SKIPS_SQL,
         "change_envelope_counts": _with(CN, UBASE, ENVELOPE)
         + """SELECT batch_id, COUNT(CASE WHEN kind = 'document' THEN 1 END) AS n_documents,

@@ -207,7 +207,7 @@ def stream_to_table(spark: SparkSession, d: str) -> DataFrame:
         trigger=incremental.CONTINUOUS,
     )
     incremental.deliver(feed, days, handle)
-    return spark.table(full_name(name)).select(*REPORT_COLUMNS)
+    return UpsertTable.create(spark, name).report(spark)
 
 
 def stream_dead_letters(spark: SparkSession, d: str) -> DataFrame:

@@ -91,6 +91,8 @@ class UpsertTable:
         return cls(name, int(stored), rate_arithmetic)
 
     def rows(self, spark: SparkSession) -> DataFrame:
+        """The table as it is now: another session (a stream has its own) may have rewritten buckets."""
+        spark.catalog.refreshTable(self.name)
         return spark.table(self.name)
 
     def report(self, spark: SparkSession) -> DataFrame:

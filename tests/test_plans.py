@@ -5,7 +5,7 @@ from __future__ import annotations
 from regiontally.operators import hierarchy, report
 from regiontally.operators.deltas import deltas
 from regiontally.operators.hierarchy import MAPPED_COLUMNS
-from regiontally.operators.joins import measure, skew_split_join
+from regiontally.operators.joins import hot_keys, measure, salted_join
 from regiontally.plans.inspect import operator_counts, physical_plan, scans_of
 from regiontally.sources import testdata as td
 from tests import fixtures as fx
@@ -79,23 +79,53 @@ def _hot_users(spark):
     return fx.users(spark, hot + fx.USER_ROWS)
 
 
-def test_skew_split_fallback_equals_broadcast(spark):
+def test_salted_fallback_equals_broadcast(spark):
     users, regions = _hot_users(spark), fx.regions(spark)
     broadcast = hierarchy.users_mapped(users, regions)
-    split = hierarchy.users_mapped(users, regions, max_broadcast_bytes=0)
-    assert _rows(split, MAPPED_COLUMNS) == _rows(broadcast, MAPPED_COLUMNS)
-    assert len(_rows(split, MAPPED_COLUMNS)) == fx.EXPECTED_MAPPED_ROWS + 300
+    for partitions in (None, 4, 64):
+        salted = hierarchy.users_mapped(users, regions, max_broadcast_bytes=0, partitions=partitions)
+        assert _rows(salted, MAPPED_COLUMNS) == _rows(broadcast, MAPPED_COLUMNS)
+        assert len(_rows(salted, MAPPED_COLUMNS)) == fx.EXPECTED_MAPPED_ROWS + 300
 
 
-def test_skew_split_separates_hot_keys(spark):
-    users, regions = _hot_users(spark), fx.regions(spark)
-    anchored = hierarchy.anchored_users(users)
-    lookup = hierarchy.region_lookup(regions)
-    joined = skew_split_join(anchored, lookup, hierarchy.LOOKUP_KEYS, partitions=4)
+def test_salted_join_reads_users_once_and_spreads_the_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    users, regions = td.users(spark, SF001), td.regions(spark, SF001)
+    one_anchor = users.withColumn("districtId", F.lit("D0-BUILDING-0")).withColumn("regionId", F.lit(None).cast("string"))
+    everyone = one_anchor.unionByName(users)  # more than half of all rows at one district
+    anchored, lookup = hierarchy.anchored_users(everyone), hierarchy.region_lookup(regions)
+    joined = salted_join(anchored, lookup, hierarchy.LOOKUP_KEYS, partitions=16)
     joined.collect()
-    plan = physical_plan(joined)
-    assert "LeftSemi" in plan and "LeftAnti" in plan
-    assert joined.where("anchor_id = 'D1'").count() == 302
+    assert len(scans_of(joined, "testdata/users")) == 2  # one per branch of the union above
+    assert not any("LeftAnti" in line or "LeftSemi" in line for line in physical_plan(joined).splitlines())
+    (hot,) = hot_keys(anchored, hierarchy.LOOKUP_KEYS, 4).where("anchor_id = 'D0-BUILDING-0'").collect()
+    assert hot["_salts"] >= 3
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the partitions visible
+    try:
+        again = salted_join(anchored, lookup, hierarchy.LOOKUP_KEYS, partitions=16)
+        sizes = [r["count"] for r in again.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
+    assert max(sizes) < 4 * sum(sizes) / 16  # a few salts may hash together; the key alone is half of all rows
+
+
+def test_registered_hot_anchor_plan_reads_users_once(spark):
+    from regiontally.queries import queries
+
+    df = queries()["users_mapped_hot_anchors"](spark, SF001)
+    df.collect()
+    (scan,) = scans_of(df, "testdata/users")
+    assert "password" not in scan
+
+
+def test_copies_of_one_user_are_kept_by_the_salted_join(spark):
+    users = fx.users(spark, [("same", "D1", None, None, True)] * 500 + fx.USER_ROWS).repartition(8)
+    joined = salted_join(
+        hierarchy.anchored_users(users), hierarchy.region_lookup(fx.regions(spark)), hierarchy.LOOKUP_KEYS, partitions=8
+    )
+    assert joined.where("user_doc_id = 'same'").count() == 500
 
 
 def test_report_with_fallback_join_matches(spark):
@@ -114,20 +144,15 @@ def test_anchor_predicate_reaches_the_users_scan(spark):
     assert "Or(IsNotNull(districtId),IsNotNull(regionId))" in scan
 
 
-def test_skew_split_hot_keys_are_bounded_and_nulls_dropped(spark):
-    from pyspark.sql import functions as F
-
+def test_hot_keys_are_bounded_and_nulls_dropped(spark):
     rows = [(f"h{i}", "D1", None, None, True) for i in range(400)]  # one anchor holds most rows
     rows += [(f"n{i}", None, None, None, True) for i in range(50)]  # NULL anchor: never joins
     rows += fx.USER_ROWS
     users, regions = fx.users(spark, rows), fx.regions(spark)
     anchored = hierarchy.anchored_users(users)
-    counts = anchored.groupBy(*hierarchy.LOOKUP_KEYS).count()
-    total = counts.agg(F.sum("count")).first()[0]
-    partitions = 4
-    hot = counts.where(F.col("count") > total // partitions).collect()
-    assert len(hot) <= partitions and [(r.anchor_kind, r.anchor_id) for r in hot] == [("D", "D1")]
-    joined = skew_split_join(anchored, hierarchy.region_lookup(regions), hierarchy.LOOKUP_KEYS, partitions=partitions)
+    hot = hot_keys(anchored, hierarchy.LOOKUP_KEYS, partitions=4).collect()
+    assert [(r.anchor_kind, r.anchor_id) for r in hot] == [("D", "D1")]
+    joined = salted_join(anchored, hierarchy.region_lookup(regions), hierarchy.LOOKUP_KEYS, partitions=4)
     assert joined.where("user_doc_id LIKE 'n%'").count() == 0
     assert joined.where("anchor_id = 'D1'").count() == 402
 
