@@ -18,9 +18,12 @@ from regiontally.llm.html_extract import op10_html_extract
 from regiontally.llm.lm_scoring import op6_lm_scoring
 from regiontally.llm.mixing import OP7_SQL, op7_mix_sources
 from regiontally.llm.ngram_jaccard import op1_ngram_jaccard
+from regiontally.llm.prefix_trie import op11_prefix_trie
 from regiontally.llm.quality_rules import op5_quality_rules
+from regiontally.llm.spelling_variants import op12_spelling_variants
 from regiontally.llm.suffix_dedup import op3_suffix_dedup
 from regiontally.llm.token_counts import op8_token_counts
+from regiontally.llm.toxicity import op13_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +67,9 @@ def queries() -> dict[str, Query]:
         "op8_token_counts": op8_token_counts,
         "op9_decontaminate": op9_decontaminate,
         "op10_html_extract": op10_html_extract,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_toxicity": op13_toxicity,
     }
     return {name: shipped(query) for name, query in found.items()}
 
