@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from regiontally.llm.common import batch_columns, cut, release, table
 
 SAMPLE_ROWS = 20_000  # labelled rows that the classifier learns from, at most
+SAMPLE_TASKS = 64
 MAX_CANDIDATES = 100_000  # entries considered for the learned lexicon, the best supported ones
 THRESHOLD = 0.7
 PREFIXES = range(4, 10)  # lengths of the word beginnings that are considered
@@ -339,7 +340,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     known = cut(known.orderBy(spread, "doc_id").limit(sample_rows))  # ``sample_rows`` rows of 12 bytes
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = texts.join(F.broadcast(known), "doc_id").distinct()
-    return cut(rows.orderBy(spread, "doc_id", F.xxhash64("text")).limit(sample_rows))
+    # an ordered limit ends in one task: the rows are dealt out again for the passes over them
+    return cut(rows.orderBy(spread, "doc_id", F.xxhash64("text")).limit(sample_rows).repartition(SAMPLE_TASKS, "doc_id"))
 
 
 def _toxic_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
