@@ -39,7 +39,7 @@ _LETTER[LETTERS] = np.arange(len(LETTERS))
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
 NOISE = 199  # one run in so many loses a letter (op12's contract)
 HELD_WORDS = 200_000  # words counted in a task before it passes them on
-CELL_WORDS = 20_000  # words a cell is planned for
+CELL_WORDS = 10_000  # words a cell is planned for
 SAMPLE_WORDS = 50_000  # words the planes of the coarse trees are taken from
 LEAF = 24  # points in a leaf of a cell's tree
 BLOCK = 256  # query points that go down a tree together
@@ -356,7 +356,9 @@ def near_pairs(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
     sized = words.select("word", F.length("word").alias("length"))
     trees = words.sparkSession.sparkContext.broadcast(coarse_trees(sized, cell_words))
     dealt = sized.select("word").mapInArrow(_deal(trees), "length int, cell int, role int, word string")
-    dealt = dealt.repartition("length", "cell").sortWithinPartitions("length", "cell")
+    # little data, much work: the number of tasks is stated, so that small partitions are not put together
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(tasks, "length", "cell").sortWithinPartitions("length", "cell")
     return dealt.mapInArrow(_pairs, "word string, near string")
 
 
