@@ -89,7 +89,7 @@ def needed(n, percent: int):
 
 
 def _prefixes(n: int, percent: int, counts, heavy: int):
-    """(token, doc_id, n, pos, salt) for the rare-first prefix of every set."""
+    """(token, doc_id, n, pos, hot, salt) for the rare-first prefix of every set; hot tokens are salted by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_ = counts.value
@@ -105,7 +105,7 @@ def _prefixes(n: int, percent: int, counts, heavy: int):
                 total = int(lengths.sum())
                 pos = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
                 token = keys[np.repeat(cuts[:-1], lengths) + pos]
-                doc = np.array([-1 if i is None else i for i in ids[first : first + len(held)]], dtype=np.int64)
+                doc = np.array([0 if i is None else i for i in ids[first : first + len(held)]], dtype=np.int64)
                 known = np.repeat(np.array([i is not None for i in ids[first : first + len(held)]]), lengths)
                 hot = (token >> np.uint64(64 - KEY_BITS)) > heavy
                 owner = np.repeat(doc, lengths)
@@ -115,9 +115,10 @@ def _prefixes(n: int, percent: int, counts, heavy: int):
                         pa.array(owner[known]),
                         pa.array(np.repeat(sizes, lengths)[known]),
                         pa.array(pos[known]),
-                        pa.array(np.where(hot, owner, -1)[known]),
+                        pa.array(hot[known]),
+                        pa.array(np.where(hot, owner, 0)[known]),
                     ],
-                    names=["token", "doc_id", "n", "pos", "salt"],
+                    names=["token", "doc_id", "n", "pos", "hot", "salt"],
                 )
 
     return run
@@ -167,30 +168,33 @@ def _verify(n: int, percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, percent: int = 75, n: int = 5, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, percent: int = 75, n: int = 5, sketch_bits: int = SKETCH_BITS, heavy: int | None = None
+) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
     ``doc_id`` and ``text`` are read, other columns are ignored. A null or empty
     text (or one without words) has no shingles and is its own component. Rows
     that repeat a doc_id are one document with several texts and share their
     links. A row without doc_id links with nothing; its component is null. An
-    empty table gives an empty result.
+    empty table gives an empty result. ``heavy`` is the count from which a shingle
+    is dealt by document; it changes the work, not the result.
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text"))
 
     seen = cut(docs.mapInArrow(_summarise(n, sketch_bits), "doc_id long, n long, fp binary, slice int, data binary"))
     counts = gather_sketch(seen.filter("slice is not null"), sketch_bits)
-    heavy = max(HEAVY, 2 * int(counts.mean()))
+    heavy = max(HEAVY, 2 * int(counts.mean())) if heavy is None else heavy
     heavy = min(heavy, (1 << (KEY_BITS - 1)) - 2)
     member = seen.filter("slice is null").select("doc_id", "n", "fp")
     has_set = member.filter("n > 0 and doc_id is not null")
     first = has_set.groupBy("fp").agg(F.min("doc_id").alias("rep"))
 
     shared = spark.sparkContext.broadcast(counts.astype(np.uint32))
-    rows = docs.mapInArrow(_prefixes(n, percent, shared, heavy), "token long, doc_id long, n long, pos long, salt long")
+    rows = docs.mapInArrow(_prefixes(n, percent, shared, heavy), "token long, doc_id long, n long, pos long, hot boolean, salt long")
     # heavy shingles are spread by document and kept; the others need a partner
-    rows = rows.withColumn("met", F.count("*").over(Window.partitionBy("token", "salt"))).filter("met > 1 or salt >= 0")
+    rows = rows.withColumn("met", F.count("*").over(Window.partitionBy("token", "salt"))).filter("met > 1 or hot")
     rows = rows.join(first.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     # ``met``: how many shingles of its prefix a document shares; the text that others were edited from shares the most
     rows = rows.select("token", F.col("doc_id").alias("node"), "n", "pos")

@@ -43,6 +43,7 @@ from regiontally.llm.common import as_bytes, batch_columns, chunks, cut, mix, re
 
 LENGTH = 400
 ANCHOR = 208
+PASSAGE = 200  # for cleaning a corpus (drop_repeats)
 MAX_GROUP = 4096
 BLOCK_PIECES = 2048
 PART_BYTES = 4 << 20
@@ -333,19 +334,47 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     # a piece that occurs twice is covered as a whole; of a single one, the windows found in another
     whole = known.filter("n > 1").select("gram", "piece", F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("high"))
     marked = whole.unionAll(built.unionAll(counted).join(known.filter("n = 1").select("gram", "piece"), ["gram", "piece"]))
-    spans = found.join(marked, ["gram", "piece"]).select(
-        "key",
-        F.coalesce(F.col("spot") - F.col("high"), F.col("p0")).alias("start"),
-        (F.coalesce(F.col("spot") - F.col("low"), F.col("p1")) + length).alias("stop"),
+    # one row a piece with all its ranges (fewer than its bytes), so that the join makes one row an occurrence
+    ranges = marked.groupBy("gram", "piece").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
+    merged = cut(ranges.mapInArrow(_merge_ranges, "gram long, piece long, ranges array<struct<low:int,high:int>>"))
+    start = "coalesce(spot - r.high, p0)"
+    stop = f"coalesce(spot - r.low, p1) + {length}"
+    spans = found.join(merged, ["gram", "piece"]).selectExpr(
+        "key", f"transform(ranges, r -> named_struct('start', {start}, 'stop', {stop})) AS spans"
     )
     # a text that several rows hold is covered as a whole
-    copies = texts.filter("copies > 1").select("key", F.lit(0).alias("start"), F.octet_length("text").alias("stop"))
-    spans = spans.unionAll(copies).groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    whole_text = F.array(F.struct(F.lit(0).alias("start"), F.octet_length("text").alias("stop")))
+    copies = texts.filter("copies > 1").select("key", whole_text.alias("spans"))
+    spans = spans.unionAll(copies).groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     out = cut(spans.mapInArrow(_merge, "key binary, spans array<struct<start:int,stop:int>>"))
-    release(found, known, bodies)
+    release(found, known, bodies, merged)
     return out
 
 
+def _merge_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The offsets of a piece's repeated windows as few ranges: overlapping and adjacent ones become one.
+
+    A range without bounds stands for the whole piece and takes in all others.
+    """
+    for batch in batches:
+        out = []
+        for ranges in batch_columns(batch, "ranges")[0]:
+            if any(r["low"] is None for r in ranges):
+                out.append([{"low": None, "high": None}])
+                continue
+            merged: list[dict] = []
+            for r in sorted(ranges, key=lambda r: r["low"]):
+                if merged and r["low"] <= merged[-1]["high"] + 1:
+                    merged[-1]["high"] = max(merged[-1]["high"], r["high"])
+                else:
+                    merged.append(dict(r))
+            out.append(merged)
+        kind = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(batch.schema.get_field_index(c)) for c in ("gram", "piece")] + [pa.array(out, kind)], names=["gram", "piece", "ranges"]
+        )
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, lists = batch_columns(batch, "key", "spans")
@@ -410,10 +439,11 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, text, spans in zip(ids, texts, lists):
             text = text or b""
             rest = keep_bytes(text, spans)
-            rows.append((i, len(text), len(text) - len(rest), len(spans or ()), hashlib.sha256(rest).hexdigest()))
-        kinds = [pa.int64()] * 4 + [pa.string()]
+            kept = rest.decode("utf-8", "ignore")  # of a character that a span cuts, the rest goes with it
+            rows.append((i, len(text), len(text) - len(rest), len(spans or ()), hashlib.sha256(rest).hexdigest(), kept))
+        kinds = [pa.int64()] * 4 + [pa.string()] * 2
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
         )
 
 
@@ -430,12 +460,14 @@ def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.drop_columns([_SPANS])
 
 
-def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def drop_repeats(docs: DataFrame, length: int = PASSAGE, anchor: int = PASSAGE // 2) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text``, and ``n_chars`` brought up to date.
 
-    Texts of which no character is left are dropped.
+    Strings of ``length`` bytes are compared, by default those that a repeated
+    passage of over 50 words (of three letters on average) must hold. Texts of
+    which no character is left are dropped.
     """
-    found = with_spans(docs, length, column=_SPANS)
+    found = with_spans(docs, length, anchor, column=_SPANS)
     # only what has a span goes through Python
     changed = found.filter(F.col(_SPANS).isNotNull()).mapInArrow(_replace, docs.schema)
     if "n_chars" in docs.columns:
@@ -446,4 +478,4 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spans = with_spans(docs).withColumn("text", F.col("text").cast("binary"))
-    return spans.mapInArrow(_clean, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return spans.mapInArrow(_clean, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")

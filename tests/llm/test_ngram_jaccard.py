@@ -55,6 +55,23 @@ def test_chains_and_near_copies(spark):
     assert got == brute(docs)
 
 
+def test_hot_shingles_keep_negative_and_huge_ids(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(300)]
+    base = [rng.choice(words) for _ in range(60)]
+    texts = []
+    for i in range(12):  # each near the base, not equal
+        text = list(base)
+        text[rng.randrange(60)] = f"y{i}"
+        texts.append(" ".join(text))
+    docs = [(i, t) for i, t in zip([-1, -2, -(1 << 62), 0, 3, (1 << 62), -7, 8, -9, 10, -11, 12], texts)]
+    frame = spark.createDataFrame([*docs, (None, texts[0])], "doc_id long, text string")
+    for heavy in (None, 1):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(frame, heavy=heavy).collect()}
+        assert got.pop(None)[1] is None
+        assert got == brute(docs)
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = jaccard_components(odd_docs).collect()
     assert len(got) == odd_docs.count()

@@ -33,6 +33,9 @@ def test_query_matches_brute_force(spark):
         expected[i] = (len(t), int(mark.sum()), runs, hashlib.sha256(rest).hexdigest())
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op3_suffix_dedup(spark, SF0001).collect()}
     assert got == expected
+    cut_text = {r.doc_id: r.text for r in op3_suffix_dedup(spark, SF0001).collect()}
+    assert all(cut_text[i] == t.decode() for i, t in rows if not expected[i][1])
+    assert all(len(cut_text[i].encode()) <= expected[i][0] - expected[i][1] for i, _ in rows)
 
 
 @pytest.mark.parametrize("max_group", [4096, 1])
@@ -53,6 +56,34 @@ def test_shared_passages_periods_and_edges(spark, max_group):
         assert [(s["start"], s["stop"]) for s in got[i] or ()] == expected, texts[i]
 
 
+def test_a_common_passage_makes_one_join_row_an_occurrence(spark):
+    """Every text around one passage differs, so each piece has many ranges; spans still are the brute-force ones."""
+    rng = random.Random(9)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    passage = noise(100)
+    texts = [noise(60) + passage + noise(60) for _ in range(50)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for max_group in (4096, 10):
+        got = {r.doc_id: r.removed_spans for r in with_spans(frame, 40, 16, max_group).collect()}
+        for i, mark in enumerate(covered([t.encode() for t in texts], 40)):
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], mark.astype(int), [0])))).reshape(-1, 2).tolist()
+            assert [[s["start"], s["stop"]] for s in got[i]] == edges
+
+
+def test_passages_of_over_fifty_words_go(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8))) for _ in range(2000)]
+    passage = " ".join(rng.choice(words) for _ in range(51))
+    docs = [(i, " ".join(rng.choice(words) for _ in range(80)) + " " + passage + " " + " ".join(rng.choice(words) for _ in range(80))) for i in range(6)]
+    docs += [(100 + i, " ".join(rng.choice(words) for _ in range(100))) for i in range(6)]
+    left = {r.doc_id: r.text for r in drop_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(passage not in left[i] and passage[20:200] not in left[i] for i in range(6))
+    assert all(left[i] == t for i, t in docs if i >= 100)
+
+
 def test_odd_rows(odd_docs, no_docs):
     out = drop_repeats(odd_docs)
     assert out.columns == odd_docs.columns
