@@ -58,7 +58,7 @@ class Items:
     """The items of a block: their words as hashes, and the items of each seed."""
 
     def __init__(self, rows: list[tuple[int, str | None]], least: float):
-        self.ids, self.words, self.needed, self.reach = [], [], [], []
+        self.ids, self.words, self.needed, self.reach, self.floor = [], [], [], [], []
         for item, text in rows:
             words = word_hashes(np.frombuffer(normalise(text), dtype=np.uint8))[2]
             if len(words):
@@ -67,6 +67,8 @@ class Items:
                 self.needed.append(math.ceil(least * len(words) - 1 - 1e-9))
                 # words of a text that an alignment of the asked score can span
                 self.reach.append(math.ceil((3 - 2 * least) * len(words)) + 2)
+                # hits that are left of the needed ones without the most frequent starting words
+                self.floor.append(max(1, -(-self.needed[-1] // 3)))
         pairs = [pair_hashes(w) for w in self.words]
         known, counts = np.unique(np.concatenate([p.ravel() for p in pairs]) if pairs else np.zeros(0, np.uint64), return_counts=True)
         seeds, of = [], []
@@ -77,7 +79,8 @@ class Items:
                 continue
             starts = pair[:, :-1]
             often = np.where(starts == 0, 0, counts[np.searchsorted(known, starts)]).sum(axis=0)
-            chosen = np.unique(starts[:, np.argsort(often, kind="stable")[: len(words) - needed]])
+            left_out = needed - self.floor[i]
+            chosen = np.unique(starts[:, np.argsort(often, kind="stable")[: len(words) - 1 - left_out]])
             chosen = chosen[chosen != 0]
             seeds.append(chosen)
             of.append(np.full(len(chosen), i, dtype=np.int64))
@@ -108,12 +111,48 @@ class Items:
         order = np.argsort(place, kind="stable")
         return place[order], seed[order]
 
-    def of_seed(self, seed: np.uint64) -> list[int]:
-        a, b = np.searchsorted(self.seeds, seed, "left"), np.searchsorted(self.seeds, seed, "right")
-        out = self.of[a:b].tolist()
+    def owners(self, place: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hits once per item that the seed belongs to: (place, item)."""
+        low, high = np.searchsorted(self.seeds, seed, "left"), np.searchsorted(self.seeds, seed, "right")
+        n = high - low
+        at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+        places, items = [np.repeat(place, n)], [self.of[at]]
         for known in self.whole.values():
-            out.extend(known.get(int(seed), ()))
-        return out
+            for k in np.flatnonzero(n == 0):
+                owned = known.get(int(seed[k]), ())
+                places.append(np.full(len(owned), place[k]))
+                items.append(np.array(owned, dtype=np.int64))
+        return np.concatenate(places).astype(np.int64), np.concatenate(items)
+
+    def windows(self, place: np.ndarray, item: np.ndarray, text: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, low, high) wherever enough hits of an item stand within the span of an alignment.
+
+        ``low`` and ``high`` are places of the buffer, not cut at the text's ends; windows of one text and item are disjoint.
+        """
+        if not len(place):
+            return
+        group = text * len(self.ids) + item
+        order = np.lexsort((place, group))
+        place, group = place[order], group[order]
+        new = np.ones(len(place), dtype=bool)
+        new[1:] = (place[1:] != place[:-1]) | (group[1:] != group[:-1])
+        place, group = place[new], group[new]
+        item = group % len(self.ids)
+        reach = np.array(self.reach, dtype=np.int64)[item]
+        ahead = np.arange(len(place)) + np.array(self.floor, dtype=np.int64)[item] - 1
+        inside = ahead < len(place)
+        ahead = np.minimum(ahead, len(place) - 1)
+        close = np.flatnonzero(inside & (group[ahead] == group) & (place[ahead] - place <= reach))
+        now = None
+        for g, low, high in zip(group[close].tolist(), (place - reach)[close].tolist(), (place[ahead] + reach)[close].tolist()):
+            if now is not None and now[0] == g and low <= now[2]:
+                now[2] = max(now[2], high)
+                continue
+            if now is not None:
+                yield now[0] // len(self.ids), now[0] % len(self.ids), now[1], now[2]
+            now = [g, low, high]
+        if now is not None:
+            yield now[0] // len(self.ids), now[0] % len(self.ids), now[1], now[2]
 
 
 def align(window: np.ndarray, item: np.ndarray) -> tuple[int, int]:
@@ -134,42 +173,30 @@ def align(window: np.ndarray, item: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _leaks_of(items: Items, own: np.ndarray, pairs: np.ndarray, hits: Iterator[tuple[int, np.uint64]], least: float, held: dict) -> Iterator[tuple]:
-    """(item_id, score, start, end) of every window of a text that holds an item at the asked score."""
-    places: dict[int, list[int]] = defaultdict(list)
-    for place, seed in hits:
-        for i in items.of_seed(seed):
-            places[i].append(place)
-    for i, at in places.items():
-        item, reach, needed = items.words[i], items.reach[i], items.needed[i]
+def _leak_in(items: Items, i: int, own: np.ndarray, pairs: np.ndarray, low: int, high: int, least: float, held: dict) -> tuple | None:
+    """(item_id, score, start, end) of item ``i`` in the words ``low`` to ``high`` of a text, if it reaches the asked score."""
+    item, needed = items.words[i], items.needed[i]
+    low, high = max(0, low), min(high, len(own))
+    window = own[low:high]
+    key = (window.tobytes(), i)
+    if key not in held:
+        if len(held) > CACHED:
+            held.clear()
+        found = (0.0, 0, 0)
         if needed > 0:
             if ("pairs", i) not in held:
                 known = np.unique(pair_hashes(item))
                 held["pairs", i] = known[known != 0]
-            known = held["pairs", i]
-        todo, low, high = [], max(0, at[0] - reach), at[0] + reach
-        for place in at[1:]:
-            if place - reach > high:
-                todo.append((low, high))
-                low = place - reach
-            high = place + reach
-        for low, high in [*todo, (low, high)]:
-            high = min(high, len(own))
-            if needed > 0 and np.isin(pairs[:, low:high], known).any(axis=0).sum() < needed:
-                continue
-            window = own[low:high]
-            key = (window.tobytes(), i)
-            if key not in held:
-                score, end = align(window, item)
-                share = score / (MATCH * len(item))
-                # the start is where the mirrored alignment of what lies before the end stops
-                back = align(window[:end][::-1], item[::-1])[1] if share >= least else 0
-                held[key] = share, end - back, end
-            share, start, end = held[key]
-            if share >= least:
-                yield items.ids[i], share, low + start, low + end
-        if len(held) > CACHED:
-            held.clear()
+            enough = np.isin(pairs[:, low:high], held["pairs", i]).any(axis=0).sum() >= needed
+        if needed < 1 or enough:
+            score, end = align(window, item)
+            share = score / (MATCH * len(item))
+            # the start is where the mirrored alignment of what lies before the end stops
+            back = align(window[:end][::-1], item[::-1])[1] if share >= least else 0
+            found = share, end - back, end
+        held[key] = found
+    share, start, end = held[key]
+    return (items.ids[i], share, low + start, low + end) if share >= least else None
 
 
 def _find(shared, least: float):
@@ -194,16 +221,16 @@ def _find(shared, least: float):
                     for row in range(2 - k + 1):
                         pairs[k - 1 + row, last[last >= bounds[:-1]]] = 0
                 place, seed = items.hits(words, pairs, mask)
+                place, item = items.owners(place, seed)
                 text = np.searchsorted(bounds, place, side="right") - 1
-                cuts = np.flatnonzero(np.diff(text, prepend=-1))
-                for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(text)]):
-                    i = int(text[a])
-                    if keys[first + i] is None:
+                for t, i, a, b in items.windows(place, item, text):
+                    low, high = int(bounds[t]), int(bounds[t + 1])
+                    key = keys[first + t]
+                    if key is None:
                         continue
-                    low, high = bounds[i], bounds[i + 1]
-                    hits = zip((place[a:b] - low).tolist(), seed[a:b])
-                    found = _leaks_of(items, words[low:high], pairs[:, low:high], hits, least, cache)
-                    rows.extend((keys[first + i], *x) for x in found)
+                    found = _leak_in(items, i, words[low:high], pairs[:, low:high], a - low, b - low, least, cache)
+                    if found:
+                        rows.append((key, *found))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 

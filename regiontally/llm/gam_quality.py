@@ -252,8 +252,9 @@ def labelled_sample(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFr
 
 def train(found: DataFrame, sample: DataFrame) -> GamModel:
     """Fit on the features ``found`` of the rows of ``sample`` (see ``labelled_sample``)."""
-    # SAMPLE_ROWS rows of 14 numbers at most come to the driver
-    rows = found.join(F.broadcast(sample), "doc_id").select("doc_id", "x", "quality").collect()
+    # SAMPLE_ROWS rows of 14 numbers at most come to the driver, also where a doc_id repeats: those of the smallest hashes
+    joined = found.join(F.broadcast(sample), "doc_id").select("doc_id", "x", "quality")
+    rows = joined.orderBy(F.xxhash64("doc_id", "x"), "doc_id", "x", "quality").limit(SAMPLE_ROWS).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["x"], r["quality"]))
     x = np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
     return fit(x, np.array([float(r["quality"] > 0) for r in rows]))

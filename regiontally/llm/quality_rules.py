@@ -28,7 +28,9 @@ BOILERPLATE = re.compile(
     rb"(?i)(?<![\w\x80-\xff])(?:lorem ipsum|javascript|cookie (?:policy|settings)|privacy policy|terms of (?:use|service)|all rights reserved|"
     rb"click here|sign in|log in|subscribe to our|page not found|skip to content)(?![\w\x80-\xff])"
 )
-_MARKS = re.compile("[.!?]|…|。|！|？".encode())
+# Sentence marks: those of Unicode's Sentence_Terminal in common scripts (Arabic, Devanagari, Armenian, Ethiopic,
+# Khmer, Burmese, Tibetan, CJK, full width) and the ellipsis.
+_MARKS = re.compile("|".join(re.escape(m) for m in ".!?…‼⁇⁈⁉؟۔܂।॥։።፧፨។៕၊။།༎。！？．｡؛‽").encode())
 _SPACES = b" \t\n\x0b\x0c\r"
 
 

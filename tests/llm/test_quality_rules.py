@@ -44,6 +44,12 @@ def test_line_rules():
     assert bad_line(b"A plain sentence ends here.", 5) is None
 
 
+def test_sentence_marks_of_other_scripts():
+    for line in ("यह एक सरल वाक्य है।", "هل هذه جملة بسيطة؟", "یہ ایک سادہ جملہ ہے۔", "Սա պարզ նախադասություն է։", "これは 簡単な 文 です。", "ይህ ቀላል ዓረፍተ ነገር ነው።"):
+        assert bad_line(line.encode(), len(line.split())) is None, line
+    assert bad_line("यह एक सरल वाक्य है".encode(), 5) == "punctuation"
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = {r.doc_id: r for r in quality_rules(odd_docs).collect()}
     assert got[3].n_words == 0 and got[3].base_failed and not got[3].kept and got[3].clean_text == ""
