@@ -5,7 +5,7 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 time one real streaming run).
 
 Each query is executed to completion with the ``noop`` sink (all rows
-computed, nothing collected), once to warm up and then ``BENCH_REPEATS``
+computed, nothing collected), three times to warm up and then ``BENCH_REPEATS``
 times; the median is reported. The three input collections are derived from
 the driver tables once per session beforehand (``load_sec``), as stored
 collections would be in production.

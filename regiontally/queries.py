@@ -139,7 +139,8 @@ def _upsert_batches(target: UpsertTable, spark: SparkSession, d: str, times: int
         batches = sorted(r["batch_id"] for r in rows.select("batch_id").distinct().collect())
         for number in batches:
             for _ in range(times):
-                target.upsert(rows.where(F.col("batch_id") == number), (0, number))
+                rows.where(F.col("batch_id") == number).createOrReplaceTempView("source_deltas")
+                target.upsert_view(spark, "source_deltas", (0, number))
     finally:
         rows.unpersist()
     return target

@@ -164,6 +164,10 @@ class UpsertTable:
         finally:
             d.unpersist()
 
+    def upsert_view(self, spark: SparkSession, view: str, position: tuple[int, int], lane: str = STREAM) -> tuple[int, int]:
+        """:meth:`upsert` of the delta rows of a temporary view."""
+        return self.upsert(spark.sql(f"SELECT {', '.join(DELTA_COLUMNS)} FROM {view}"), position, lane)
+
     def _merged(self, old: DataFrame, d: DataFrame, position: tuple[int, int], lane: str) -> DataFrame:
         epoch, batch = (int(v) for v in position)
         at_epoch, at_batch = (f"coalesce(r.{c}, -1L)" for c in FENCES[lane])
