@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from regiontally.llm.common import batch_columns, cut, release, table
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 #: Letters a word can hold after lower-casing A-Z.
 LETTERS = [*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)]
 _LETTER = np.full(0x100, -1, dtype=np.int16)
@@ -39,18 +38,23 @@ _LETTER[LETTERS] = np.arange(len(LETTERS))
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
 NOISE = 199  # one run in so many loses a letter (op12's contract)
 HELD_WORDS = 200_000  # words counted in a task before it passes them on
-CELL_WORDS = 10_000  # words a cell is planned for
+CELL_WORDS = 20_000  # words a cell is planned for
 SAMPLE_WORDS = 50_000  # words the planes of the coarse trees are taken from
 LEAF = 24  # points in a leaf of a cell's tree
 BLOCK = 256  # query points that go down a tree together
 BROADCAST_BYTES = 64 << 20
 
 
+def lower_az(text: str) -> str:
+    """``text`` with A-Z in lower case and nothing else changed (bytes have no other letters)."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def op12_words(doc_id: int | None, text: str) -> Counter:
     """Words of one text under op12's contract: runs lower-cased, one in 199 with a letter deleted."""
     seed = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
     found: Counter = Counter()
-    for run, n in Counter(RUN.findall(text.translate(LOWER))).items():
+    for run, n in Counter(RUN.findall(lower_az(text))).items():
         h = zlib.crc32(run.encode(), seed)
         if h % NOISE == 0:
             at = h % len(run)
@@ -60,7 +64,7 @@ def op12_words(doc_id: int | None, text: str) -> Counter:
 
 
 def plain_words(doc_id: int | None, text: str) -> Counter:
-    return Counter(RUN.findall(text.translate(LOWER)))
+    return Counter(RUN.findall(lower_az(text)))
 
 
 def _count(words_of, min_length: int):
