@@ -2,7 +2,7 @@
 
 Batch: :func:`regiontally.operators.report.mortality_report`; streaming:
 :func:`regiontally.jobs.run_stream_job` with state in
-:class:`regiontally.streaming.state.ReportState`. See README.md.
+:class:`regiontally.sinks.upsert.UpsertTable`. See README.md.
 """
 
 __version__ = "0.1.0"
