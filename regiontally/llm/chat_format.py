@@ -8,13 +8,15 @@ turns of one role become one block, and blocks are concatenated to
 ``<|im_sep|>`` keeps the turns of a merged block apart. Texts and roles are
 escaped (``~`` -> ``~0``, ``<|`` -> ``~1``, and in roles newline -> ``~2``), so
 that no control string of the template occurs in them and reading back is
-exact. The loss mask is a list of code point spans over the formatted text that
-covers the assistant texts only.
+exact. The loss mask is a list of spans over the formatted text that covers the
+assistant texts only, in code points and in bytes. Their offsets are running
+sums over the turns; every step takes time linear in a conversation's length,
+but for the sort.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regiontally.llm.common import table
@@ -35,68 +37,58 @@ def unescape(text: Column) -> Column:
 def _blocks(turns: Column) -> Column:
     """Runs of adjacent turns of one role."""
     n = F.size(turns)
-    starts = F.filter(
-        F.sequence(F.lit(1), n),
-        lambda i: (i == 1) | (F.element_at(turns, i)["role"] != F.element_at(turns, F.greatest(i - 1, F.lit(1)))["role"]),
-    )
-    return F.transform(
-        starts,
-        lambda s, k: F.slice(turns, s, F.coalesce(F.get(starts, k + 1), n + 1) - s),
-    )
 
+    def edges(step: int, outer: Column) -> Column:
+        """Places whose neighbour ``step`` away has another role or is none."""
+        role = lambda i: F.element_at(turns, i)["role"]
+        return F.filter(F.sequence(F.lit(1), n), lambda i: F.when(i == outer, True).otherwise(role(i) != role(i + step)))
 
-def _pieces(blocks: Column) -> Column:
-    """The formatted text in order, as pieces (text, in the loss or not)."""
+    runs = F.arrays_zip(edges(-1, F.lit(1)).alias("first"), edges(1, n).alias("last"))
+    return F.transform(runs, lambda r: F.slice(turns, r["first"], r["last"] - r["first"] + 1))
 
-    def piece(text, loss):
-        return F.struct(text.alias("text"), loss.alias("loss"))
 
-    def of_block(block):
-        role = F.element_at(block, 1)["role"]
-        head = piece(F.concat(F.lit(START), escape(role, role=True), F.lit("\n")), F.lit(False))
-        said = F.flatten(
-            F.transform(
-                block,
-                lambda t, i: F.array(
-                    piece(F.when(i == 0, F.lit("")).otherwise(F.lit(SEP)), F.lit(False)),
-                    piece(escape(t["text"]), t["role"] == "assistant"),
-                ),
-            )
-        )
-        return F.concat(F.array(head), said, F.array(piece(F.lit(END), F.lit(False))))
+def _block_text(block: Column) -> Column:
+    role = F.element_at(block, 1)["role"]
+    said = F.array_join(F.transform(block, lambda t: escape(t["text"])), SEP)
+    return F.concat(F.lit(START), escape(role, role=True), F.lit("\n"), said, F.lit(END))
 
-    return F.flatten(F.transform(blocks, of_block))
+
+def _offsets(rows: DataFrame) -> DataFrame:
+    """``rows`` with the start and length of each text in its formatted conversation, in code points and in bytes."""
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    opens = F.coalesce(F.lag("role").over(order) != F.col("role"), F.lit(True))
+    closes = F.coalesce(F.lead("role").over(order) != F.col("role"), F.lit(True))
+    rows = rows.withColumns({"opens": opens, "closes": closes})
+    before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = {}
+    for unit, size in (("", F.length), ("byte_", F.octet_length)):
+        head = F.when(F.col("opens"), size(escape(F.col("role"), role=True)) + len(START) + 1).otherwise(len(SEP))
+        tail = F.when(F.col("closes"), len(END)).otherwise(0)
+        length = size(escape(F.col("text")))
+        spans[f"{unit}start"] = (F.sum(head + length + tail).over(before) - length - tail).cast("int")
+        spans[f"{unit}length"] = length
+    return rows.withColumns(spans)
 
 
 def format_chat(rows: DataFrame) -> DataFrame:
     """(conv_id, formatted, loss_spans) per conversation of rows (conv_id, turn, role, text).
 
-    ``loss_spans`` holds (start, length) in code points, start from 0. A null
+    ``loss_spans`` holds (start, length) in code points and (byte_start,
+    byte_length) in bytes, starts from 0. A null
     role or text is empty; null turns come first; rows of one turn number are
     ordered by role and text and all kept; a null conv_id is a conversation of
     its own. Other columns are ignored. An empty table gives no conversation.
     """
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    pieces = turns.select("conv_id", _pieces(_blocks(F.col("turns"))).alias("pieces"))
-    spans = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("spans")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["text"])).alias("at"),
-            F.when(
-                p["loss"],
-                F.concat(acc["spans"], F.array(F.struct(acc["at"].alias("start"), F.length(p["text"]).alias("length")))),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
-    return pieces.select(
+    rows = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    span = ["start", "length", "byte_start", "byte_length"]
+    turn = F.struct("turn", "role", "text", *span)
+    turns = _offsets(rows).groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    blocks = turns.select("conv_id", "turns", _blocks(F.col("turns")).alias("blocks"))
+    said = F.filter("turns", lambda t: t["role"] == "assistant")
+    return blocks.select(
         "conv_id",
-        F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("formatted"),
-        spans.alias("loss_spans"),
+        F.array_join(F.transform("blocks", _block_text), "").alias("formatted"),
+        F.transform(said, lambda t: F.struct(*[t[c].alias(c) for c in span])).alias("loss_spans"),
     )
 
 
@@ -115,8 +107,10 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["length"]))), "")
+    """All text under the loss mask, unescaped, cut out by bytes (code points would be counted from the start for each span)."""
+    cut = lambda whole: F.transform(spans, lambda s: unescape(F.substr(whole, s["byte_start"] + 1, s["byte_length"]).cast("string")))
+    # the text is bound once by an array of one, not read anew for each span
+    return F.array_join(F.element_at(F.transform(F.array(formatted.cast("binary")), cut), 1), "")
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

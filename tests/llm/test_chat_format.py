@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from itertools import groupby
 
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ def test_round_trip_of_odd_rows(spark):
         own = sorted(((t if t is not None else -1), r or "", x or "") for c, t, r, x in rows if c == conv)
         assert [(t.role, t.text) for t in got[conv].turns] == [(r, x) for _, r, x in own]
         assert got[conv].loss == "".join(x for _, r, x in own if r == "assistant")
+        by_chars = [got[conv].formatted[s.start : s.start + s.length] for s in got[conv].loss_spans]
+        assert [x.replace("~1", "<|").replace("~0", "~") for x in by_chars] == [x for _, r, x in own if r == "assistant"]
         assert got[conv].formatted.count("<|im_start|>") == len(list(groupby(r for _, r, _ in own)))
     assert format_chat(frame.filter("1 = 0")).count() == 0
 
@@ -47,3 +50,21 @@ def test_query_matches_brute_force(spark):
         expected[conv] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in op2_chat_format(spark, SF0001).collect()}
     assert got == expected
+
+
+def test_long_conversations_take_linear_time(spark):
+    """20,000 turns of alternating roles, and 20,000 of one role."""
+
+    def seconds(n):
+        text = F.concat(F.lit("é turn ~ "), F.col("id").cast("string"), F.repeat(F.lit(" word"), 10))
+        rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
+        rows = rows.unionByName(rows.withColumn("conv_id", F.lit(2)).withColumn("role", F.lit("assistant")))
+        start = time.time()
+        out = format_chat(rows).withColumn("turns", F.size(read_turns(F.col("formatted")))).withColumn("loss", F.length(read_loss(F.col("formatted"), F.col("loss_spans"))))
+        got = {r.conv_id: (r.turns, r.loss) for r in out.select("conv_id", "turns", "loss").collect()}
+        sizes = [len("é turn ~ ") + len(str(i)) + 50 for i in range(n)]
+        assert got == {1: (n, sum(sizes[1::2])), 2: (n, sum(sizes))}
+        return time.time() - start
+
+    seconds(100)
+    assert seconds(20_000) < 10
