@@ -3,7 +3,9 @@
 Both models are bigram models over all words of the corpus, with the same
 smoothing: a bigram estimate mixed with an add-one unigram estimate. The
 background model counts every document, the target model the documents picked
-as target. Every word and every bigram has a count of its own, by a 64-bit
+as target. Neither model knows the text that it scores: a document's own counts
+are left out of the background, and of the target model if it is a target
+(otherwise targets would be scored by their own training rows). Every word and every bigram has a count of its own, by a 64-bit
 hash, so the tables grow with the corpus and stay in Spark: documents are cut
 into blocks, the different words and bigrams of a block go to the groups of
 their hashes with their counts in the block, and the sums over all blocks come
@@ -28,6 +30,7 @@ from regiontally.llm.common import as_bytes, batch_columns, chunks, cut, ngram_h
 BIGRAM_WEIGHT = 0.7
 BLOCK_BYTES = 16 << 20  # text of a block of documents
 GROUP_BYTES = 64 << 20  # text of the corpus per group of hashes
+OWN_TOKENS = 1 << 18
 LEAST_BITS = 8
 BROADCAST_BYTES = 64 << 20
 
@@ -173,9 +176,23 @@ def _sum_bucket(rows: pa.Table) -> pa.Table:
     return pa.table({c.split()[0]: pa.array(x, t) for c, x, t in zip(_SUMS.split(", "), zip(*out), types)})
 
 
-def _losses(n1: np.ndarray, n2: np.ndarray, follows: np.ndarray, total: int, size: int, weight: float) -> np.ndarray:
-    """Loss of each token from the counts of the words, and of the pairs that end at the places ``follows``."""
-    p = (n1 + 1.0) / (total + size + 1.0)
+def _own(text: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For each gram, how often its text has it (``text`` ascends from 0, ``place`` numbers the different grams)."""
+    out, a, known = np.empty(len(place), dtype=np.int32), 0, int(place.max(initial=0)) + 1
+    while a < len(place):  # whole texts of about OWN_TOKENS at a time, which bounds the memory of the sort
+        b = int(np.searchsorted(text, text[min(a + OWN_TOKENS, len(text)) - 1], "right"))
+        _, at, n = np.unique(text[a:b] * known + place[a:b], return_inverse=True, return_counts=True)
+        out[a:b] = n[at]
+        a = b
+    return out
+
+
+def _losses(n1: np.ndarray, n2: np.ndarray, follows: np.ndarray, total: np.ndarray, size: int, weight: float) -> np.ndarray:
+    """Loss of each token from the counts of the words, and of the pairs that end at the places ``follows``.
+
+    A word that ends a text is counted as a context too, so a context with a count may have no pair.
+    """
+    p = (n1 + 1.0) / (total + (size + 1.0))
     before = n1[follows - 1]
     mixed = weight * n2 / np.maximum(before, 1) + (1 - weight) * p[follows]
     p[follows] = np.where(before > 0, mixed, p[follows])
@@ -189,17 +206,23 @@ def _score(totals: tuple[int, int], size: int, weight: float):
         lengths = np.concatenate(grams.lengths)
         follows = np.flatnonzero(np.concatenate(grams.inner)) + 1
         rows = sorted(zip(*(sums.column(c).to_pylist() for c in ("kind", "bucket", "n", "t"))))
-        counts = []  # of the words and of the pairs, each in the target and in all
-        for kind, hashes in ((1, grams.words), (2, grams.pairs)):
-            place = np.unique(np.concatenate(hashes), return_inverse=True)[1]
-            for column in (3, 2):
-                said = [_unpack(r[column]) for r in rows if r[0] == kind]
-                counts.append((np.concatenate(said) if said else np.zeros(0, dtype=np.int64))[place])
         text = np.repeat(np.arange(len(lengths)), lengths)
+        wanted = np.array(row["target"], dtype=bool)
+        left_out = (wanted, np.ones(len(lengths), dtype=bool))  # documents that the target, and the background, counted
+        counts = []  # of the words and of the pairs, each in the target and in all, without the text's own
+        for kind, hashes, texts in ((1, grams.words, text), (2, grams.pairs, text[follows])):
+            whole = np.concatenate(hashes)
+            hashes.clear()
+            place = np.unique(whole, return_inverse=True)[1]
+            del whole
+            own = _own(texts, place)
+            for column, out in zip((3, 2), left_out):
+                said = [_unpack(r[column]) for r in rows if r[0] == kind]
+                counts.append((np.concatenate(said) if said else np.zeros(0, dtype=np.int64))[place] - own * out[texts])
         none = lengths == 0
         means = []
-        for model, total in enumerate(totals):
-            losses = _losses(counts[model], counts[2 + model], follows, total, size, weight)
+        for model, (total, out) in enumerate(zip(totals, left_out)):
+            losses = _losses(counts[model], counts[2 + model], follows, (total - lengths * out)[text], size, weight)
             means.append(np.bincount(text, losses, minlength=len(lengths)) / np.maximum(lengths, 1))
         return pa.table(
             {
@@ -215,17 +238,18 @@ def _score(totals: tuple[int, int], size: int, weight: float):
 
 
 def score_cross_entropy(
-    docs: DataFrame, targets: DataFrame, vocabulary_size: int | None = None, bits: int | None = None, weight: float = BIGRAM_WEIGHT
+    docs: DataFrame, targets: DataFrame, vocabulary_size: int | None = None, weight: float = BIGRAM_WEIGHT
 ) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) for every row of ``docs``.
 
     ``targets`` has the doc_ids of the target documents. A text without words
     (null, empty) has no tokens and null losses. Without target documents the
-    target model is uniform. Repeated rows count each time; null doc_ids are
+    target model is uniform. Repeated rows count each time, and a row leaves out
+    its own counts only; null doc_ids are
     background; other columns are ignored; empty tables give empty results.
     ``vocabulary_size`` is the number of words that the add-one estimate
     provides for (the different words of the corpus unless given); it leaves no
-    word out. ``bits`` has no effect: counts share no buckets.
+    word out.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text"))
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
