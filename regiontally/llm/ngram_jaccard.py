@@ -13,6 +13,10 @@ against a few hubs per round; pairs already in the same component are left
 out, a checked hub leaves the group, and rounds go on until no group joins
 two components. Every pair that could link two components is thus verified,
 and the components are those of the complete link graph.
+
+The number of links of a text is counted afterwards, inside its component, where
+all its links are: the different sets of a component are dealt into blocks of
+bounded size, every two blocks meet in one task, and only counts leave it.
 """
 
 from __future__ import annotations
@@ -44,6 +48,9 @@ KEY_BITS = 20  # high bits of an ordering key: the sketch count
 HEAVY = 10_000  # a bucket above this count (and twice the mean) may hold a hot shingle
 BROADCAST_BYTES = 64 << 20
 HUB_GROWTH = 64  # hubs per group: 1, then so many times more in each round
+BLOCK_SETS = 512  # different sets in a block of the link count, on average
+BLOCK_BYTES = 8 << 20  # and the bytes of their shingle hashes
+COLUMNS = 4096  # shingles per step of a block's overlap product
 
 
 def _summarise(n: int, bits: int):
@@ -180,6 +187,115 @@ def jaccard_components(
     empty table gives an empty result. ``heavy`` is the count from which a shingle
     is dealt by document; it changes the work, not the result.
     """
+    member, labels = _components(docs, percent, n, sketch_bits, heavy)
+    return _named(member, labels).drop("fp")
+
+
+def jaccard_links(
+    docs: DataFrame, percent: int = 75, n: int = 5, block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The columns of ``jaccard_components`` and ``n_links``, the number of other rows that a row links with.
+
+    Copies count as links, one each; so do rows that repeat a doc_id, which are
+    counted as texts of their own. A row without shingles or without doc_id has
+    no links. ``block_sets`` and ``block_bytes`` bound what meets in one task;
+    they change the work, not the result.
+    """
+    member, labels = _components(docs, percent, n, SKETCH_BITS, None)
+    has_set = member.filter("n > 0 and doc_id is not null")
+    # copies are one class: its weight is their number
+    classes = has_set.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.first("n").alias("n"))
+    classes = cut(classes.join(labels, classes["rep"] == labels["node"]).select("fp", "rep", "weight", "n", "comp"))
+    blocks = F.greatest(
+        F.ceil(F.count("*") / F.lit(block_sets)), F.ceil(F.sum(F.col("n") * 8) / F.lit(block_bytes)), F.lit(1)
+    )
+    # a component of one class has no links but those of its copies
+    dealt = cut(classes.groupBy("comp").agg(blocks.alias("blocks"), F.count("*").alias("sets")).filter("sets > 1").select("comp", "blocks"))
+    several = cut(classes.join(dealt, "comp").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks"))))
+
+    ids = several.select(F.col("rep").alias("doc_id")).distinct()
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text")).join(ids, "doc_id", "left_semi")
+    sets = source.mapInArrow(_sets(n), "fp binary, hashes binary").dropDuplicates(["fp"])
+    sets = cut(several.select("fp", "weight", "comp", "blocks", "block").join(sets, "fp"))
+    # block k meets itself and every other block once: rows (low, high) of which it is one
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    met = sets.withColumn("other", other).select(
+        "comp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "fp", "weight", "hashes"
+    )
+    counted = met.groupBy("comp", "low", "high").applyInArrow(_count_links(percent), "fp binary, links long")
+    linked = counted.groupBy("fp").agg(F.sum("links").alias("links"))
+    per_class = cut(
+        classes.join(linked, "fp", "left").select("fp", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    )
+    release(classes, dealt, several, sets)
+    out = _named(member, labels)
+    of_rows = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("n_links")).otherwise(F.lit(0)).cast("long")
+    return out.join(per_class, "fp", "left").select("doc_id", "n_shingles", "component_id", of_rows.alias("n_links"))
+
+
+def _sets(n: int):
+    """(fp, sorted shingle hashes) per text with words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (texts,) = batch_columns(batch, "text")
+            for _, held in chunks(texts):
+                hashes, cuts = distinct_sorted(*shingles(held, n))
+                parts = [hashes[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([xxhash.xxh3_128_digest(p) for p in parts], pa.binary()), pa.array(parts, pa.binary())], names=["fp", "hashes"]
+                )
+
+    return run
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = COLUMNS) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set, by products of 0/1 matrices of ``columns`` shingles."""
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    for at in range(0, len(shared), columns):
+        part = shared[at : at + columns]
+        sides = []
+        for sets in (left, right):
+            held = np.zeros((len(sets), len(part)), dtype=np.float32)
+            for i, x in enumerate(sets):
+                x = x[np.searchsorted(x, part[0]) : np.searchsorted(x, part[-1], "right")]
+                spot = np.searchsorted(part, x)
+                held[i, spot[part[spot] == x]] = 1
+            sides.append(held)
+        out += (sides[0] @ sides[1].T).astype(np.int64)  # counts up to ``columns`` are exact in 32-bit floats
+    return out
+
+
+def _count_links(percent: int):
+    """Two blocks of a component -> (fp, weight of the other block's sets that it links with)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
+        side = rows.column("block").to_numpy()
+        fps = np.array(rows.column("fp").to_pylist(), dtype=object)
+        weight = rows.column("weight").to_numpy()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in rows.column("hashes").to_pylist()]
+        a, b = np.flatnonzero(side == low), np.flatnonzero(side == high)
+        if not len(a) or not len(b):
+            return pa.table({"fp": pa.array([], pa.binary()), "links": pa.array([], pa.int64())})
+        size = np.array([len(x) for x in sets])
+        shared = overlaps([sets[i] for i in a], [sets[i] for i in b])
+        linked = 100 * shared >= percent * (size[a][:, None] + size[b][None, :] - shared)
+        links = np.zeros(len(sets), dtype=np.int64)
+        if low == high:
+            np.fill_diagonal(linked, False)
+            links[a] = linked @ weight[b]
+        else:
+            links[a] = linked @ weight[b]
+            links[b] = weight[a] @ linked
+        return pa.table({"fp": pa.array(fps.tolist(), pa.binary()), "links": pa.array(links, pa.int64())})
+
+    return run
+
+
+def _components(docs: DataFrame, percent: int, n: int, sketch_bits: int, heavy: int | None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, fp) of every row and (node, comp) of every document with a set."""
     spark: SparkSession = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text"))
 
@@ -243,9 +359,14 @@ def jaccard_components(
         hubs_per_token *= HUB_GROWTH
     release(rows, texts, *checked)
 
-    # components are named by class representatives: the smallest doc_id of a component is one of them
+    return member, labels
+
+
+def _named(member: DataFrame, labels: DataFrame) -> DataFrame:
+    """(fp, doc_id, n_shingles, component_id); components are named by class representatives: the smallest doc_id of one is among them."""
     out = member.join(labels, member["doc_id"] == labels["node"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("doc_id")).alias("component_id"))
+    name = F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("doc_id"))
+    return out.select("fp", "doc_id", F.col("n").alias("n_shingles"), name.alias("component_id"))
 
 
 def _may_link(percent: int):
@@ -287,4 +408,4 @@ def keep_one_per_group(docs: DataFrame, percent: int = 75, n: int = 5) -> DataFr
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_links(table(spark, sf_dir, "documents"))

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from regiontally.llm.common import distinct_sorted, shingles
-from regiontally.llm.ngram_jaccard import jaccard_components, keep_one_per_group, op1_ngram_jaccard, suffix_bound
+from regiontally.llm.ngram_jaccard import jaccard_components, jaccard_links, keep_one_per_group, op1_ngram_jaccard, overlaps, suffix_bound
 from tests.conftest import SF0001
 
 
@@ -33,10 +33,49 @@ def brute(docs):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
+def brute_links(docs):
+    """{doc_id: number of linked documents} by comparing all pairs."""
+    sets = {i: word_set(t) for i, t in docs}
+    return {
+        a: sum(100 * len(x & y) >= 75 * len(x | y) for b, y in sets.items() if b != a and x and y) for a, x in sets.items()
+    }
+
+
 def test_query_matches_all_pairs(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in op1_ngram_jaccard(spark, SF0001).collect()}
-    assert got == brute(docs)
+    rows = op1_ngram_jaccard(spark, SF0001).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs)
+    assert {r.doc_id: r.n_links for r in rows} == brute_links(docs)
+
+
+def test_links_are_counted_alike_in_blocks_of_any_size(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(500)]
+    docs = []
+    for group in range(4):
+        base = [rng.choice(words) for _ in range(70)]
+        for i in range(12):
+            text = list(base)
+            for _ in range(rng.randrange(4)):
+                text[rng.randrange(70)] = f"z{rng.randrange(6)}"
+            docs += [(len(docs) + k, " ".join(text)) for k in range(rng.choice([1, 1, 3]))]
+    docs += [(-5, "one two"), (-6, "one two"), (-7, ""), (-8, None), (-9, "alone")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    want = brute_links(docs)
+    assert max(want.values()) > 5
+    for sizes in ({}, {"block_sets": 3}, {"block_bytes": 1200}):
+        rows = jaccard_links(frame, **sizes).collect()
+        assert {r.doc_id: r.n_links for r in rows} == want
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs)
+
+
+def test_overlaps_in_column_steps():
+    rng = np.random.RandomState(1)
+    left, right = ([np.unique(rng.randint(0, 80, rng.randint(1, 40)).astype(np.uint64)) for _ in range(k)] for k in (7, 5))
+    for columns in (3, 4096):
+        got = overlaps(left, right, columns)
+        assert got.tolist() == [[len(np.intersect1d(x, y)) for y in right] for x in left]
+    assert overlaps([np.array([1], dtype=np.uint64)], [np.array([2], dtype=np.uint64)]).tolist() == [[0]]
 
 
 def test_chains_and_near_copies(spark):
@@ -82,6 +121,13 @@ def test_odd_rows(odd_docs, no_docs):
     assert by_id[(None, n)] is None
     assert {c for (i, _), c in by_id.items() if i in (6, 7)} == {6}
     assert jaccard_components(no_docs).count() == 0
+    assert jaccard_links(no_docs).count() == 0
+    rows = jaccard_links(odd_docs).collect()
+    assert len(rows) == odd_docs.count()
+    # the rows of documents 1 and 2 that hold the same prose link with each other, the row without id with nothing
+    links = sorted((r.doc_id or -1, r.n_shingles, r.n_links) for r in rows)
+    assert links.count((1, n, 2)) == 2 and (2, n, 2) in links and (-1, n, 0) in links
+    assert (3, 0, 0) in links and {x[2] for x in links if x[0] in (6, 7)} == {1}
     kept = keep_one_per_group(odd_docs)
     assert kept.columns == odd_docs.columns
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 3, 4, 5, 6, 8]
