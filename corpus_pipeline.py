@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings of 400 that occur more than once are taken out of the texts."""
+    """Byte strings of 200 (``PASSAGE``) that occur more than once are taken out of the texts."""
     return drop_repeats(docs)
 
 
