@@ -25,17 +25,22 @@ Groups are packed into tasks of bounded size. A group with more than
 ``MAX_GROUP`` different pieces is not built in one task: its windows are
 counted by hash in a distributed aggregation instead, which is exact and has no
 hot key.
+
+Two lengths cost little more than the shorter one (``with_nested_spans``): all
+windows of a repeated string are repeated, so a repeated string of ``LENGTH``
+bytes lies inside one run of what repeated strings of ``PASSAGE`` bytes cover,
+and only those runs are built again.
 """
 
 from __future__ import annotations
 
 import hashlib
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiontally.llm import common
@@ -43,10 +48,12 @@ from regiontally.llm.common import as_bytes, batch_columns, chunks, cut, mix, re
 
 LENGTH = 400
 ANCHOR = 208
-PASSAGE = 200  # for cleaning a corpus (drop_repeats)
+PASSAGE = 200  # what any passage of over 50 words of three letters holds (drop_repeats, with_nested_spans)
 MAX_GROUP = 4096
 BLOCK_PIECES = 2048
 PART_BYTES = 4 << 20
+FIND_BYTES = 128 << 10  # of text hashed at a time: the arrays of a chunk stay in cache
+SLICE_ROWS = 512  # of a batch turned into Python objects at a time
 BROADCAST_BYTES = 64 << 20
 _PLACE = np.uint64((1 << 24) - 1)  # place of a hash in its buffer, below 16 MB
 
@@ -99,9 +106,15 @@ def find_pieces(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR):
     )
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def _parts(texts: list[bytes], length: int) -> Iterator[tuple[int, int, list[bytes]]]:
     """(index of the first text, offset, texts): long texts in parts that overlap by ``length - 1`` bytes."""
-    for first, held in chunks(texts):
+    for first, held in chunks(texts, FIND_BYTES):
         if sum(map(len, held)) <= 2 * PART_BYTES:
             yield first, 0, held
             continue
@@ -112,7 +125,7 @@ def _parts(texts: list[bytes], length: int) -> Iterator[tuple[int, int, list[byt
 
 def _find(length: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             keys = batch.column(batch.schema.get_field_index("key"))
             (texts,) = batch_columns(batch, "text")
             for first, at, held in _parts(texts, length):
@@ -289,7 +302,7 @@ def _windows(length: int):
 
 def _slice_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with the list of wanted pieces -> the pieces' bytes."""
-    for batch in batches:
+    for batch in _slices(batches):
         rows = []
         texts, wanted = batch_columns(batch, "text", "wanted")
         for text, pieces in zip(texts, wanted):
@@ -376,7 +389,7 @@ def _merge_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         keys, lists = batch_columns(batch, "key", "spans")
         out = []
         for spans in lists:
@@ -412,19 +425,79 @@ def with_spans(
     a text of under ``length`` bytes. Rows are told apart by their text, so
     doc_ids may be null or repeat. An input column of that name is replaced. An empty table gives an empty result.
     """
-    kept = [c for c in docs.columns if c != column]
-    key = F.unhex(F.md5(F.col("text").cast("binary")))
-    rows = docs.filter(F.octet_length("text") >= length).select(key.alias("key"), as_bytes("text"))
-    copies = cut(rows.groupBy("key").agg(F.count("*").alias("copies")).filter("copies > 1"))
-    marked = rows.join(_small(copies, 80), "key", "left")
-    # every different text once: only the texts that several rows hold are shuffled for it
-    once = marked.filter("copies is null").unionAll(marked.filter("copies > 1").dropDuplicates(["key"]))
-    spans = repeated_spans(once, length, anchor, max_group)
-    held = spans.agg(F.sum(64 + 16 * F.size("spans"))).first()[0] or 0
-    spans = spans.select(F.col("key").alias("__key"), F.col("spans").alias(column))
-    out = docs.select(*kept).join(F.broadcast(spans) if held <= BROADCAST_BYTES else spans, key == F.col("__key"), "left")
+    texts, copies = _once(_long_texts(docs, length))
+    spans = repeated_spans(texts, length, anchor, max_group)
     release(copies)
-    return out.drop("__key")
+    return _attach(docs, spans.withColumnRenamed("spans", column))
+
+
+def with_nested_spans(
+    docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, passage: int = PASSAGE, passage_anchor: int = PASSAGE // 2, max_group: int = MAX_GROUP
+) -> DataFrame:
+    """``docs`` with ``removed_spans``, as ``with_spans`` gives them, and ``passage_spans``, those of strings of ``passage`` bytes.
+
+    ``passage`` is at most ``length``.
+    """
+    texts, copies = _once(_long_texts(docs, passage))
+    spans = repeated_spans(texts, passage, passage_anchor, max_group)
+    inside = spans_inside(texts, spans, length, anchor, max_group)
+    release(copies)
+    both = spans.withColumnRenamed("spans", "passage_spans").join(inside.withColumnRenamed("spans", "removed_spans"), "key", "left")
+    both = cut(both)
+    release(spans, inside)
+    return _attach(docs, both)
+
+
+def spans_inside(texts: DataFrame, spans: DataFrame, length: int, anchor: int, max_group: int = MAX_GROUP) -> DataFrame:
+    """``repeated_spans`` of ``texts`` for a longer string, given the spans of a shorter one.
+
+    All that a repeated string covers is inside one span of its parts, so the
+    spans of ``length`` bytes or more take the place of the texts.
+    """
+    long = spans.select("key", F.filter("spans", lambda r: r.stop - r.start >= length).alias("spans")).filter(F.size("spans") > 0)
+    runs = texts.join(_small_spans(long), "key").select("key", "text", "copies", F.explode("spans").alias("r"))
+    runs = runs.selectExpr("key AS owner", "r.start AS first", "substring(text, r.start + 1, r.stop - r.start) AS text", "coalesce(copies, 1) AS n")
+    runs = cut(runs.withColumn("key", _digest("text")))
+    once, copies = _once(runs)
+    found = repeated_spans(once, length, anchor, max_group)
+    moved = "transform(spans, s -> named_struct('start', s.start + first, 'stop', s.stop + first)) AS spans"
+    placed = runs.select("key", "owner", "first").join(_small_spans(found), "key").selectExpr("owner AS key", moved)
+    out = cut(placed.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")))
+    release(runs, copies, found)
+    return out
+
+
+def _digest(column: str) -> Column:
+    return F.unhex(F.md5(F.col(column).cast("binary")))
+
+
+def _long_texts(docs: DataFrame, length: int) -> DataFrame:
+    return docs.filter(F.octet_length("text") >= length).select(_digest("text").alias("key"), as_bytes("text"), F.lit(1).alias("n"))
+
+
+def _once(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, text, copies) with every different text once, and the table of ``copies``, to be released.
+
+    ``rows`` has (key, text, n); ``copies`` is the sum of ``n`` (null: one).
+    """
+    copies = cut(rows.groupBy("key").agg(F.sum("n").alias("copies")).filter("copies > 1"))
+    marked = rows.select("key", "text").join(_small(copies, 80), "key", "left")
+    # only the texts that several rows hold are shuffled for it
+    return marked.filter("copies is null").unionAll(marked.filter("copies > 1").dropDuplicates(["key"])), copies
+
+
+def _attach(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``docs`` with the columns of ``spans`` (by key), which replace input columns of their names."""
+    new = [c for c in spans.columns if c != "key"]
+    kept = docs.select(*[c for c in docs.columns if c not in new], _digest("text").alias("__digest"))
+    spans = _small_spans(spans, new).withColumnRenamed("key", "__key")
+    return kept.join(spans, F.col("__digest") == F.col("__key"), "left").drop("__digest", "__key")
+
+
+def _small_spans(spans: DataFrame, columns: Sequence[str] = ("spans",)) -> DataFrame:
+    """Broadcast hint for a written table of spans that takes at most ``BROADCAST_BYTES`` in memory."""
+    held = spans.agg(F.sum(64 + 16 * sum(F.coalesce(F.size(c), F.lit(0)) for c in columns))).first()[0] or 0
+    return F.broadcast(spans) if held <= BROADCAST_BYTES else spans
 
 
 def _small(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -433,18 +506,18 @@ def _small(df: DataFrame, row_bytes: int) -> DataFrame:
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, texts, lists = batch_columns(batch, "doc_id", "text", "removed_spans")
+    for batch in _slices(batches):
+        ids, texts, lists, passages = batch_columns(batch, "doc_id", "text", "removed_spans", "passage_spans")
         rows = []
-        for i, text, spans in zip(ids, texts, lists):
-            text = text or b""
+        for i, text, spans, shared in zip(ids, texts, lists, passages):
+            text, shared = text or b"", shared or ()
             rest = keep_bytes(text, spans)
             kept = rest.decode("utf-8", "ignore")  # of a character that a span cuts, the rest goes with it
-            rows.append((i, len(text), len(text) - len(rest), len(spans or ()), hashlib.sha256(rest).hexdigest(), kept))
-        kinds = [pa.int64()] * 4 + [pa.string()] * 2
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
-        )
+            digest, covered = hashlib.sha256(rest).hexdigest(), sum(s["stop"] - s["start"] for s in shared)
+            rows.append((i, len(text), len(text) - len(rest), len(spans or ()), digest, kept, covered, len(shared)))
+        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()] * 2
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "n_passage_bytes", "n_passages"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
 
 _SPANS = "__removed_spans"
@@ -476,6 +549,8 @@ def drop_repeats(docs: DataFrame, length: int = PASSAGE, anchor: int = PASSAGE /
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What goes by strings of ``LENGTH`` bytes, and how much of a text repeated passages of ``PASSAGE`` bytes cover."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spans = with_spans(docs).withColumn("text", F.col("text").cast("binary"))
-    return spans.mapInArrow(_clean, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
+    spans = with_nested_spans(docs).withColumn("text", F.col("text").cast("binary"))
+    columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
+    return spans.mapInArrow(_clean, f"{columns}, n_passage_bytes long, n_passages long")
